@@ -123,10 +123,10 @@ def with_parsed_skills(df: DataFrame) -> DataFrame:
 
 
 def load_time(now: str | None) -> "F.Column":
-    """One load instant per run, as wall-clock time in the load zone."""
+    """One load instant per run, as wall-clock time (no zone) in the load zone."""
     if now is not None:
-        return F.lit(now).cast("timestamp")
-    return F.from_utc_timestamp(F.current_timestamp(), schemas.LOAD_TIME_ZONE)
+        return F.lit(now).cast("timestamp_ntz")
+    return F.convert_timezone(F.lit(schemas.LOAD_TIME_ZONE), F.current_timestamp().cast("timestamp_ntz"))
 
 
 def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | None = None,

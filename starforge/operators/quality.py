@@ -36,7 +36,8 @@ def _rules() -> list:
     for c in schemas.BOOL_COLUMNS:
         rules.append((c, "not_nullable", F.col(c).isNull(), F.lit(None).cast("string")))
     for c in schemas.NUMBER_COLUMNS:
-        rules.append((c, _GE0, F.col(c) < 0, F.col(c).cast("string")))
+        # the failing value, shown to 6 decimals
+        rules.append((c, _GE0, F.col(c) < 0, F.round(F.col(c), 6).cast("string")))
     return rules
 
 

@@ -98,7 +98,7 @@ REJECT_SCHEMA = T.StructType([
     T.StructField("rejected_id", L), T.StructField("source_file", S),
     T.StructField("line_number", L, False), T.StructField("fields_found", I),
     T.StructField("fields_expected", I), T.StructField("raw_content", S),
-    T.StructField("ingested_at", TSZ),
+    T.StructField("ingested_at", TS),
 ])
 
 BRIDGE_SCHEMA = T.StructType([T.StructField("job_id", L), T.StructField("skill_id", L)])

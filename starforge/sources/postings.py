@@ -28,6 +28,7 @@ POSTINGS_PER_FILE = 4000      # bounded rows per written file / writer task
 BROKEN_EVERY, BROKEN_AT = 50, 7      # o_orderkey % 50 = 7 -> line cut to 15 fields
 BLANK_EVERY, BLANK_AT = 13, 5        # o_orderkey % 13 = 5 -> a '   ' line follows
 CRLF_EVERY, CRLF_AT = 11, 3          # o_orderkey % 11 = 3 -> line ends with CRLF
+DQ_EVERY, DQ_AT = 19, 4              # o_orderkey % 19 = 4 -> skills list in "..." with a trailing comma
 BROKEN_FIELDS = 15
 
 
@@ -52,10 +53,15 @@ def _quoted(c):
     return F.concat(F.lit("'"), c, F.lit("'"))
 
 
-def skills_text(items) -> F.Column:
-    """"['a', 'b']" of the item names ('[]' when there are none)."""
+def skills_text(items, double_quoted=None) -> F.Column:
+    """"['a', 'b']" of the item names ('[]' when there are none); where
+    ``double_quoted`` holds, '["a", "b",]' (double quotes, trailing comma)."""
     body = F.array_join(F.transform(items, lambda x: _quoted(x["p_name"])), ", ")
-    return F.coalesce(F.concat(F.lit("["), body, F.lit("]")), F.lit("[]"))
+    text = F.concat(F.lit("["), body, F.lit("]"))
+    if double_quoted is not None:
+        dq = F.array_join(F.transform(items, lambda x: F.concat(F.lit('"'), x["p_name"], F.lit('"'))), ", ")
+        text = F.when(double_quoted, F.concat(F.lit("["), dq, F.lit(",]"))).otherwise(text)
+    return F.coalesce(text, F.lit("[]"))
 
 
 def type_skills_text(items) -> F.Column:
@@ -98,7 +104,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(status != "P", F.col("o_totalprice")).alias("salary_year_avg"),
         F.when(status == "P", F.col("o_totalprice") / 1000).alias("salary_hour_avg"),
         F.when(k % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("c_name")).alias("company_name"),
-        skills_text(F.col("items")).alias("job_skills"),
+        skills_text(F.col("items"), k % DQ_EVERY == DQ_AT).alias("job_skills"),
         type_skills_text(F.col("items")).alias("job_type_skills"),
     )
 
