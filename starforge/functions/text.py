@@ -32,14 +32,29 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _printable_ascii(ch: Column) -> Column:
+    code = F.ascii(ch)
+    return (code >= 33) & (code <= 126)
+
+
 def py_strip(c) -> Column:
-    """Python ``str.strip()`` (Spark ``trim`` keeps NBSP and U+3000)."""
-    return F.regexp_replace(_c(c), _STRIP_RE, "")
+    """Python ``str.strip()`` (Spark ``trim`` keeps NBSP and U+3000).
+
+    Text whose first and last characters are printable ASCII has nothing to
+    strip and skips the regex (compiled fast path).
+    """
+    c = _c(c)
+    plain = _printable_ascii(F.substring(c, 1, 1)) & _printable_ascii(F.substring(c, -1, 1))
+    return F.when(plain, c).otherwise(F.regexp_replace(c, _STRIP_RE, ""))
 
 
 def strict_true(c) -> Column:
     """True only when the stripped, lower-cased text is 'true'; NULL -> False."""
-    return F.coalesce(F.lower(py_strip(c)) == F.lit("true"), F.lit(False))
+    c = _c(c)
+    low = F.lower(c)
+    return (F.when(F.trim(low) == F.lit("true"), F.lit(True))
+             .when(c.isNull() | ~low.contains("true"), F.lit(False))
+             .otherwise(F.lower(py_strip(c)) == F.lit("true")))
 
 
 def lenient_number(c) -> Column:
@@ -68,10 +83,36 @@ def _literal_to_json(c) -> Column:
     return F.regexp_replace(c, r",\s*([\]}])", "$1")
 
 
+def _from_literal(c, schema: str) -> Column:
+    """from_json on the text as is, else on the text with the literal fix-ups
+    (the fix-ups only touch text that is not valid JSON, so the first parse
+    wins whenever it succeeds and the regexes are skipped)."""
+    c = _c(c)
+    return F.coalesce(F.from_json(c, schema), F.from_json(_literal_to_json(c), schema))
+
+
 def parse_skill_list(c) -> Column:
     """``"['a', 'b']"`` -> array<string>; blank, 'nan', malformed or non-list -> []."""
-    parsed = F.from_json(_literal_to_json(c), "array<string>")
-    return F.coalesce(parsed, F.array().cast("array<string>"))
+    return F.coalesce(_from_literal(c, "array<string>"), F.array().cast("array<string>"))
+
+
+_GROUPS_TYPE = "array<struct<category:string,skills:array<string>>>"
+
+
+def _dedup_entries(entries: Column) -> Column:
+    """Python dict semantics for duplicated keys: first position, last value."""
+    keys = F.transform(entries, lambda e: e["key"])
+    picked = F.filter(
+        F.transform(entries, lambda e, i: F.struct(
+            e["key"].alias("key"),
+            F.element_at(F.filter(entries, lambda y: y["key"] == e["key"]), -1)["value"].alias("value"),
+            (i + 1).alias("pos"))),
+        lambda s: F.array_position(keys, s["key"]) == s["pos"])
+    return F.transform(picked, lambda s: F.struct(s["key"].alias("key"), s["value"].alias("value")))
+
+
+def _unique_keys(entries: Column) -> Column:
+    return F.size(F.array_distinct(F.transform(entries, lambda e: e["key"]))) == F.size(entries)
 
 
 def parse_skill_groups(c) -> Column:
@@ -80,21 +121,21 @@ def parse_skill_groups(c) -> Column:
     A duplicated key keeps its first position and its last value (Python dict
     semantics); entries whose value is not a list are skipped; malformed or
     non-dict text gives [].
+
+    Fast path (compiled, no lambdas): one JSON parse as map<string,
+    array<string>> with unique keys and no null value.  Anything else takes
+    the per-entry path.
     """
-    entries = F.map_entries(F.from_json(_literal_to_json(c), "map<string,string>"))
-    keys = F.transform(entries, lambda e: e["key"])
-    deduped = F.filter(
-        F.transform(entries, lambda e, i: F.struct(
-            e["key"].alias("category"),
-            F.element_at(F.filter(entries, lambda y: y["key"] == e["key"]), -1)["value"].alias("raw"),
-            (i + 1).alias("pos"))),
-        lambda s: F.array_position(keys, s["category"]) == s["pos"])
-    groups = F.transform(deduped, lambda s: F.struct(
-        s["category"].alias("category"),
-        F.from_json(s["raw"], "array<string>").alias("skills")))
-    groups = F.filter(groups, lambda g: g["skills"].isNotNull())
-    empty = F.array().cast("array<struct<category:string,skills:array<string>>>")
-    return F.coalesce(groups, empty)
+    m = _from_literal(c, "map<string,array<string>>")
+    clean = (m.isNotNull() & (F.size(F.array_distinct(F.map_keys(m))) == F.size(m))
+             & F.flatten(F.map_values(m)).isNotNull())
+    fast = F.map_entries(m).cast(_GROUPS_TYPE)
+    slow = F.transform(F.map_entries(_from_literal(c, "map<string,string>")), lambda e: F.struct(
+        e["key"].alias("key"), F.from_json(e["value"], "array<string>").alias("value")))
+    entries = F.coalesce(F.map_entries(m), slow)
+    entries = F.when(_unique_keys(entries), entries).otherwise(_dedup_entries(entries))
+    general = F.filter(entries, lambda g: g["value"].isNotNull()).cast(_GROUPS_TYPE)
+    return F.coalesce(F.when(clean, fast).otherwise(general), F.array().cast(_GROUPS_TYPE))
 
 
 # ---- CSV line encoding / decoding --------------------------------------------

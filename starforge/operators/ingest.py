@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,7 +127,7 @@ def load_time(now: str | None) -> "F.Column":
     """One load instant per run, as wall-clock time (no zone) in the load zone."""
     if now is not None:
         return F.lit(now).cast("timestamp_ntz")
-    return F.convert_timezone(F.lit(schemas.LOAD_TIME_ZONE), F.current_timestamp().cast("timestamp_ntz"))
+    return F.convert_timezone(None, F.lit(schemas.LOAD_TIME_ZONE), F.current_timestamp().cast("timestamp_ntz"))
 
 
 def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | None = None,
@@ -141,7 +142,9 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
     pinned = {"spark.sql.files.minPartitionNum": str(spark.sparkContext.defaultParallelism)}
     with conf_override(spark, pinned):
         lines = read_lines(spark, path)
-        classified = classify(lines)
+        # The three passes share one parse of every line; a lost cached block
+        # is recomputed from its own input split (same rows, same positions).
+        classified = classify(lines).persist(StorageLevel.MEMORY_AND_DISK)
         stats_path = f"{out_dir}/_split_stats"
         split_stats(classified).write.mode("overwrite").parquet(stats_path)
         stats = spark.read.parquet(stats_path)
@@ -170,12 +173,14 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
         good = good.withColumn("_gpos", F.monotonically_increasing_id())
         job_id = (F.col("_good_off") + F.col("_gpos") - F.col("_good_pos0") + 1).alias("raw_id")
         typed = good.select(job_id, F.col("_file").alias("source_file"), "line_number", *typed_columns(header))
-        raw = typed.select(
+        raw = with_parsed_skills(typed).select(
             "raw_id", *[c for c in schemas.CSV_COLUMNS if c not in ("job_skills", "job_type_skills")],
             # C11: the raw copy keeps a missing literal as the text '<NA>'
             F.coalesce("job_skills", F.lit(schemas.RAW_NA_TEXT)).alias("job_skills"),
             F.coalesce("job_type_skills", F.lit(schemas.RAW_NA_TEXT)).alias("job_type_skills"),
-            stamp.alias("ingested_at"), "source_file", "line_number")
+            stamp.alias("ingested_at"), "source_file", "line_number",
+            # P6/P7 parsed once here and stored as nested columns
+            "job_skills_parsed", "job_type_skills_parsed")
         obs = Observation("raw_jobs")
         raw = raw.observe(obs, F.count(F.lit(1)).alias("rows"), *failure_count_columns())
         raw_path = f"{out_dir}/raw_jobs"
@@ -197,6 +202,7 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
         rej_path = f"{out_dir}/raw_jobs_rejected"
         rej.write.mode("overwrite").parquet(rej_path)
         rej_rows = obs_r.get["rows"]
+        classified.unpersist()
 
     raw_df = spark.read.parquet(raw_path)
     failures = int(metrics.get("failures", 0) or 0)
@@ -208,8 +214,15 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
 
 
 def typed_from_raw(raw: DataFrame) -> DataFrame:
-    """The saved raw table read back as the typed, parsed frame (``_row`` = raw_id)."""
-    return with_parsed_skills(raw.withColumn("_row", F.col("raw_id")))
+    """The saved raw table read back as the typed, parsed frame (``_row`` = raw_id).
+
+    The parsed skill columns are stored by ``ingest``; a raw table without
+    them is parsed here.
+    """
+    df = raw.withColumn("_row", F.col("raw_id"))
+    if "job_skills_parsed" in raw.columns and "job_type_skills_parsed" in raw.columns:
+        return df
+    return with_parsed_skills(df)
 
 
 def reject_preview(rejected: DataFrame, n: int = 20, width: int = 120) -> DataFrame:
