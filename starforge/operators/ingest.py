@@ -46,6 +46,7 @@ class Ingested:
     rejected: DataFrame              # raw_jobs_rejected rows
     header: list = field(default_factory=list)
     counts: dict = field(default_factory=dict)
+    paths: dict = field(default_factory=dict)   # where raw_jobs / raw_jobs_rejected were written
 
 
 def classify(lines: DataFrame) -> DataFrame:
@@ -210,7 +211,8 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
         raise ValidationError(failures, failures_of(raw_df, key="raw_id"))
     rejected = spark.read.parquet(rej_path)
     counts = {"valid": int(metrics["rows"]), "rejected": int(rej_rows), "splits": int(n_splits)}
-    return Ingested(valid=raw_df, rejected=rejected, header=header, counts=counts)
+    return Ingested(valid=raw_df, rejected=rejected, header=header, counts=counts,
+                    paths={"raw_jobs": raw_path, "raw_jobs_rejected": rej_path})
 
 
 def typed_from_raw(raw: DataFrame) -> DataFrame:

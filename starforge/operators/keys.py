@@ -45,9 +45,16 @@ def dense_key(df: DataFrame, order_cols: list, id_col: str, num_partitions: int
                  .sortWithinPartitions(*order_cols)
                  .withColumn("_pos", F.monotonically_increasing_id()))
     ordered = ordered.checkpoint(eager=True)
-    counts = ordered.groupBy(partition_of(F.col("_pos")).alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_part", running_offset(counts, "_n", ["_part"]).alias("_off"))
-    # offsets has at most n rows (one per partition): a proven broadcast bound.
-    out = ordered.join(F.broadcast(offsets), partition_of(F.col("_pos")) == F.col("_part"))
-    out = out.withColumn(id_col, (F.col("_off") + row_in_partition(F.col("_pos")) + 1).cast("long"))
-    return out.drop("_pos", "_part", "_off")
+    # One (partition, count) pair per partition: bounded metadata, so it is
+    # fetched to the driver and applied as a literal array (no join).
+    counts = dict(ordered.groupBy(partition_of(F.col("_pos")).alias("_part"))
+                         .agg(F.count(F.lit(1)).alias("_n")).collect())
+    parts = max(counts) + 1 if counts else 0
+    offsets, run = [], 0
+    for p in range(parts):
+        offsets.append(run)
+        run += counts.get(p, 0)
+    if not offsets:
+        return ordered.withColumn(id_col, F.lit(None).cast("long")).drop("_pos")
+    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (partition_of(F.col("_pos")) + 1).cast("int"))
+    return ordered.withColumn(id_col, (off + row_in_partition(F.col("_pos")) + 1).cast("long")).drop("_pos")

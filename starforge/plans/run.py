@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 
 from starforge.operators.ingest import ingest, typed_from_raw
 from starforge.operators.star import build_star
+from starforge.session import hadoop_fs
 from starforge.sources.store import save_tables
 
 
@@ -25,13 +26,18 @@ def run(spark: SparkSession, path: str | None, out_dir: str, load_raw: bool = Tr
         staged = f"{out_dir}/_ingest-{uuid.uuid4().hex[:12]}"
         ing = ingest(spark, path, out_dir=staged, now=now)
         raw = ing.valid
-        tables["raw_jobs"] = raw
-        tables["raw_jobs_rejected"] = ing.rejected
+        # already written by ingest: moved into place, not copied
+        tables["raw_jobs"] = ing.paths["raw_jobs"]
+        tables["raw_jobs_rejected"] = ing.paths["raw_jobs_rejected"]
     else:
         raw = spark.read.parquet(f"{out_dir}/raw_jobs")
     star = build_star(typed_from_raw(raw), row_is_dense=True, match_country=match_country)
     tables.update(star.tables())
     counts = save_tables(spark, tables, out_dir)
+    if load_raw:
+        fs, staged_path = hadoop_fs(spark, staged)
+        if fs.exists(staged_path):
+            fs.delete(staged_path, True)
     return counts
 
 

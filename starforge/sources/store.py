@@ -44,15 +44,28 @@ def _replace(spark: SparkSession, src: str, dst: str) -> None:
 
 
 def save_tables(spark: SparkSession, tables: dict, out_dir: str) -> dict:
-    """Write all tables to a staging folder, then swap them in. Returns counts."""
+    """Write all tables to a staging folder, then swap them in. Returns counts.
+
+    A value may be a DataFrame (written here) or the path of a table that is
+    already written (moved into place).
+    """
     out_dir = out_dir.rstrip("/")
     stage = f"{out_dir}/_staging-{uuid.uuid4().hex[:12]}"
     order = [n for n in LOAD_ORDER if n in tables] + [n for n in tables if n not in LOAD_ORDER]
-    counts = {name: save_table(tables[name], f"{stage}/{name}") for name in order}
+    counts, sources = {}, {}
+    for name in order:
+        t = tables[name]
+        if isinstance(t, str):          # already written (e.g. by ingest): move it
+            sources[name] = t
+            counts[name] = spark.read.parquet(t).count()
+        else:
+            sources[name] = f"{stage}/{name}"
+            counts[name] = save_table(t, sources[name])
     for name in order:
-        _replace(spark, f"{stage}/{name}", f"{out_dir}/{name}")
+        _replace(spark, sources[name], f"{out_dir}/{name}")
     fs, spath = hadoop_fs(spark, stage)
-    fs.delete(spath, True)
+    if fs.exists(spath):
+        fs.delete(spath, True)
     return counts
 
 
