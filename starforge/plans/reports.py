@@ -3,7 +3,8 @@
 ``t`` is a dict of DataFrames: raw_jobs, raw_jobs_rejected, dim_companies,
 dim_locations, dim_skills, fact_jobs, bridge_job_skills.  Output columns keep
 the report aliases.  Top-k reports break ties by name so results are stable.
-Scalar subqueries use ``DataFrame.scalar()`` (planned once, no join).
+Scalar subqueries use ``DataFrame.scalar()`` (run once, no join), bound to a
+column once so that a formula using it several times does not repeat it.
 """
 from __future__ import annotations
 
@@ -53,10 +54,11 @@ def top_skills(t: dict, k: int = 15) -> DataFrame:
     b, s = t["bridge_job_skills"], t["dim_skills"]
     g = (b.join(s, "skill_id").groupBy("skill_id", "skill_name", "skill_category")
           .agg(F.count("job_id").alias("avisos_que_la_piden")))
-    return (g.orderBy(F.desc("avisos_que_la_piden"), "skill_name").limit(k)
-             .select(F.col("skill_name").alias("habilidad"), F.col("skill_category").alias("categoria"),
-                     "avisos_que_la_piden",
-                     percent_text("avisos_que_la_piden", _count(t["fact_jobs"]), 1).alias("porcentaje_avisos")))
+    top = g.orderBy(F.desc("avisos_que_la_piden"), "skill_name").limit(k)
+    return (top.withColumn("_total", _count(t["fact_jobs"]))
+               .select(F.col("skill_name").alias("habilidad"), F.col("skill_category").alias("categoria"),
+                       "avisos_que_la_piden",
+                       percent_text("avisos_que_la_piden", "_total", 1).alias("porcentaje_avisos")))
 
 
 def salary_by_title(t: dict) -> DataFrame:
@@ -107,9 +109,10 @@ def skills_by_category(t: dict) -> DataFrame:
     g = j.groupBy(F.col("skill_category").alias("categoria")).agg(
         F.count_distinct("skill_id").alias("habilidades_distintas"),
         F.count("job_id").alias("veces_mencionada"))
-    return g.select("categoria", "habilidades_distintas", "veces_mencionada",
-                    percent_text("veces_mencionada", _count(b), 1).alias("porcentaje")
-                    ).orderBy(F.desc("veces_mencionada"), "categoria")
+    return (g.withColumn("_total", _count(b))
+             .select("categoria", "habilidades_distintas", "veces_mencionada",
+                     percent_text("veces_mencionada", "_total", 1).alias("porcentaje"))
+             .orderBy(F.desc("veces_mencionada"), "categoria"))
 
 
 def reject_count(t: dict) -> DataFrame:
@@ -129,10 +132,10 @@ def reject_sample(t: dict, k: int = 50) -> DataFrame:
 def valid_share(t: dict) -> DataFrame:
     """Valid rows, rejected rows, valid share to 2 decimals."""
     spark = t["raw_jobs"].sparkSession
-    v, r = _count(t["raw_jobs"]), _count(t["raw_jobs_rejected"])
-    return spark.range(1).select(
-        v.alias("filas_validas"), r.alias("filas_con_problemas"),
-        percent_text(v, F.nullif(v + r, F.lit(0)), 2).alias("porcentaje_calidad"))
+    counts = spark.range(1).select(_count(t["raw_jobs"]).alias("filas_validas"),
+                                   _count(t["raw_jobs_rejected"]).alias("filas_con_problemas"))
+    v, r = F.col("filas_validas"), F.col("filas_con_problemas")
+    return counts.select(v, r, percent_text(v, F.nullif(v + r, F.lit(0)), 2).alias("porcentaje_calidad"))
 
 
 def ads_for_skill(t: dict, skill_name: str) -> DataFrame:

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The workload this library rebuilds is a single batch run (read a CSV export,
+load a star schema, run reports); it has no streams, event-time windows,
+watermarks or state, so there is no streaming operator to provide.
+"""
