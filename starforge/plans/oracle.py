@@ -101,9 +101,9 @@ postings AS (
 ),
 numbered AS (
   SELECT *,
-    1 + row_number() OVER (PARTITION BY bucket ORDER BY k)
+    CAST(1 + row_number() OVER (PARTITION BY bucket ORDER BY k)
       + coalesce(sum(blank_after) OVER (PARTITION BY bucket ORDER BY k
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line_number
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS line_number
   FROM postings
 ),
 valid AS (
