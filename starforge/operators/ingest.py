@@ -61,13 +61,16 @@ def classify(lines: DataFrame) -> DataFrame:
 
 
 def split_stats(classified: DataFrame) -> DataFrame:
-    """One row per (file, split) with the offsets needed to number lines and jobs."""
+    """One row per (file, split) with the offsets needed to number lines and jobs.
+
+    Only fixed-width values are aggregated (counts, first position, flags of
+    the first line), so Spark uses a hash aggregate with no sort of the lines.
+    """
     per_split = classified.groupBy("_file", "_block").agg(
         F.count(F.lit(1)).alias("_n"),
         F.min("_pos").alias("_pos0"),
         F.count_if("_ok").alias("_ok_all"),
         F.min_by("_ok", "_pos").alias("_first_ok"),
-        F.min_by("value", "_pos").alias("_first_line"),
         F.count_if(~F.col("_ok") & ~F.col("_blank")).alias("_bad_all"),
         F.min_by(~F.col("_ok") & ~F.col("_blank"), "_pos").alias("_first_bad"),
     )
@@ -80,7 +83,6 @@ def split_stats(classified: DataFrame) -> DataFrame:
     per_split = per_split.withColumn("_part", partition_of(F.col("_pos0")))
     return per_split.select(
         "_file", "_block", "_n", "_pos0", "_ng", "_nb",
-        F.when(is_head_split, F.col("_first_line")).alias("_header"),
         running_offset(per_split, "_n", ["_block"], ["_file"]).alias("_line_off"),
         running_offset(per_split, "_ng", ["_file", "_block"]).alias("_good_off"),
         # first id that monotonically_increasing_id() gives a good row of this split
@@ -92,6 +94,22 @@ def split_stats(classified: DataFrame) -> DataFrame:
     )
 
 
+MAX_BROADCAST_SPLITS = 2_000_000
+
+
+def _header_line(classified: DataFrame, stats: DataFrame, small: bool, path) -> str:
+    """The first line of every file; all files must share one header."""
+    firsts = stats.where(F.col("_block") == 0).select("_file", "_block", F.col("_pos0").alias("_pos"))
+    firsts = F.broadcast(firsts) if small else firsts
+    heads = (classified.where(F.col("_block") == 0).select("_file", "_block", "_pos", "value")
+             .join(firsts, ["_file", "_block", "_pos"]).select("value").distinct().limit(2).collect())
+    if not heads:
+        raise HeaderError(f"no lines in {path!r}")
+    if len(heads) > 1:
+        raise HeaderError(f"files under {path!r} have different headers: {[r[0] for r in heads]!r}")
+    return heads[0][0]
+
+
 def _header_names(header_line: str) -> list:
     names = [c.strip() for c in header_line.split(",")]
     if sorted(names) != sorted(schemas.CSV_COLUMNS):
@@ -151,18 +169,13 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
             split_stats(classified).write.mode("overwrite").parquet(stats_path)
             stats = spark.read.parquet(stats_path)
 
-            headers = [r[0] for r in stats.where(F.col("_header").isNotNull()).select("_header").distinct().limit(2).collect()]
-            if not headers:
-                raise HeaderError(f"no lines in {path!r}")
-            if len(headers) > 1:
-                raise HeaderError(f"files under {path!r} have different headers: {headers!r}")
-            header = _header_names(headers[0])
-
             # The offsets table has one row per input split: its size is bounded by
             # input bytes / split size; broadcast it only below a fixed row count.
             n_splits = stats.count()
-            off = stats.drop("_header", "_n", "_ng", "_nb")
-            off = F.broadcast(off) if n_splits <= 2_000_000 else off
+            small = n_splits <= MAX_BROADCAST_SPLITS
+            header = _header_names(_header_line(classified, stats, small, path))
+            off = stats.drop("_n", "_ng", "_nb")
+            off = F.broadcast(off) if small else off
             numbered = classified.join(off, ["_file", "_block"])
             is_header = (F.col("_block") == 0) & (F.col("_pos") == F.col("_pos0"))
             numbered = (numbered
