@@ -18,7 +18,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,65 +160,64 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
     pinned = {"spark.sql.files.minPartitionNum": str(spark.sparkContext.defaultParallelism)}
     with conf_override(spark, pinned):
         lines = read_lines(spark, path)
-        # The three passes share one parse of every line; a lost cached block
-        # is recomputed from its own input split (same rows, same positions).
-        classified = classify(lines).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            stats_path = f"{out_dir}/_split_stats"
-            split_stats(classified).write.mode("overwrite").parquet(stats_path)
-            stats = spark.read.parquet(stats_path)
-
-            # The offsets table has one row per input split: its size is bounded by
-            # input bytes / split size; broadcast it only below a fixed row count.
-            n_splits = stats.count()
-            small = n_splits <= MAX_BROADCAST_SPLITS
-            header = _header_names(_header_line(classified, stats, small, path))
-            off = stats.drop("_n", "_ng", "_nb")
-            off = F.broadcast(off) if small else off
-            numbered = classified.join(off, ["_file", "_block"])
-            is_header = (F.col("_block") == 0) & (F.col("_pos") == F.col("_pos0"))
-            numbered = (numbered
-                        .withColumn("line_number", F.col("_line_off") + F.col("_pos") - F.col("_pos0") + 1)
-                        .withColumn("_is_header", is_header))
-            stamp = load_time(now)
-
-            # ---- valid rows -> raw_jobs
-            good = numbered.where(F.col("_ok") & ~F.col("_is_header"))
-            good = good.withColumn("_gpos", F.monotonically_increasing_id())
-            job_id = (F.col("_good_off") + F.col("_gpos") - F.col("_good_pos0") + 1).alias("raw_id")
-            typed = good.select(job_id, F.col("_file").alias("source_file"), "line_number", *typed_columns(header))
-            raw = with_parsed_skills(typed).select(
-                "raw_id", *[c for c in schemas.CSV_COLUMNS if c not in ("job_skills", "job_type_skills")],
-                # C11: the raw copy keeps a missing literal as the text '<NA>'
-                F.coalesce("job_skills", F.lit(schemas.RAW_NA_TEXT)).alias("job_skills"),
-                F.coalesce("job_type_skills", F.lit(schemas.RAW_NA_TEXT)).alias("job_type_skills"),
-                stamp.alias("ingested_at"), "source_file", "line_number",
-                # P6/P7 parsed once here and stored as nested columns
-                "job_skills_parsed", "job_type_skills_parsed")
-            obs = Observation("raw_jobs")
-            raw = raw.observe(obs, F.count(F.lit(1)).alias("rows"), *failure_count_columns())
-            raw_path = f"{out_dir}/raw_jobs"
-            raw.write.mode("overwrite").parquet(raw_path)
-            metrics = obs.get
-
-            # ---- rejected rows -> raw_jobs_rejected
-            bad = numbered.where(~F.col("_ok") & ~F.col("_blank") & ~F.col("_is_header"))
-            bad = bad.withColumn("_bpos", F.monotonically_increasing_id())
-            rej = bad.select(
-                (F.col("_bad_off") + F.col("_bpos") - F.col("_bad_pos0") + 1).alias("rejected_id"),
-                F.col("_file").alias("source_file"), F.col("line_number").cast("long").alias("line_number"),
-                F.lit(None).cast("int").alias("fields_found"),
-                F.lit(schemas.EXPECTED_COLS).cast("int").alias("fields_expected"),
-                F.substring("value", 1, schemas.REJECT_CONTENT_CHARS).alias("raw_content"),
-                stamp.alias("ingested_at"))
-            obs_r = Observation("raw_jobs_rejected")
-            rej = rej.observe(obs_r, F.count(F.lit(1)).alias("rows"))
-            rej_path = f"{out_dir}/raw_jobs_rejected"
-            rej.write.mode("overwrite").parquet(rej_path)
-            rej_rows = obs_r.get["rows"]
-
-        finally:
-            classified.unpersist()
+        # Three passes read the same file listing with the same pinned split
+        # size, so every line gets the same (file, split, position) in each pass
+        # (filters on the split columns do not prune splits). Nothing is cached:
+        # re-reading the source scales better than keeping a parsed copy of it.
+        classified = classify(lines)
+        stats_path = f"{out_dir}/_split_stats"
+        split_stats(classified).write.mode("overwrite").parquet(stats_path)
+        stats = spark.read.parquet(stats_path)
+
+        # The offsets table has one row per input split: its size is bounded by
+        # input bytes / split size; broadcast it only below a fixed row count.
+        n_splits = stats.count()
+        small = n_splits <= MAX_BROADCAST_SPLITS
+        header = _header_names(_header_line(classified, stats, small, path))
+        off = stats.drop("_n", "_ng", "_nb")
+        off = F.broadcast(off) if small else off
+        numbered = classified.join(off, ["_file", "_block"])
+        is_header = (F.col("_block") == 0) & (F.col("_pos") == F.col("_pos0"))
+        numbered = (numbered
+                    .withColumn("line_number", F.col("_line_off") + F.col("_pos") - F.col("_pos0") + 1)
+                    .withColumn("_is_header", is_header))
+        stamp = load_time(now)
+
+        # ---- valid rows -> raw_jobs
+        good = numbered.where(F.col("_ok") & ~F.col("_is_header"))
+        good = good.withColumn("_gpos", F.monotonically_increasing_id())
+        job_id = (F.col("_good_off") + F.col("_gpos") - F.col("_good_pos0") + 1).alias("raw_id")
+        typed = good.select(job_id, F.col("_file").alias("source_file"), "line_number", *typed_columns(header))
+        raw = with_parsed_skills(typed).select(
+            "raw_id", *[c for c in schemas.CSV_COLUMNS if c not in ("job_skills", "job_type_skills")],
+            # C11: the raw copy keeps a missing literal as the text '<NA>'
+            F.coalesce("job_skills", F.lit(schemas.RAW_NA_TEXT)).alias("job_skills"),
+            F.coalesce("job_type_skills", F.lit(schemas.RAW_NA_TEXT)).alias("job_type_skills"),
+            stamp.alias("ingested_at"), "source_file", "line_number",
+            # P6/P7 parsed once here and stored as nested columns
+            "job_skills_parsed", "job_type_skills_parsed")
+        obs = Observation("raw_jobs")
+        raw = raw.observe(obs, F.count(F.lit(1)).alias("rows"), *failure_count_columns())
+        raw_path = f"{out_dir}/raw_jobs"
+        raw.write.mode("overwrite").parquet(raw_path)
+        metrics = obs.get
+
+        # ---- rejected rows -> raw_jobs_rejected
+        bad = numbered.where(~F.col("_ok") & ~F.col("_blank") & ~F.col("_is_header"))
+        bad = bad.withColumn("_bpos", F.monotonically_increasing_id())
+        rej = bad.select(
+            (F.col("_bad_off") + F.col("_bpos") - F.col("_bad_pos0") + 1).alias("rejected_id"),
+            F.col("_file").alias("source_file"), F.col("line_number").cast("long").alias("line_number"),
+            F.lit(None).cast("int").alias("fields_found"),
+            F.lit(schemas.EXPECTED_COLS).cast("int").alias("fields_expected"),
+            F.substring("value", 1, schemas.REJECT_CONTENT_CHARS).alias("raw_content"),
+            stamp.alias("ingested_at"))
+        obs_r = Observation("raw_jobs_rejected")
+        rej = rej.observe(obs_r, F.count(F.lit(1)).alias("rows"))
+        rej_path = f"{out_dir}/raw_jobs_rejected"
+        rej.write.mode("overwrite").parquet(rej_path)
+        rej_rows = obs_r.get["rows"]
+
 
     raw_df = spark.read.parquet(raw_path)
     failures = int(metrics.get("failures", 0) or 0)
