@@ -94,6 +94,12 @@ SKILL_GROUPS = T.ArrayType(T.StructType([
     T.StructField("category", S), T.StructField("skills", T.ArrayType(S)),
 ]))
 
+RAW_JOBS_SCHEMA = T.StructType(
+    [T.StructField("raw_id", L, False)]
+    + [T.StructField(f.name, f.dataType, f.nullable) for f in TYPED_POSTING.fields]
+    + [T.StructField("ingested_at", TS), T.StructField("source_file", S), T.StructField("line_number", L),
+       T.StructField("job_skills_parsed", T.ArrayType(S)), T.StructField("job_type_skills_parsed", SKILL_GROUPS)])
+
 REJECT_SCHEMA = T.StructType([
     T.StructField("rejected_id", L), T.StructField("source_file", S),
     T.StructField("line_number", L, False), T.StructField("fields_found", I),
@@ -102,3 +108,29 @@ REJECT_SCHEMA = T.StructType([
 ])
 
 BRIDGE_SCHEMA = T.StructType([T.StructField("job_id", L), T.StructField("skill_id", L)])
+
+DIM_COMPANIES_SCHEMA = T.StructType([T.StructField("company_id", L, False), T.StructField("company_name", S, False)])
+DIM_LOCATIONS_SCHEMA = T.StructType([
+    T.StructField("location_id", L, False), T.StructField("raw_location", S),
+    T.StructField("city", S), T.StructField("country", S)])
+DIM_SKILLS_SCHEMA = T.StructType([
+    T.StructField("skill_id", L, False), T.StructField("skill_name", S, False), T.StructField("skill_category", S)])
+FACT_JOBS_SCHEMA = T.StructType([
+    T.StructField("job_id", L, False), T.StructField("_csv_row", L, False),
+    T.StructField("company_id", L), T.StructField("location_id", L),
+    T.StructField("job_title_short", S), T.StructField("job_title", S), T.StructField("job_via", S),
+    T.StructField("schedule_type", S), T.StructField("work_from_home", B),
+    T.StructField("posted_date", TS), T.StructField("no_degree_mention", B),
+    T.StructField("health_insurance", B), T.StructField("salary_rate", S),
+    T.StructField("salary_year_avg", D), T.StructField("salary_hour_avg", D)])
+
+# L2/L3: the declared schema of every stored table.
+TABLE_SCHEMAS = {
+    "raw_jobs": RAW_JOBS_SCHEMA,
+    "raw_jobs_rejected": REJECT_SCHEMA,
+    "dim_companies": DIM_COMPANIES_SCHEMA,
+    "dim_locations": DIM_LOCATIONS_SCHEMA,
+    "dim_skills": DIM_SKILLS_SCHEMA,
+    "fact_jobs": FACT_JOBS_SCHEMA,
+    "bridge_job_skills": BRIDGE_SCHEMA,
+}

@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from starforge import schemas
 from starforge.session import hadoop_fs
 
 # Load order: dimensions, fact, bridge (then the raw tables).
@@ -18,6 +19,15 @@ LOAD_ORDER = ["dim_companies", "dim_locations", "dim_skills", "fact_jobs", "brid
               "raw_jobs", "raw_jobs_rejected"]
 
 
+def conform(df: DataFrame, schema) -> DataFrame:
+    """L2/L3: the declared columns, in declared order and types (missing ones -> NULL)."""
+    cols = []
+    for f in schema.fields:
+        c = F.col(f.name) if f.name in df.columns else F.lit(None)
+        cols.append(c.cast(f.dataType).alias(f.name))
+    return df.select(*cols)
+
+
 def save_table(df: DataFrame, path: str, columns: list | None = None) -> int:
     """Overwrite ``path`` with ``df`` (optionally a column subset); returns the row count.
 
@@ -59,6 +69,8 @@ def save_tables(spark: SparkSession, tables: dict, out_dir: str) -> dict:
             sources[name] = t
             counts[name] = spark.read.parquet(t).count()
         else:
+            if name in schemas.TABLE_SCHEMAS:
+                t = conform(t, schemas.TABLE_SCHEMAS[name])
             sources[name] = f"{stage}/{name}"
             counts[name] = save_table(t, sources[name])
     for name in order:
