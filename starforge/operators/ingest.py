@@ -70,6 +70,7 @@ def split_stats(classified: DataFrame) -> DataFrame:
         F.min("_pos").alias("_pos0"),
         F.count_if("_ok").alias("_ok_all"),
         F.min_by("_ok", "_pos").alias("_first_ok"),
+        F.min_by(F.xxhash64("value"), "_pos").alias("_first_hash"),
         F.count_if(~F.col("_ok") & ~F.col("_blank")).alias("_bad_all"),
         F.min_by(~F.col("_ok") & ~F.col("_blank"), "_pos").alias("_first_bad"),
     )
@@ -82,6 +83,7 @@ def split_stats(classified: DataFrame) -> DataFrame:
     per_split = per_split.withColumn("_part", partition_of(F.col("_pos0")))
     return per_split.select(
         "_file", "_block", "_n", "_pos0", "_ng", "_nb",
+        F.when(is_head_split, F.col("_first_hash")).alias("_header_hash"),
         running_offset(per_split, "_n", ["_block"], ["_file"]).alias("_line_off"),
         running_offset(per_split, "_ng", ["_file", "_block"]).alias("_good_off"),
         # first id that monotonically_increasing_id() gives a good row of this split
@@ -96,17 +98,21 @@ def split_stats(classified: DataFrame) -> DataFrame:
 MAX_BROADCAST_SPLITS = 2_000_000
 
 
-def _header_line(classified: DataFrame, stats: DataFrame, small: bool, path) -> str:
-    """The first line of every file; all files must share one header."""
-    firsts = stats.where(F.col("_block") == 0).select("_file", "_block", F.col("_pos0").alias("_pos"))
-    firsts = F.broadcast(firsts) if small else firsts
-    heads = (classified.where(F.col("_block") == 0).select("_file", "_block", "_pos", "value")
-             .join(firsts, ["_file", "_block", "_pos"]).select("value").distinct().limit(2).collect())
-    if not heads:
+def _header_line(lines: DataFrame, stats: DataFrame, path) -> str:
+    """Every file's first line must be the same header.
+
+    The statistics carry a 64-bit hash of each file's first line, so only the
+    first split of one file is read to get the header text itself.
+    """
+    heads = stats.where(F.col("_block") == 0)
+    hashes = [r[0] for r in heads.select("_header_hash").distinct().limit(2).collect()]
+    if not hashes:
         raise HeaderError(f"no lines in {path!r}")
-    if len(heads) > 1:
-        raise HeaderError(f"files under {path!r} have different headers: {[r[0] for r in heads]!r}")
-    return heads[0][0]
+    if len(hashes) > 1:
+        raise HeaderError(f"files under {path!r} do not share one header line")
+    first_file = heads.agg(F.min("_file")).first()[0]
+    return (lines.where((F.col("_file") == first_file) & (F.col("_block") == 0))
+                 .agg(F.min_by("value", "_pos")).first()[0])
 
 
 def _header_names(header_line: str) -> list:
@@ -173,8 +179,8 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
         # input bytes / split size; broadcast it only below a fixed row count.
         n_splits = stats.count()
         small = n_splits <= MAX_BROADCAST_SPLITS
-        header = _header_names(_header_line(classified, stats, small, path))
-        off = stats.drop("_n", "_ng", "_nb")
+        header = _header_names(_header_line(lines, stats, path))
+        off = stats.drop("_n", "_ng", "_nb", "_header_hash")
         off = F.broadcast(off) if small else off
         numbered = classified.join(off, ["_file", "_block"])
         is_header = (F.col("_block") == 0) & (F.col("_pos") == F.col("_pos0"))
