@@ -34,26 +34,41 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str) ->
     return _one(c.join(p, "_k", "left_anti"), name, F.count(F.lit(1)))
 
 
+def unique_and_not_null(df: DataFrame, keys: list, unique_name: str, null_name: str | None) -> DataFrame:
+    """Duplicate non-null key groups and rows with a NULL key part, in one grouped pass.
+
+    Rows with a NULL key part fall into NULL groups, which count toward the
+    null check and never toward duplicates (as in a UNIQUE constraint).
+    """
+    nonnull = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    agg = g.agg(F.count_if(nonnull & (F.col("_n") > 1)).cast("long").alias("_dup"),
+                F.coalesce(F.sum(F.when(~nonnull, F.col("_n"))), F.lit(0)).cast("long").alias("_null"))
+    items = [F.struct(F.lit(unique_name).alias("check"), F.col("_dup").alias("violations"))]
+    if null_name:
+        items.append(F.struct(F.lit(null_name).alias("check"), F.col("_null").alias("violations")))
+    return agg.select(F.explode(F.array(*items)).alias("r")).select("r.check", "r.violations")
+
+
 def key_checks(t: dict) -> DataFrame:
     """G1-G5 over the seven tables: one row per check with its violation count."""
     pks = [("raw_jobs", ["raw_id"]), ("raw_jobs_rejected", ["rejected_id"]),
            ("dim_companies", ["company_id"]), ("dim_locations", ["location_id"]),
            ("dim_skills", ["skill_id"]), ("fact_jobs", ["job_id"]),
            ("bridge_job_skills", ["job_id", "skill_id"])]
-    parts = []
-    for table, keys in pks:
-        parts.append(duplicate_keys(t[table], keys, f"pk_unique:{table}"))
-        parts.append(null_count(t[table], keys, f"pk_not_null:{table}"))
+    parts = [unique_and_not_null(t[table], keys, f"pk_unique:{table}", f"pk_not_null:{table}")
+             for table, keys in pks]
     parts += [
-        duplicate_keys(t["dim_companies"], ["company_name"], "unique:dim_companies.company_name"),
-        duplicate_keys(t["dim_locations"], ["raw_location", "country"], "unique:dim_locations.raw_location_country"),
-        duplicate_keys(t["dim_skills"], ["skill_name"], "unique:dim_skills.skill_name"),
+        unique_and_not_null(t["dim_companies"], ["company_name"], "unique:dim_companies.company_name",
+                            "not_null:dim_companies.company_name"),
+        unique_and_not_null(t["dim_locations"], ["raw_location", "country"],
+                            "unique:dim_locations.raw_location_country", None),
+        unique_and_not_null(t["dim_skills"], ["skill_name"], "unique:dim_skills.skill_name",
+                            "not_null:dim_skills.skill_name"),
         orphans(t["fact_jobs"], "company_id", t["dim_companies"], "company_id", "fk:fact_jobs.company_id"),
         orphans(t["fact_jobs"], "location_id", t["dim_locations"], "location_id", "fk:fact_jobs.location_id"),
         orphans(t["bridge_job_skills"], "job_id", t["fact_jobs"], "job_id", "fk:bridge_job_skills.job_id"),
         orphans(t["bridge_job_skills"], "skill_id", t["dim_skills"], "skill_id", "fk:bridge_job_skills.skill_id"),
-        null_count(t["dim_companies"], ["company_name"], "not_null:dim_companies.company_name"),
-        null_count(t["dim_skills"], ["skill_name"], "not_null:dim_skills.skill_name"),
         null_count(t["raw_jobs_rejected"], ["line_number"], "not_null:raw_jobs_rejected.line_number"),
     ]
     return reduce(DataFrame.unionByName, parts)

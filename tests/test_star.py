@@ -157,3 +157,17 @@ def test_save_swap_reports_and_checks(spark, sample_df, tmp_path):
     vs = reports.valid_share(t).first()
     assert vs.porcentaje_calidad == "100.00%"
     assert reports.ads_for_skill(t, "SQL").first()["count"] == 2
+
+
+def test_key_checks_find_violations(spark, sample_df, tmp_path):
+    star = build_star(sample_df)
+    t = {**star.tables()}
+    t["raw_jobs"] = spark.createDataFrame([(1,), (1,), (None,)], "raw_id long")
+    t["raw_jobs_rejected"] = spark.createDataFrame([(1, None)], "rejected_id long, line_number long")
+    t["bridge_job_skills"] = star.bridge_job_skills.unionByName(
+        spark.createDataFrame([(99, 1), (1, 999)], "job_id long, skill_id long"))
+    got = {r.check: r.violations for r in checks.key_checks(t).collect()}
+    assert got["pk_unique:raw_jobs"] == 1 and got["pk_not_null:raw_jobs"] == 1
+    assert got["fk:bridge_job_skills.job_id"] == 1 and got["fk:bridge_job_skills.skill_id"] == 1
+    assert got["not_null:raw_jobs_rejected.line_number"] == 1
+    assert got["pk_unique:fact_jobs"] == 0 and len(got) == 24
