@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ from starforge.functions.text import (
 )
 from starforge.operators.keys import POS_BITS, partition_of, running_offset
 from starforge.operators.quality import ValidationError, failure_count_columns, failures_of
-from starforge.session import conf_override, scratch_path
+from starforge.session import conf_override, hadoop_fs, scratch_path
 from starforge.sources.lines import read_lines
 
 _FIELD_SCHEMA = ", ".join(f"c{i} string" for i in range(schemas.EXPECTED_COLS)) + ", _bad string"
@@ -154,8 +155,21 @@ def load_time(now: str | None) -> "F.Column":
     return F.convert_timezone(None, F.lit(schemas.LOAD_TIME_ZONE), F.current_timestamp().cast("timestamp_ntz"))
 
 
+def input_bytes(spark: SparkSession, path) -> int:
+    """Total bytes under the input path(s) (globs allowed), from the file system."""
+    total = 0
+    for p in ([path] if isinstance(path, str) else list(path)):
+        fs, jpath = hadoop_fs(spark, p)
+        for st in (fs.globStatus(jpath) or []):
+            total += fs.getContentSummary(st.getPath()).getLength()
+    return total
+
+
+CACHE_MAX_BYTES = 64 << 30
+
+
 def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | None = None,
-           validate: bool = True) -> Ingested:
+           validate: bool = True, cache_max_bytes: int = CACHE_MAX_BYTES) -> Ingested:
     """B1 + L1: text files -> raw_jobs and raw_jobs_rejected written under ``out_dir``.
 
     Raises ``HeaderError`` on a wrong header and ``ValidationError`` (with every
@@ -168,9 +182,14 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
         lines = read_lines(spark, path)
         # Three passes read the same file listing with the same pinned split
         # size, so every line gets the same (file, split, position) in each pass
-        # (filters on the split columns do not prune splits). Nothing is cached:
-        # re-reading the source scales better than keeping a parsed copy of it.
+        # (filters on the split columns do not prune splits).  Input up to
+        # ``cache_max_bytes`` is parsed once and cached for the three passes;
+        # larger input is re-read, rather than keeping a parsed copy of it on
+        # executor disks.  Either way a lost block is recomputed from its split.
         classified = classify(lines)
+        cached = input_bytes(spark, path) <= cache_max_bytes
+        if cached:
+            classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
         stats_path = f"{out_dir}/_split_stats"
         split_stats(classified).write.mode("overwrite").parquet(stats_path)
         stats = spark.read.parquet(stats_path)
@@ -223,6 +242,8 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
         rej_path = f"{out_dir}/raw_jobs_rejected"
         rej.write.mode("overwrite").parquet(rej_path)
         rej_rows = obs_r.get["rows"]
+        if cached:
+            classified.unpersist()
 
 
     raw_df = spark.read.parquet(raw_path)
