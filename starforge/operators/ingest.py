@@ -3,9 +3,10 @@
 Plan (every pass is a DataFrame job; nothing funnels through one task):
 
 * pass 1 - per-split statistics: scan text, classify every line (blank / good /
-  bad), aggregate per (file, split): line count, first position, good count,
-  header text.  One row per split; running sums over those few rows give each
-  split's line offset (per file) and good-row offset (global, file order).
+  bad), hash-aggregate per (file, split): line count, first position, good and
+  bad counts, hash of the first line (the header check).  One row per split;
+  running sums over those few rows give each split's line offset (per file)
+  and good/bad-row offsets (global, file order).
 * pass 2 - valid rows: scan, broadcast-join the split offsets (bounded by the
   split count), keep good rows, number them; type the 17 fields; write
   ``raw_jobs`` while observing validation-failure counts.
@@ -13,6 +14,8 @@ Plan (every pass is a DataFrame job; nothing funnels through one task):
 
 Positions come from ``monotonically_increasing_id`` on the same file listing
 and the same pinned split size in every pass, so they agree between passes.
+Input below ``cache_max_bytes`` is classified once and cached for the passes;
+larger input is re-read.
 """
 from __future__ import annotations
 

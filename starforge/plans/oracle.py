@@ -211,6 +211,9 @@ ORACLE_TAILS = {
         LEFT JOIN dim_locations dl ON v.job_location = dl.raw_location
              AND v.job_country IS NOT DISTINCT FROM dl.country""",
     "bridge_job_skills": "SELECT job_id, skill_id FROM bridge_job_skills",
+    "location_lookup": "SELECT raw_location, location_id FROM loc_last",
+    "null_key_counts": """SELECT count(*) FILTER (WHERE company_id IS NULL) AS sin_empresa,
+                                 count(*) FILTER (WHERE location_id IS NULL) AS sin_ubicacion FROM fact_jobs""",
     "line_numbers": "SELECT raw_id, line_number FROM raw_jobs",
     "raw_jobs": "SELECT * EXCLUDE (line_number) FROM raw_jobs",
     "raw_rejected": """SELECT rejected_id, line_number, fields_found, fields_expected, raw_content, ingested_at

@@ -23,7 +23,7 @@ from starforge.operators.ingest import reject_preview as _reject_preview
 from starforge.operators.ingest import typed_from_raw
 from starforge.operators.quality import failures_of
 from starforge.operators.star import (
-    build_dim_date, build_dim_flags, build_fact_analytic, build_fact_jobs, with_job_id,
+    build_dim_date, build_dim_flags, build_fact_analytic, build_fact_jobs, location_lookup, with_job_id,
 )
 from starforge.plans import reports
 from starforge.plans.run import run
@@ -88,6 +88,14 @@ def q_bridge_job_skills(spark, sf_dir):
     return _t(spark, sf_dir)["bridge_job_skills"]
 
 
+def q_location_lookup(spark, sf_dir):
+    return location_lookup(_t(spark, sf_dir)["dim_locations"])
+
+
+def q_null_key_counts(spark, sf_dir):
+    return checks.null_key_counts(_t(spark, sf_dir)["fact_jobs"])
+
+
 def q_fact_jobs_by_country(spark, sf_dir):
     t = _t(spark, sf_dir)
     jobs = with_job_id(typed_from_raw(t["raw_jobs"]))
@@ -203,6 +211,8 @@ def queries() -> dict:
         "fact_jobs": q_fact_jobs,
         "fact_jobs_by_country": q_fact_jobs_by_country,
         "bridge_job_skills": q_bridge_job_skills,
+        "location_lookup": q_location_lookup,
+        "null_key_counts": q_null_key_counts,
         "line_numbers": q_line_numbers,
         "raw_jobs": q_raw_jobs,
         "raw_rejected": q_raw_rejected,
