@@ -9,6 +9,7 @@ results are reproducible.
 from __future__ import annotations
 
 import os
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,16 +47,19 @@ class Model:
 
 
 _MODELS: dict = {}
+_LOCK = threading.Lock()
 
 
 def model(spark: SparkSession, sf_dir: str) -> Model:
+    """The loaded tables for ``sf_dir`` (built once per Spark application)."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _MODELS:
-        root = scratch_path(spark, "model")
-        csv_path = write_postings_csv(postings(spark, sf_dir), f"{root}/csv")
-        counts = run(spark, csv_path, f"{root}/tables", now=LOAD_STAMP)
-        _MODELS[key] = Model(root, csv_path, counts, read_tables(spark, f"{root}/tables"))
-    return _MODELS[key]
+    with _LOCK:
+        if key not in _MODELS:
+            root = scratch_path(spark, "model")
+            csv_path = write_postings_csv(postings(spark, sf_dir), f"{root}/csv")
+            counts = run(spark, csv_path, f"{root}/tables", now=LOAD_STAMP)
+            _MODELS[key] = Model(root, csv_path, counts, read_tables(spark, f"{root}/tables"))
+        return _MODELS[key]
 
 
 def _t(spark, sf_dir) -> dict:
