@@ -22,7 +22,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starforge import schemas
@@ -30,7 +30,7 @@ from starforge.functions.text import (
     lenient_number, lenient_timestamp, parse_skill_groups, parse_skill_list,
     py_strip, strict_true, unwrap_excel,
 )
-from starforge.operators.keys import POS_BITS, partition_of, running_offset
+from starforge.operators.keys import POS_BITS, exclusive_prefix_sum, partition_of
 from starforge.operators.quality import ValidationError, failure_count_columns, failures_of
 from starforge.session import conf_override, hadoop_fs, scratch_path
 from starforge.sources.lines import read_lines
@@ -63,8 +63,9 @@ def classify(lines: DataFrame) -> DataFrame:
             .withColumn("_ok", ~blank & (inner != F.lit("")) & F.col("_rec._bad").isNull()))
 
 
-def split_stats(classified: DataFrame) -> DataFrame:
-    """One row per (file, split) with the offsets needed to number lines and jobs.
+def split_counts(classified: DataFrame) -> DataFrame:
+    """One row per (file, split): line count, first position, good and bad counts,
+    hash of the first line.
 
     Only fixed-width values are aggregated (counts, first position, flags of
     the first line), so Spark uses a hash aggregate with no sort of the lines.
@@ -80,22 +81,36 @@ def split_stats(classified: DataFrame) -> DataFrame:
     )
     # The first line of each file (block 0) is its header, never a data row.
     is_head_split = F.col("_block") == 0
-    per_split = per_split.withColumn(
-        "_ng", F.col("_ok_all") - F.when(is_head_split & F.col("_first_ok"), 1).otherwise(0)
-    ).withColumn(
-        "_nb", F.col("_bad_all") - F.when(is_head_split & F.col("_first_bad"), 1).otherwise(0))
-    per_split = per_split.withColumn("_part", partition_of(F.col("_pos0")))
     return per_split.select(
-        "_file", "_block", "_n", "_pos0", "_ng", "_nb",
-        F.when(is_head_split, F.col("_first_hash")).alias("_header_hash"),
-        running_offset(per_split, "_n", ["_block"], ["_file"]).alias("_line_off"),
-        running_offset(per_split, "_ng", ["_file", "_block"]).alias("_good_off"),
-        # first id that monotonically_increasing_id() gives a good row of this split
-        (F.shiftleft(F.col("_part"), POS_BITS)
-         + running_offset(per_split, "_ng", ["_pos0"], ["_part"])).alias("_good_pos0"),
-        running_offset(per_split, "_nb", ["_file", "_block"]).alias("_bad_off"),
-        (F.shiftleft(F.col("_part"), POS_BITS)
-         + running_offset(per_split, "_nb", ["_pos0"], ["_part"])).alias("_bad_pos0"),
+        "_file", "_block", "_n", "_pos0",
+        (F.col("_ok_all") - F.when(is_head_split & F.col("_first_ok"), 1).otherwise(0)).alias("_ng"),
+        (F.col("_bad_all") - F.when(is_head_split & F.col("_first_bad"), 1).otherwise(0)).alias("_nb"),
+        F.when(is_head_split, F.col("_first_hash")).alias("_header_hash"))
+
+
+def split_offsets(counts: DataFrame) -> DataFrame:
+    """Per split: line offset within its file, good/bad-row offsets over all files
+    (file order), and the first id ``monotonically_increasing_id`` gives a good
+    / bad row of the split in the passes that keep only those rows.
+
+    The global running sums are distributed prefix sums; the per-file line
+    offset is the global prefix minus the prefix at the file's first split, so
+    even one huge file is not funnelled through a single task.
+    """
+    g = exclusive_prefix_sum(counts, ["_file", "_block"], ["_n", "_ng", "_nb"], prefix="_before")
+    starts = g.groupBy("_file").agg(F.min("_before_n").alias("_file_start"))
+    g = g.join(starts, "_file")
+    part = partition_of(F.col("_pos0"))
+    base = F.shiftleft(part, POS_BITS)
+    # splits sharing one scan partition: a handful (small files packed together)
+    w = Window.partitionBy(part).orderBy("_pos0").rowsBetween(Window.unboundedPreceding, -1)
+    return g.select(
+        "_file", "_block", "_n", "_pos0", "_ng", "_nb", "_header_hash",
+        (F.col("_before_n") - F.col("_file_start")).alias("_line_off"),
+        F.col("_before_ng").alias("_good_off"),
+        F.col("_before_nb").alias("_bad_off"),
+        (base + F.coalesce(F.sum("_ng").over(w), F.lit(0))).alias("_good_pos0"),
+        (base + F.coalesce(F.sum("_nb").over(w), F.lit(0))).alias("_bad_pos0"),
     )
 
 
@@ -193,8 +208,9 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
         cached = input_bytes(spark, path) <= cache_max_bytes
         if cached:
             classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
+        split_counts(classified).write.mode("overwrite").parquet(f"{out_dir}/_split_counts")
         stats_path = f"{out_dir}/_split_stats"
-        split_stats(classified).write.mode("overwrite").parquet(stats_path)
+        split_offsets(spark.read.parquet(f"{out_dir}/_split_counts")).write.mode("overwrite").parquet(stats_path)
         stats = spark.read.parquet(stats_path)
 
         # The offsets table has one row per input split: its size is bounded by

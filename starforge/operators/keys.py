@@ -29,13 +29,6 @@ def row_in_partition(pos: Column) -> Column:
     return pos - F.shiftleft(partition_of(pos), POS_BITS)
 
 
-def running_offset(counts: DataFrame, count_col: str, order_cols: list, partition_cols=()) -> Column:
-    """Sum of ``count_col`` over earlier rows (0 for the first); meant for small
-    per-split / per-partition tables only."""
-    w = Window.partitionBy(*partition_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(count_col).over(w), F.lit(0)).cast("long")
-
-
 def dense_key(df: DataFrame, order_cols: list, id_col: str, num_partitions: int | None = None) -> DataFrame:
     """Add ``id_col`` = 1..n following ``order_cols`` (which must be unique)."""
     spark = df.sparkSession
@@ -58,3 +51,34 @@ def dense_key(df: DataFrame, order_cols: list, id_col: str, num_partitions: int
         return ordered.withColumn(id_col, F.lit(None).cast("long")).drop("_pos")
     off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (partition_of(F.col("_pos")) + 1).cast("int"))
     return ordered.withColumn(id_col, (off + row_in_partition(F.col("_pos")) + 1).cast("long")).drop("_pos")
+
+
+def exclusive_prefix_sum(df: DataFrame, order_cols: list, value_cols: list, prefix: str = "_before",
+                         num_partitions: int | None = None) -> DataFrame:
+    """For every value column ``v`` add ``{prefix}{v}``: the sum of ``v`` over all rows
+    that come earlier in ``order_cols`` (0 for the first row).
+
+    Distributed: range partition + checkpoint, a window inside each range
+    partition, and the per-partition totals (one row per partition, fetched to
+    the driver) applied as a literal offset array.  No single-task window.
+    """
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                 .withColumn("_pp", F.spark_partition_id()))
+    ordered = ordered.checkpoint(eager=True)
+    totals = {r["_pp"]: r for r in ordered.groupBy("_pp").agg(
+        *[F.sum(v).alias(v) for v in value_cols]).collect()}
+    parts = max(totals) + 1 if totals else 0
+    w = Window.partitionBy("_pp").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    out = ordered
+    for v in value_cols:
+        offsets, run = [], 0
+        for p in range(parts):
+            offsets.append(run)
+            run += int(totals[p][v] or 0) if p in totals else 0
+        base = (F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_pp") + 1)
+                if offsets else F.lit(0).cast("long"))
+        out = out.withColumn(f"{prefix}{v}", (base + F.coalesce(F.sum(v).over(w), F.lit(0))).cast("long"))
+    return out.drop("_pp")

@@ -3,15 +3,14 @@
 Lines end at ``\\n``, ``\\r`` or ``\\r\\n`` (Hadoop line reader), like Python's
 universal newlines. Invalid UTF-8 becomes U+FFFD.
 
-Line numbers are computed per file from per-split counts (``split_stats``): no
-global sort and no single task ever holds the lines.
+Line numbers are computed per file from per-split counts (see
+``operators.ingest``): no global sort and no single task ever holds the lines.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starforge.operators.keys import running_offset
 
 
 def read_lines(spark: SparkSession, path) -> DataFrame:
@@ -24,15 +23,3 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_pos"),
     )
-
-
-def number_lines(lines: DataFrame, offsets: DataFrame) -> DataFrame:
-    """Attach ``line_number`` (1-based, per file) using per-split offsets
-    (columns _file, _block, _line_off, _pos0)."""
-    j = lines.join(F.broadcast(offsets.select("_file", "_block", "_line_off", "_pos0")), ["_file", "_block"])
-    return j.withColumn("line_number", F.col("_line_off") + F.col("_pos") - F.col("_pos0") + 1)
-
-
-def line_offsets(stats: DataFrame) -> DataFrame:
-    """Per-split line offsets from per-split counts (_file, _block, _n, _pos0)."""
-    return stats.withColumn("_line_off", running_offset(stats, "_n", ["_block"], ["_file"]))

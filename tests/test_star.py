@@ -171,3 +171,18 @@ def test_key_checks_find_violations(spark, sample_df, tmp_path):
     assert got["fk:bridge_job_skills.job_id"] == 1 and got["fk:bridge_job_skills.skill_id"] == 1
     assert got["not_null:raw_jobs_rejected.line_number"] == 1
     assert got["pk_unique:fact_jobs"] == 0 and len(got) == 24
+
+
+def test_exclusive_prefix_sum_matches_python(spark):
+    from starforge.operators.keys import exclusive_prefix_sum
+    rows = [(f"f{i % 3}", i, (i * 37) % 11, i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "f string, b long, a long, c long")
+    got = exclusive_prefix_sum(df, ["f", "b"], ["a", "c"], num_partitions=5).collect()
+    got = sorted((r.f, r.b, r._beforea, r._beforec) for r in got)
+    run_a = run_c = 0
+    exp = []
+    for f, b, a, c in sorted(rows):
+        exp.append((f, b, run_a, run_c))
+        run_a += a
+        run_c += c
+    assert got == exp
