@@ -225,7 +225,8 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
         numbered = (numbered
                     .withColumn("line_number", F.col("_line_off") + F.col("_pos") - F.col("_pos0") + 1)
                     .withColumn("_is_header", is_header))
-        stamp = load_time(now)
+        # One load instant per run, shared by both tables
+        stamp = F.lit(spark.range(1).select(load_time(now).cast("string")).first()[0]).cast("timestamp_ntz")
 
         # ---- valid rows -> raw_jobs
         good = numbered.where(F.col("_ok") & ~F.col("_is_header"))

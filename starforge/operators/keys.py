@@ -53,6 +53,9 @@ def dense_key(df: DataFrame, order_cols: list, id_col: str, num_partitions: int
     return ordered.withColumn(id_col, (off + row_in_partition(F.col("_pos")) + 1).cast("long")).drop("_pos")
 
 
+PREFIX_ROWS_PER_PARTITION = 100_000
+
+
 def exclusive_prefix_sum(df: DataFrame, order_cols: list, value_cols: list, prefix: str = "_before",
                          num_partitions: int | None = None) -> DataFrame:
     """For every value column ``v`` add ``{prefix}{v}``: the sum of ``v`` over all rows
@@ -60,11 +63,23 @@ def exclusive_prefix_sum(df: DataFrame, order_cols: list, value_cols: list, pref
 
     Distributed: range partition + checkpoint, a window inside each range
     partition, and the per-partition totals (one row per partition, fetched to
-    the driver) applied as a literal offset array.  No single-task window.
+    the driver) applied as a literal offset array.  Partitions hold about
+    ``PREFIX_ROWS_PER_PARTITION`` rows; a table that fits in one uses a single
+    window.
     """
     spark = df.sparkSession
+    if num_partitions is None:
+        # meant for small, materialized tables: counting them is cheap
+        rows = df.count()
+        num_partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                             max(1, -(-rows // PREFIX_ROWS_PER_PARTITION)))
+    if num_partitions == 1:
+        # fits one partition: one window, nothing sampled, nothing to checkpoint
+        w = Window.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select("*", *[F.coalesce(F.sum(v).over(w), F.lit(0)).cast("long").alias(f"{prefix}{v}")
+                                for v in value_cols])
     checkpoint_root(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions
     ordered = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
                  .withColumn("_pp", F.spark_partition_id()))
     ordered = ordered.checkpoint(eager=True)

@@ -177,8 +177,10 @@ def test_exclusive_prefix_sum_matches_python(spark):
     from starforge.operators.keys import exclusive_prefix_sum
     rows = [(f"f{i % 3}", i, (i * 37) % 11, i % 2) for i in range(200)]
     df = spark.createDataFrame(rows, "f string, b long, a long, c long")
-    got = exclusive_prefix_sum(df, ["f", "b"], ["a", "c"], num_partitions=5).collect()
-    got = sorted((r.f, r.b, r._beforea, r._beforec) for r in got)
+    got5 = exclusive_prefix_sum(df, ["f", "b"], ["a", "c"], num_partitions=5).collect()
+    got1 = exclusive_prefix_sum(df, ["f", "b"], ["a", "c"]).collect()
+    got = sorted((r.f, r.b, r._beforea, r._beforec) for r in got5)
+    assert sorted((r.f, r.b, r._beforea, r._beforec) for r in got1) == got
     run_a = run_c = 0
     exp = []
     for f, b, a, c in sorted(rows):
