@@ -8,15 +8,19 @@ the saved ``raw_jobs`` table is read instead of the text (S4).
 """
 from __future__ import annotations
 
+import logging
 import uuid
 
 from pyspark.sql import SparkSession
 
-from starforge.operators.ingest import ingest, typed_from_raw
+from starforge.operators.checks import null_key_counts
+from starforge.operators.ingest import ingest, reject_preview, typed_from_raw
 from starforge.operators.star import build_star
 from starforge.session import hadoop_fs
 from starforge.sources.store import save_tables
 
+log = logging.getLogger("starforge")
+
 
 def run(spark: SparkSession, path: str | None, out_dir: str, load_raw: bool = True,
         now: str | None = None, match_country: bool = False) -> dict:
@@ -26,6 +30,7 @@ def run(spark: SparkSession, path: str | None, out_dir: str, load_raw: bool = Tr
         staged = f"{out_dir}/_ingest-{uuid.uuid4().hex[:12]}"
         ing = ingest(spark, path, out_dir=staged, now=now)
         raw = ing.valid
+        _log_rejects(ing)
         # already written by ingest: moved into place, not copied
         tables["raw_jobs"] = ing.paths["raw_jobs"]
         tables["raw_jobs_rejected"] = ing.paths["raw_jobs_rejected"]
@@ -34,6 +39,11 @@ def run(spark: SparkSession, path: str | None, out_dir: str, load_raw: bool = Tr
     star = build_star(typed_from_raw(raw), row_is_dense=True, match_country=match_country)
     tables.update(star.tables())
     counts = save_tables(spark, tables, out_dir)
+    nulls = null_key_counts(spark.read.parquet(f"{out_dir}/fact_jobs")).first()
+    if nulls["sin_empresa"]:
+        log.warning("%s postings without company -> company_id NULL", f"{nulls['sin_empresa']:,}")
+    if nulls["sin_ubicacion"]:
+        log.warning("%s postings without location -> location_id NULL", f"{nulls['sin_ubicacion']:,}")
     if load_raw:
         fs, staged_path = hadoop_fs(spark, staged)
         if fs.exists(staged_path):
@@ -41,6 +51,19 @@ def run(spark: SparkSession, path: str | None, out_dir: str, load_raw: bool = Tr
     return counts
 
 
+def _log_rejects(ing) -> None:
+    """The number of rejects and the first 20 of them (120 characters each)."""
+    n = ing.counts.get("rejected", 0)
+    if not n:
+        log.info("every CSV line had the expected 17 fields")
+        return
+    log.warning("%s line(s) rejected; first ones:", f"{n:,}")
+    for r in reject_preview(ing.rejected).collect():
+        log.warning("  line %-10s expected %-4s %s", r.line_number, r.fields_expected, r.content)
+    if n > 20:
+        log.warning("  ... and %s more (see raw_jobs_rejected)", f"{n - 20:,}")
+
+
 def summary(counts: dict) -> str:
     return " | ".join(f"{k}: {v:,}" for k, v in counts.items())
 

@@ -36,3 +36,12 @@ def test_run_replace_failure_and_reload(spark, tmp_path):
     t = read_tables(spark, out)
     assert reports.valid_share(t).first().porcentaje_calidad == "66.67%"
     assert reports.ads_for_skill(t, "python").first()["count"] == 2
+
+
+def test_command_line(spark, tmp_path):
+    from starforge.__main__ import main
+    good = [make_csv_line(good_fields()), '"broken"']
+    out = str(tmp_path / "wh")
+    counts = main(["--csv", _write(tmp_path, "in", good), "--out", out])
+    assert counts["fact_jobs"] == 1 and counts["raw_jobs_rejected"] == 1
+    assert main(["--out", out, "--skip-raw"])["fact_jobs"] == 1
