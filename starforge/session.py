@@ -14,6 +14,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # remove reliable checkpoint files once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -41,6 +43,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder every executor can reach "
+                "(HDFS, S3, ABFS...); dimension keys are checkpointed there")
         configured = tempfile.mkdtemp(prefix="starforge-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
