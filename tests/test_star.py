@@ -32,6 +32,11 @@ class TestDimCompanies:
         assert [r.company_name for r in build_dim_companies(make_typed(spark, rows)).collect()] == ["Z"]
 
 
+    def test_empty_frame_gives_empty_dimension(self, sample_df):
+        dim = build_dim_companies(sample_df.limit(0))
+        assert dim.count() == 0 and dim.columns == ["company_id", "company_name"]
+
+
 class TestDimLocations:
     def test_two_locations_and_city(self, sample_df):
         d = {r.raw_location: (r.location_id, r.city) for r in build_dim_locations(sample_df).collect()}
