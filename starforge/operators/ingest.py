@@ -52,15 +52,26 @@ class Ingested:
     paths: dict = field(default_factory=dict)   # where raw_jobs / raw_jobs_rejected were written
 
 
+def line_checks(value) -> list:
+    """_blank (whitespace only) and _rec (the 17 fields + _bad) of a line."""
+    rec = F.from_csv(unwrap_excel(value), _FIELD_SCHEMA, _CSV_OPTIONS)
+    return [(py_strip(value) == F.lit("")).alias("_blank"), rec.alias("_rec")]
+
+
+def with_ok(df: DataFrame) -> DataFrame:
+    """_ok: exactly 17 fields (not blank, not an empty unwrapped line)."""
+    return df.withColumn("_ok", ~F.col("_blank") & (unwrap_excel("value") != F.lit(""))
+                         & F.col("_rec._bad").isNull())
+
+
 def classify(lines: DataFrame) -> DataFrame:
-    """Add _blank, _rec (17 fields + _bad) and _ok (exactly 17 fields)."""
-    inner = unwrap_excel("value")
-    rec = F.from_csv(inner, _FIELD_SCHEMA, _CSV_OPTIONS)
-    blank = py_strip("value") == F.lit("")
-    return (lines
-            .withColumn("_blank", blank)
-            .withColumn("_rec", rec)
-            .withColumn("_ok", ~blank & (inner != F.lit("")) & F.col("_rec._bad").isNull()))
+    """Add _blank, _rec (17 fields + _bad) and _ok (exactly 17 fields) to lines."""
+    return with_ok(lines.select("*", *line_checks(F.col("value"))))
+
+
+def read_classified(spark: SparkSession, path) -> DataFrame:
+    """Lines of ``path`` with positions and checks computed in one projection."""
+    return with_ok(read_lines(spark, path, derive=line_checks))
 
 
 def split_counts(classified: DataFrame) -> DataFrame:
@@ -197,14 +208,14 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
     out_dir = out_dir or scratch_path(spark, "ingest")
     pinned = {"spark.sql.files.minPartitionNum": str(spark.sparkContext.defaultParallelism)}
     with conf_override(spark, pinned):
-        lines = read_lines(spark, path)
+        lines = read_lines(spark, path)   # header text only
         # Three passes read the same file listing with the same pinned split
         # size, so every line gets the same (file, split, position) in each pass
         # (filters on the split columns do not prune splits).  Input up to
         # ``cache_max_bytes`` is parsed once and cached for the three passes;
         # larger input is re-read, rather than keeping a parsed copy of it on
         # executor disks.  Either way a lost block is recomputed from its split.
-        classified = classify(lines)
+        classified = read_classified(spark, path)
         cached = input_bytes(spark, path) <= cache_max_bytes
         if cached:
             classified = classified.persist(StorageLevel.MEMORY_AND_DISK)

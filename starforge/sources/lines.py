@@ -13,13 +13,19 @@ from pyspark.sql import functions as F
 
 
 
-def read_lines(spark: SparkSession, path) -> DataFrame:
-    """Columns: value, _file, _block (split start byte), _pos (monotonic id)."""
+def read_lines(spark: SparkSession, path, derive=None) -> DataFrame:
+    """Columns: value, _file, _block (split start byte), _pos (monotonic id), plus
+    ``derive(value)`` columns.
+
+    Derived columns are computed in the same projection as ``_pos``: a filter
+    on them then cannot be pushed below it (the projection is not
+    deterministic), so each derived expression is evaluated once per line.
+    """
     paths = [path] if isinstance(path, str) else list(path)
     raw = spark.read.option("recursiveFileLookup", "true").text(paths)
-    return raw.select(
-        F.make_valid_utf8("value").alias("value"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_pos"),
-    )
+    value = F.make_valid_utf8("value")
+    cols = [value.alias("value"),
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_pos")]
+    return raw.select(*cols, *(derive(value) if derive else []))
