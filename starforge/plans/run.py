@@ -28,7 +28,11 @@ def run(spark: SparkSession, path: str | None, out_dir: str, load_raw: bool = Tr
     tables: dict = {}
     if load_raw:
         staged = f"{out_dir}/_ingest-{uuid.uuid4().hex[:12]}"
-        ing = ingest(spark, path, out_dir=staged, now=now)
+        try:
+            ing = ingest(spark, path, out_dir=staged, now=now)
+        except Exception:
+            _remove(spark, staged)   # nothing of a failed run stays behind
+            raise
         raw = ing.valid
         _log_rejects(ing)
         # already written by ingest: moved into place, not copied
@@ -45,12 +49,16 @@ def run(spark: SparkSession, path: str | None, out_dir: str, load_raw: bool = Tr
     if nulls["sin_ubicacion"]:
         log.warning("%s postings without location -> location_id NULL", f"{nulls['sin_ubicacion']:,}")
     if load_raw:
-        fs, staged_path = hadoop_fs(spark, staged)
-        if fs.exists(staged_path):
-            fs.delete(staged_path, True)
+        _remove(spark, staged)
     return counts
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def _log_rejects(ing) -> None:
     """The number of rejects and the first 20 of them (120 characters each)."""
     n = ing.counts.get("rejected", 0)

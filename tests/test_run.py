@@ -28,6 +28,8 @@ def test_run_replace_failure_and_reload(spark, tmp_path):
     bad = [make_csv_line(good_fields("Astronaut"))]
     with pytest.raises(ValidationError):
         run(spark, _write(tmp_path, "in2", bad), out)
+    import os
+    assert not [n for n in os.listdir(out) if n.startswith("_")]   # no staging left behind
     t = read_tables(spark, out)
     assert {r.tabla: r.filas for r in reports.load_counts(t).collect()}["fact_jobs"] == 2
 
