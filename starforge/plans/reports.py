@@ -54,11 +54,12 @@ def top_skills(t: dict, k: int = 15) -> DataFrame:
     b, s = t["bridge_job_skills"], t["dim_skills"]
     g = (b.join(s, "skill_id").groupBy("skill_id", "skill_name", "skill_category")
           .agg(F.count("job_id").alias("avisos_que_la_piden")))
-    top = g.orderBy(F.desc("avisos_que_la_piden"), "skill_name").limit(k)
-    return (top.withColumn("_total", _count(t["fact_jobs"]))
-               .select(F.col("skill_name").alias("habilidad"), F.col("skill_category").alias("categoria"),
-                       "avisos_que_la_piden",
-                       percent_text("avisos_que_la_piden", "_total", 1).alias("porcentaje_avisos")))
+    # ordering + limit last, so that Spark plans a take-ordered (no global sort)
+    return (g.withColumn("_total", _count(t["fact_jobs"]))
+             .select(F.col("skill_name").alias("habilidad"), F.col("skill_category").alias("categoria"),
+                     "avisos_que_la_piden",
+                     percent_text("avisos_que_la_piden", "_total", 1).alias("porcentaje_avisos"))
+             .orderBy(F.desc("avisos_que_la_piden"), "habilidad").limit(k))
 
 
 def salary_by_title(t: dict) -> DataFrame:
