@@ -7,8 +7,12 @@
    the partition index, its lower 33 bits the row's position in the partition,
 3. checkpoint, so the sampled range bounds and positions are fixed even if an
    executor is lost and work is recomputed,
-4. count rows per partition (one row per partition), running sum over those
-   few rows, broadcast the offsets back (size bound: the partition count).
+4. count rows per partition (one row per partition, fetched to the driver:
+   bounded by the partition count) and apply the running offsets as a literal
+   array — no join, no single-task window.
+
+``exclusive_prefix_sum`` uses the same layout for running sums over a
+(small) table ordered by some columns.
 """
 from __future__ import annotations
 
