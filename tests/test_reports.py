@@ -91,3 +91,11 @@ def test_analytic_model(tables):
     assert flags == {6: (True, False, True), 3: (False, True, False)}
     fa = {r.job_id: (r.date_id, r.flag_id, r.job_count) for r in build_fact_analytic(fact).collect()}
     assert fa == {1: (20230101, 6, 1), 2: (20230215, 3, 1), 3: (20230310, 6, 1)}
+
+
+def test_load_counts_labels(tables):
+    from starforge import schemas
+    rows = {r.tabla: (r.filas, r.descripcion) for r in reports.load_counts(tables).collect()}
+    labels = dict(schemas.TABLE_LABELS)
+    assert rows["fact_jobs"] == (3, labels["fact_jobs"]) and rows["bridge_job_skills"] == (9, labels["bridge_job_skills"])
+    assert rows["raw_jobs_rejected"] == (1, labels["raw_jobs_rejected"]) and len(rows) == 7
