@@ -35,11 +35,41 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.PATTERN)
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm.op10_html_extraction import extract_main_text
+    return extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm.op6_language_id import identify_languages
+    return identify_languages(read_table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm.op3_toxicity import score_toxicity
+    return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op2_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm.op2_quality_resampling import resample_labelled
+    return resample_labelled(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm.op9_decontamination import contaminated
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     return {
+        "op2_quality_resampling": op2_quality_resampling,
+        "op3_toxicity": op3_toxicity,
         "op5_sharding": op5_sharding,
+        "op6_language_id": op6_language_id,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_token_output": op8_token_output,
+        "op9_decontamination": op9_decontamination,
+        "op10_html_extraction": op10_html_extraction,
     }
 
 
