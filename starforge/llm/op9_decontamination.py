@@ -135,21 +135,27 @@ class Index:
     def regions(self, points: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """(segment, start, length, edits) of verified matches in ``points``."""
         seg, band = self.bands(points)
-        for s in np.unique(seg):
-            e, pattern = int(self.edits[s]), self.points[s]
-            # band b holds the diagonals (b - 1)(e + 1) .. (b + 1)(e + 1) - 1
-            low = (band[seg == s] - 1) * (e + 1) - SEGMENT
-            for at in range(0, len(low), 512):
-                yield from ((int(s), *r) for r in aligned(pattern, points, low[at:at + 512], 2 * (e + 1), e))
-
-
-def aligned(pattern: np.ndarray, points: np.ndarray, low: np.ndarray, width: int, limit: int) -> list[tuple]:
-    """(start, length, edits) of the best alignment of ``pattern`` in each band of diagonals.
+        sizes = np.array([len(self.points[s]) for s in seg], np.int64)
+        for n in np.unique(sizes):   # equally long segments allow equally many edits
+            rows = np.flatnonzero(sizes == n)
+            for at in range(0, len(rows), 512):
+                part = rows[at:at + 512]
+                e = int(self.edits[seg[part[0]]])
+                # band b holds the diagonals (b - 1)(e + 1) .. (b + 1)(e + 1) - 1
+                low = (band[part] - 1) * (e + 1) - SEGMENT
+                patterns = np.stack([self.points[s] for s in seg[part]])
+                for row, found in aligned(patterns, points, low, 2 * (e + 1), e):
+                    yield int(seg[part[row]]), *found
+
+
+def aligned(patterns: np.ndarray, points: np.ndarray, low: np.ndarray, width: int,
+            limit: int) -> list[tuple[int, tuple]]:
+    """(row, (start, length, edits)) of the best alignment of each pattern in its band of diagonals.
 
     A band starts at diagonal ``low`` and is widened by ``limit`` on both sides; alignments may start
     and end on any of its diagonals.
     """
-    n, cols = len(pattern), width + 2 * limit + 1
+    n, cols = patterns.shape[1], width + 2 * limit + 1
     base = low - limit
     steps = np.arange(cols)
     cost = np.zeros((len(low), cols), np.int32)
@@ -158,7 +164,7 @@ def aligned(pattern: np.ndarray, points: np.ndarray, low: np.ndarray, width: int
     for i in range(n):
         at = base[:, None] + steps + i
         inside = (at >= 0) & (at < len(points))
-        same = inside & (points[np.where(inside, at, 0)] == pattern[i])
+        same = inside & (points[np.where(inside, at, 0)] == patterns[:, i:i + 1])
         new = cost + np.where(same, 0, 1).astype(np.int32)
         new[~inside] = far
         skip = np.concatenate([cost[:, 1:] + 1, np.full((len(low), 1), far, np.int32)], 1)  # a pattern character missing
@@ -174,7 +180,7 @@ def aligned(pattern: np.ndarray, points: np.ndarray, low: np.ndarray, width: int
     for c in np.flatnonzero(cost.min(1) <= limit):
         end = int(base[c] + n + best[c])
         begin = max(int(start[c, best[c]]), 0)
-        out.append((begin, min(end, len(points)) - begin, int(cost[c, best[c]])))
+        out.append((int(c), (begin, min(end, len(points)) - begin, int(cost[c, best[c]]))))
     return out
 
 

@@ -50,6 +50,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm.op1_minhash_dedup import near_duplicate_classes
+    return near_duplicate_classes(read_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starforge.llm.op2_quality_resampling import resample_labelled
     return resample_labelled(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -62,6 +67,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_minhash_dedup": op1_minhash_dedup,
         "op2_quality_resampling": op2_quality_resampling,
         "op3_toxicity": op3_toxicity,
         "op5_sharding": op5_sharding,

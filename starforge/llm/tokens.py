@@ -9,6 +9,7 @@ whole texts.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 
@@ -18,6 +19,18 @@ _UNSAFE = re.compile("[^\x00-\x1b\x20-\x84\x86-įı-ɏ‐-‧€]")
 # A chunk that ends in plain punctuation: its two parts are split from each other by any
 # of the tokenizer's rules.
 _TAIL = re.compile(r"([a-zß-öø-ÿ]+)([.,;:!?%&$#*|]+)")
+# A chunk that any of the tokenizer's rules leaves in one piece; the merges run on it directly.
+_PIECE = re.compile(r"[a-zß-öø-ÿ]+|[.,;:!?%&$#*|]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level BPE writes for each byte: printable ones stand for themselves."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
 
 
 class WordTokenIds(dict):
@@ -27,6 +40,7 @@ class WordTokenIds(dict):
         from tokenizers import Tokenizer
         super().__init__()
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.merge = self.tokenizer.model.tokenize
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -34,8 +48,13 @@ class WordTokenIds(dict):
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= self.limit:
             self.clear()
-        parts = _TAIL.fullmatch(chunk)
-        ids = self[parts[1]] + self[parts[2]] if parts else self.whole(chunk)
+        if _PIECE.fullmatch(chunk):
+            letters = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(_LETTERS)
+            ids = array("I", [t.id for t in self.merge(letters)]).tobytes()
+        elif parts := _TAIL.fullmatch(chunk):
+            ids = self[parts[1]] + self[parts[2]]
+        else:
+            ids = self.whole(chunk)
         self[chunk] = ids
         return ids
 
