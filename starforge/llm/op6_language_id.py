@@ -21,6 +21,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -187,51 +188,75 @@ def fit(docs: DataFrame, max_rows: int = 1500) -> ByteCnn | None:
     return ByteCnn(classes).train(x, y)
 
 
+def text_languages(model: ByteCnn, tables, texts: list, group: int = 2048) -> tuple[list[str], list[float]]:
+    """Language and score of every text."""
+    langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    sums = np.zeros((len(texts), len(model.classes)))
+    held: list[np.ndarray] = []
+    owners: list[np.ndarray] = []
+
+    def flush() -> None:
+        if held:
+            x = np.concatenate(held)
+            q = np.concatenate([model.probabilities(x[i:i + group], tables) for i in range(0, len(x), group)])
+            np.add.at(sums, np.concatenate(owners), q * (x != 0).sum(1, keepdims=True))
+        held.clear()
+        owners.clear()
+
+    known, size = [i for i, t in enumerate(texts) if t and _LETTER.search(t)], 0
+    for i in known:
+        w = windows_of(texts[i])
+        for at in range(0, len(w), 8 * group):  # a very long text takes several turns
+            held.append(w[at:at + 8 * group])
+            owners.append(np.full(len(held[-1]), i))
+            size += len(held[-1])
+            if size >= 8 * group:
+                flush()
+                size = 0
+    flush()
+    total = sums.sum(1)
+    for i in known:
+        best = int(sums[i].argmax())
+        langs[i], scores[i] = model.classes[best], float(sums[i, best] / max(total[i], 1e-12))
+    return langs, scores
+
+
 def predict(docs: DataFrame, model: ByteCnn | None, columns: list[str]) -> DataFrame:
     """``columns`` of every row of ``docs`` with ``lang_pred`` and ``score``."""
     schema = docs.select(*columns).schema.add("lang_pred", "string").add("score", "double")
     names = [f.name for f in schema]
-    group = 2048
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = model.tables() if model else None
         for batch in batches:
             texts = batch.column(len(columns)).to_pylist()
-            langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            if model:
-                width = len(model.classes)
-                sums = np.zeros((len(texts), width))
-                held, owners, size = [], [], 0
-
-                def flush() -> None:
-                    if held:
-                        x = np.concatenate(held)
-                        q = np.concatenate([model.probabilities(x[i:i + group], tables) for i in range(0, len(x), group)])
-                        weight = (x != 0).sum(1, keepdims=True)
-                        np.add.at(sums, np.concatenate(owners), q * weight)
-
-                known = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
-                for i in known:
-                    w = windows_of(texts[i])
-                    for at in range(0, len(w), 8 * group):  # a very long text takes several turns
-                        part = w[at:at + 8 * group]
-                        held.append(part)
-                        owners.append(np.full(len(part), i))
-                        size += len(part)
-                        if size >= 8 * group:
-                            flush()
-                            held, owners, size = [], [], 0
-                flush()
-                total = sums.sum(1)
-                for i in known:
-                    best = int(sums[i].argmax())
-                    langs[i], scores[i] = model.classes[best], float(sums[i, best] / max(total[i], 1e-12))
+            langs, scores = text_languages(model, tables, texts) if model else \
+                ([UNKNOWN] * len(texts), [0.0] * len(texts))
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(columns)], pa.array(langs, pa.string()),
                                               pa.array(scores, pa.float64())], names)
 
     return docs.select(*columns, F.col("text").alias("_text")).mapInArrow(run, schema)
 
 
+def with_known_language(docs: DataFrame, min_score: float, held_out: int = 2, modulus: int = 4) -> DataFrame:
+    """Rows of ``docs`` whose text has a language with at least ``min_score``, with the columns of ``docs``.
+
+    Without any labelled row nothing can be told and all rows stay.
+    """
+    model = fit(docs.where(id_remainder(F.col("doc_id"), modulus) != held_out))
+    if model is None:
+        return docs
+
+    @F.pandas_udf("boolean")
+    def is_known(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tables = model.tables()
+        for part in texts:
+            langs, scores = text_languages(model, tables, list(part))
+            yield pd.Series([lang != UNKNOWN and score >= min_score for lang, score in zip(langs, scores)], dtype=bool)
+
+    return docs.where(is_known(F.col("text").cast("string")))
+
+
 def identify_languages(docs: DataFrame, held_out: int = 2, modulus: int = 4) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): learned from rows outside the held-out fold."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"),

@@ -16,6 +16,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm.op4_embedding_dedup import near_duplicate_vectors
+    return near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starforge.llm.op5_sharding import shard_documents
     return shard_documents(read_table(spark, sf_dir, "documents"), SHARDS)
@@ -70,6 +75,7 @@ def queries() -> dict:
         "op1_minhash_dedup": op1_minhash_dedup,
         "op2_quality_resampling": op2_quality_resampling,
         "op3_toxicity": op3_toxicity,
+        "op4_embedding_dedup": op4_embedding_dedup,
         "op5_sharding": op5_sharding,
         "op6_language_id": op6_language_id,
         "op7_best_fit_packing": op7_best_fit_packing,
