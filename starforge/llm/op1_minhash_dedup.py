@@ -292,5 +292,5 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, counts
 def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Rows of ``docs`` of the kept documents, one row per id; rows without an id stay."""
     kept = classes.where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    named = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
     return named.union(docs.where("doc_id is null"))

@@ -105,6 +105,7 @@ def resample(docs: DataFrame, target_ids: DataFrame, keep_share: float, max_rows
 
     ``target_ids`` (doc_id) names rows of the target corpus.
     """
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     target = target_ids.select(F.col("doc_id").cast("long").alias("_id")).where("_id is not null").distinct()
     n = target.count()
     u = F.pmod(F.xxhash64(F.lit(seed), "_id"), F.lit(1_000_000)) / 1_000_000
@@ -112,7 +113,7 @@ def resample(docs: DataFrame, target_ids: DataFrame, keep_share: float, max_rows
     ratios = log_ratios(bucket_counts(docs.join(chosen, docs["doc_id"] == F.col("_id"), "left_semi")),
                         bucket_counts(docs))
     uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 11) + 0.5) / F.lit(2.0 ** 53)
-    keyed = staged(importance(docs.select(F.col("doc_id").cast("long"), "text"), ratios, ["doc_id"])
+    keyed = staged(importance(docs, ratios, ["doc_id"])
                    .withColumn("key", F.col("log_weight") - F.log(-F.log(uniform))), "quality-keys")
     k = round(keep_share * keyed.count())
     ranked = with_global_index(keyed.withColumn("_last", -F.coalesce(F.col("key"), F.lit(float("-inf")))),

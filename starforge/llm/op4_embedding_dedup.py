@@ -116,7 +116,7 @@ def block_links(rows: pd.DataFrame, threshold: float, shared: int) -> pd.DataFra
             hit = (near[right][:, None, :] == p[None, :, :]).any(axis=2).T
             count += hit
             smallest = np.where(hit, np.minimum(smallest, p), smallest)
-        pair = (count >= shared) & (smallest == pivot)
+        pair = (count >= min(shared, near.shape[1])) & (smallest == pivot)
         if low == high:
             pair &= a[:, None] < right[None, :]
         i, j = np.nonzero(pair)

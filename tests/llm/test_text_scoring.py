@@ -1,0 +1,189 @@
+"""Toxicity, quality and language: held-out accuracy, automata against edit distance, odd input."""
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from starforge.llm import op2_quality_resampling as quality
+from starforge.llm import op3_toxicity as toxicity
+from starforge.llm import op6_language_id as language
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a):
+        new = [i + 1]
+        for j, d in enumerate(b):
+            new.append(min(row[j] + (c != d), row[j + 1] + 1, new[-1] + 1))
+        row = new
+    return row[-1]
+
+
+ENTRIES = [("trash", False), ("blockhead", False), ("mean", False), ("abacaba", True), ("abab", True)]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text("abct rshmen", max_size=12).map(lambda s: s.replace(" ", "")))
+def test_automata_match_edit_distance(token):
+    lexicon = toxicity.FuzzyLexicon(ENTRIES)
+    best = None
+    for i, (letters, stem) in enumerate(ENTRIES):
+        allowed = lexicon.allowed(letters, stem)
+        ends = range(len(token) + 1) if stem else [len(token)]
+        d = min(distance(token[:k], letters) for k in ends)
+        if d <= allowed:
+            best = min(best or (99,), (d, -len(letters), i))
+    assert lexicon.match(token) == (best and (best[2], best[0]))
+
+
+@pytest.mark.parametrize("word", ["blockhead", "blokhead", "blockheed", "bolckhead", "bblockhead", "xblockheadx"])
+def test_misspelled_words_are_caught(word):
+    assert toxicity.FuzzyLexicon(ENTRIES).match(word)[0] == 1
+
+
+def test_quoted_hits_score_less():
+    model = toxicity.ToxicityModel([("nitwit", False, 4.0)])
+    reader = toxicity.TextHits(model.lexicon)
+    plain = model.score(reader.features("you are a nitwit and everyone knows it"))
+    quoted = model.score(reader.features('the word "nitwit" was quoted in the term paper'))
+    none = model.score(reader.features("a friendly note"))
+    assert plain > quoted > none
+
+
+def test_toxicity_on_held_out_rows(corpus):
+    docs, labels = corpus
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    rows = toxicity.score_toxicity(docs, labels).collect()
+    assert len(rows) == docs.count()
+    held = [(r["predicted"], truth[r["doc_id"]]) for r in rows if r["held_out"]]
+    assert len(held) > 20 and sum(p == t for p, t in held) >= 0.97 * len(held)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in rows)
+
+
+def test_labels_of_held_out_rows_are_not_used(corpus):
+    docs, labels = corpus
+    fold = {r["doc_id"] for r in toxicity.score_toxicity(docs, labels).where("held_out").collect()}
+    flipped = labels.withColumn("toxic", (1 - labels["toxic"]) * labels["doc_id"].isin(list(fold)).cast("int")
+                                + labels["toxic"] * (~labels["doc_id"].isin(list(fold))).cast("int"))
+    a = {r["doc_id"]: round(r["score"], 9) for r in toxicity.score_toxicity(docs, labels).collect()}
+    b = {r["doc_id"]: round(r["score"], 9) for r in toxicity.score_toxicity(docs, flipped).collect()}
+    assert a == b
+
+
+def test_toxicity_odd_input(spark, odd_documents, no_documents, corpus):
+    labels = spark.createDataFrame([(6, 1), (7, 0), (None, 1), (5, None), (999, 1), (6, 0)], "doc_id long, toxic int")
+    rows = toxicity.score_toxicity(odd_documents, labels).collect()
+    assert len(rows) == odd_documents.count()
+    assert {r["score"] for r in toxicity.score_toxicity(odd_documents, labels.limit(0)).collect()} == {0.0}
+    assert toxicity.score_toxicity(no_documents, labels).count() == 0
+    kept = toxicity.without_toxic(odd_documents, labels)
+    assert kept.columns == odd_documents.columns
+
+
+def test_newton_fit_converges():
+    model = toxicity.ToxicityModel([("aaaa", False, 2.0), ("bbbb", False, 2.0)])
+    a, b = model.index[(0, 0)], model.index[(1, 0)]
+    rows = [({a: 2}, 1)] * 30 + [({b: 2}, 0)] * 30 + [({}, 0)] * 100
+    model.fit(rows)
+    score = lambda k: model.score({model.names[k]: 2})
+    assert score(a) > 0.9 and score(b) < 0.1
+
+
+def test_language_of_held_out_rows(corpus):
+    docs = corpus[0]
+    truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    rows = language.identify_languages(docs.where("doc_id < 200")).collect()
+    held = [r for r in rows if r["held_out"]]
+    assert len(held) > 20 and sum(r["lang_pred"] == truth[r["doc_id"]] for r in held) >= 0.97 * len(held)
+
+
+def test_language_tables_equal_the_network():
+    rng = np.random.default_rng(3)
+    net = language.ByteCnn(["a", "b", "c"])
+    x = rng.integers(0, 256, (40, language.WINDOW)).astype(np.uint8)
+    x[:5, 20:] = 0
+    e, pooled = net.p["emb"][x], []
+    for w in language.WIDTHS:
+        patches = np.concatenate([e[:, j:language.WINDOW - w + 1 + j] for j in range(w)], axis=2)
+        pooled.append(np.maximum((patches @ net.p[f"w{w}"] + net.p[f"b{w}"]).max(axis=1), 0))
+    z = np.concatenate(pooled, 1) @ net.p["v"] + net.p["c"]
+    q = np.exp(z - z.max(1, keepdims=True))
+    assert np.allclose(net.probabilities(x, net.tables()), q / q.sum(1, keepdims=True), atol=1e-5)
+
+
+def test_language_gradients():
+    net = language.ByteCnn(["a", "b"], seed=1)
+    x = np.random.default_rng(2).integers(1, 256, (6, language.WINDOW)).astype(np.uint8)
+    y = np.array([0, 1, 0, 1, 1, 0])
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    g = net.gradients(x, y)
+
+    def loss():
+        total = 0.0
+        for row, label in zip(net.probabilities(x, [t.astype(np.float64) for t in net.tables()]), y):
+            total -= np.log(row[label])
+        return total / len(y)
+
+    for k, at in (("v", (3, 1)), ("c", (0,)), ("w3", (5, 2))):
+        eps = 1e-3
+        net.p[k][at] += eps
+        up = loss()
+        net.p[k][at] -= 2 * eps
+        down = loss()
+        net.p[k][at] += eps
+        assert abs((up - down) / (2 * eps) - g[k][at]) < 2e-2 * max(1, abs(g[k][at]))
+
+
+def test_language_odd_input(odd_documents, no_documents):
+    rows = language.identify_languages(odd_documents).collect()
+    assert len(rows) == odd_documents.count()
+    for r in rows:
+        if r["doc_id"] in (1, 2, 3, 4):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+        assert 0 <= r["score"] <= 1
+    assert language.identify_languages(no_documents).count() == 0
+    unlabelled = odd_documents.withColumn("lang", odd_documents["lang"].substr(9, 1)).where("lang is null")
+    assert all(r["lang_pred"] == "und" for r in language.identify_languages(unlabelled).collect())
+    assert language.with_known_language(odd_documents, 0.4).columns == odd_documents.columns
+
+
+def test_buckets_are_words_and_pairs():
+    cache = quality.WordHashes()
+    assert len(quality.buckets_of("one two, three", cache)) == 4 + 3
+    assert len(quality.buckets_of(" ", cache)) == 0 == len(quality.buckets_of(None, cache))
+
+
+def test_quality_prefers_the_target(spark):
+    rng = random.Random(2)
+    good, poor = [f"w{i}" for i in range(200)], [f"z{i}" for i in range(200)]
+    docs = [(i, " ".join(rng.choice(good if i % 4 else poor) for _ in range(60))) for i in range(200)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i in range(0, 200)], "doc_id long, quality int")
+    rows = quality.resample_labelled(frame, labels).collect()
+    assert len(rows) == 200
+    selected = [r for r in rows if r["selected"]]
+    assert abs(len(selected) - 0.77 * 200) <= 4
+    assert sum(r["doc_id"] % 4 != 0 for r in selected) >= 148
+    # against the formula, one text at a time
+    cache = quality.WordHashes()
+    raw, target = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
+    held = {r["doc_id"] for r in rows if r["held_out"]}
+    for i, t in docs:
+        counts = np.bincount(quality.buckets_of(t, cache), minlength=quality.BUCKETS)
+        raw += counts
+        if i % 4 and i not in held:
+            target += counts
+    ratios = quality.log_ratios(target, raw)
+    for r in rows[:20]:
+        b = quality.buckets_of(dict(docs)[r["doc_id"]], cache)
+        assert r["log_weight"] == pytest.approx(ratios[b].mean() * quality.SAMPLE_NGRAMS)
+
+
+def test_quality_odd_input(spark, odd_documents, no_documents):
+    labels = spark.createDataFrame([(6, 1), (7, 0), (None, 1), (5, None)], "doc_id long, quality int")
+    rows = quality.resample_labelled(odd_documents, labels).collect()
+    assert len(rows) == odd_documents.count()
+    assert all(r["log_weight"] is None and r["score"] == 0 for r in rows if r["doc_id"] in (1, 2, 3))
+    assert quality.resample_labelled(no_documents, labels.limit(0)).count() == 0
