@@ -23,10 +23,15 @@ TIMESTAMP_FORMATS = [
     "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy",
     "M/d/yyyy h:mm:ss a", "M/d/yyyy h:mm a",
     "d/M/yyyy H:mm:ss", "d/M/yyyy H:mm", "d/M/yyyy",
+    "M/d/yy", "d/M/yy", "M-d-yyyy", "d-M-yyyy", "yyyyMMdd",
     "yyyy-MM-dd h:mm:ss a", "yyyy/M/d H:mm:ss", "yyyy/M/d",
-    "MMM d yyyy", "MMM d, yyyy", "d MMM yyyy",
+    "MMM d yyyy", "MMM d, yyyy", "MMM d, yyyy H:mm", "MMM d, yyyy H:mm:ss", "d MMM yyyy",
 ]
 
+# The general parser is asked for four-digit years only: it would also read a bare time as
+# today's date and longer digit runs as years.
+_GENERAL_DATE_RE = r"^\s*\d{4}(-\d{1,2}(-\d{1,2}([ T].*)?)?)?\s*$"
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -66,7 +71,7 @@ def lenient_number(c) -> Column:
 def lenient_timestamp(c) -> Column:
     """Mixed-format timestamp text -> TIMESTAMP_NTZ, month first, failure -> NULL."""
     c = _c(c)
-    tries = [F.try_to_timestamp(c)] + [F.try_to_timestamp(c, F.lit(f)) for f in TIMESTAMP_FORMATS]
+    tries = [F.when(c.rlike(_GENERAL_DATE_RE), F.try_to_timestamp(c))] + [F.try_to_timestamp(c, F.lit(f)) for f in TIMESTAMP_FORMATS]
     return F.coalesce(*tries).cast("timestamp_ntz")
 
 
@@ -77,23 +82,35 @@ def city_of(raw_location) -> Column:
 
 # ---- list / dict literal text -> nested columns ----------------------------
 
+# Python literals, as possessive patterns (no backtracking into a long text).
+_STR = r"""(?:'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+")"""
+_ATOM = rf"(?:{_STR}|[+-]?[0-9][0-9_.eE+-]*+|None|True|False)"
+_LIST = rf"\[\s*+(?:{_ATOM}\s*+(?:,\s*+{_ATOM}\s*+)*+,?\s*+)?\]"
+_VALUE = rf"(?:{_LIST}|{_ATOM}|\{{(?:{_STR}|[^'\"{{}}])*+\}})"
+_ENTRY = rf"{_STR}\s*+:\s*+{_VALUE}\s*+"
+_LIST_RE = rf"(?s)^\s*+{_LIST}\s*+$"
+_DICT_RE = rf"(?s)^\s*+\{{\s*+(?:{_ENTRY}(?:,\s*+{_ENTRY})*+,?\s*+)?\}}\s*+$"
+
+
 def _literal_to_json(c) -> Column:
-    """Bring Python literal text closer to JSON: bare None -> null, no trailing comma."""
-    c = F.regexp_replace(_c(c), r"([\[,:{]\s*)None(?=\s*[,\]}])", "$1null")
-    return F.regexp_replace(c, r",\s*([\]}])", "$1")
+    """Bring Python literal text closer to JSON: None -> null, True/False -> text, no trailing
+    comma, ``\\xNN`` escapes -> ``\\u00NN``.  Quoted strings are stepped over, not edited."""
+    c = F.regexp_replace(_c(c), rf"(?s)\G((?:{_STR}|[^'\"N])*+)None", "$1null")
+    c = F.regexp_replace(c, rf"(?s)\G((?:{_STR}|[^'\"TF])*+)(True|False)", '$1"$2"')
+    c = F.regexp_replace(c, rf"(?s)\G((?:{_STR}|[^'\",]|,(?!\s*+[\]}}]))*+),(?=\s*+[\]}}])", "$1")
+    return F.regexp_replace(c, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
 
 
-def _from_literal(c, schema: str) -> Column:
-    """from_json on the text as is, else on the text with the literal fix-ups
-    (the fix-ups only touch text that is not valid JSON, so the first parse
-    wins whenever it succeeds and the regexes are skipped)."""
+def _from_literal(c, schema: str, shape: str) -> Column:
+    """from_json on text that is a literal of the given shape as a whole: as is, else with the
+    literal fix-ups (the first parse wins whenever it succeeds and the regexes are skipped)."""
     c = _c(c)
-    return F.coalesce(F.from_json(c, schema), F.from_json(_literal_to_json(c), schema))
+    return F.when(c.rlike(shape), F.coalesce(F.from_json(c, schema), F.from_json(_literal_to_json(c), schema)))
 
 
 def parse_skill_list(c) -> Column:
     """``"['a', 'b']"`` -> array<string>; blank, 'nan', malformed or non-list -> []."""
-    return F.coalesce(_from_literal(c, "array<string>"), F.array().cast("array<string>"))
+    return F.coalesce(_from_literal(c, "array<string>", _LIST_RE), F.array().cast("array<string>"))
 
 
 _GROUPS_TYPE = "array<struct<category:string,skills:array<string>>>"
@@ -126,11 +143,11 @@ def parse_skill_groups(c) -> Column:
     array<string>> with unique keys and no null value.  Anything else takes
     the per-entry path.
     """
-    m = _from_literal(c, "map<string,array<string>>")
+    m = _from_literal(c, "map<string,array<string>>", _DICT_RE)
     clean = (m.isNotNull() & (F.size(F.array_distinct(F.map_keys(m))) == F.size(m))
              & F.flatten(F.map_values(m)).isNotNull())
     fast = F.map_entries(m).cast(_GROUPS_TYPE)
-    slow = F.transform(F.map_entries(_from_literal(c, "map<string,string>")), lambda e: F.struct(
+    slow = F.transform(F.map_entries(_from_literal(c, "map<string,string>", _DICT_RE)), lambda e: F.struct(
         e["key"].alias("key"), F.from_json(e["value"], "array<string>").alias("value")))
     entries = F.coalesce(F.map_entries(m), slow)
     entries = F.when(_unique_keys(entries), entries).otherwise(_dedup_entries(entries))
@@ -205,8 +222,7 @@ def percent_text(num, den, scale: int = 1) -> Column:
 def money_text(x) -> Column:
     """``'$' || TO_CHAR(ROUND(x::NUMERIC, 0), 'FM999,999')``; NULL stays NULL.
 
-    The value is first fixed to 4 decimals so that float noise in an average
-    cannot move a .5 tie.
+    The value is rounded once, from its decimal expansion to 10 places.
     """
-    d = F.round(_c(x).cast("decimal(38,4)"), 0)
+    d = F.round(_c(x).cast("decimal(38,10)"), 0)
     return F.concat(F.lit("$"), F.format_number(d, 0))

@@ -7,21 +7,19 @@ Plan (every pass is a DataFrame job; nothing funnels through one task):
   bad counts, hash of the first line (the header check).  One row per split;
   running sums over those few rows give each split's line offset (per file)
   and good/bad-row offsets (global, file order).
-* pass 2 - valid rows: scan, broadcast-join the split offsets (bounded by the
-  split count), keep good rows, number them; type the 17 fields; write
+* pass 2 - valid rows: scan, keep good rows and number them in their scan
+  partition, then join the split offsets; type the 17 fields; write
   ``raw_jobs`` while observing validation-failure counts.
 * pass 3 - rejects: same scan, bad rows, write ``raw_jobs_rejected``.
 
-Positions come from ``monotonically_increasing_id`` on the same file listing
-and the same pinned split size in every pass, so they agree between passes.
-Input below ``cache_max_bytes`` is classified once and cached for the passes;
-larger input is re-read.
+Rows are numbered before the join, so the ids do not depend on how Spark joins
+the offsets.  Positions come from ``monotonically_increasing_id`` on the same file
+listing and the same pinned split size in every pass, so they agree between passes.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +30,7 @@ from starforge.functions.text import (
 )
 from starforge.operators.keys import POS_BITS, exclusive_prefix_sum, partition_of
 from starforge.operators.quality import ValidationError, failure_count_columns, failures_of
-from starforge.session import conf_override, hadoop_fs, scratch_path
+from starforge.session import conf_override, scratch_path
 from starforge.sources.lines import read_lines
 
 _FIELD_SCHEMA = ", ".join(f"c{i} string" for i in range(schemas.EXPECTED_COLS)) + ", _bad string"
@@ -92,17 +90,24 @@ def split_counts(classified: DataFrame) -> DataFrame:
     )
     # The first line of each file (block 0) is its header, never a data row.
     is_head_split = F.col("_block") == 0
+    head_ok = F.when(is_head_split & F.col("_first_ok"), 1).otherwise(0)
+    head_bad = F.when(is_head_split & F.col("_first_bad"), 1).otherwise(0)
     return per_split.select(
-        "_file", "_block", "_n", "_pos0",
-        (F.col("_ok_all") - F.when(is_head_split & F.col("_first_ok"), 1).otherwise(0)).alias("_ng"),
-        (F.col("_bad_all") - F.when(is_head_split & F.col("_first_bad"), 1).otherwise(0)).alias("_nb"),
+        "_file", "_block", "_n", "_pos0", "_ok_all", "_bad_all",
+        head_ok.alias("_head_ok"), head_bad.alias("_head_bad"),
+        (F.col("_ok_all") - head_ok).alias("_ng"), (F.col("_bad_all") - head_bad).alias("_nb"),
         F.when(is_head_split, F.col("_first_hash")).alias("_header_hash"))
 
 
+def file_key(file) -> "F.Column":
+    """Fixed-width key of a file path, for the join with the split offsets."""
+    return F.xxhash64(file)
+
+
 def split_offsets(counts: DataFrame) -> DataFrame:
-    """Per split: line offset within its file, good/bad-row offsets over all files
-    (file order), and the first id ``monotonically_increasing_id`` gives a good
-    / bad row of the split in the passes that keep only those rows.
+    """Per split: line offset within its file, and what to add to the number that
+    ``monotonically_increasing_id`` gives a good / bad row of the split, in a pass that
+    keeps only those rows (header lines included), to get its id.
 
     The global running sums are distributed prefix sums; the per-file line
     offset is the global prefix minus the prefix at the file's first split, so
@@ -115,24 +120,27 @@ def split_offsets(counts: DataFrame) -> DataFrame:
     base = F.shiftleft(part, POS_BITS)
     # splits sharing one scan partition: a handful (small files packed together)
     w = Window.partitionBy(part).orderBy("_pos0").rowsBetween(Window.unboundedPreceding, -1)
+    good_pos0 = base + F.coalesce(F.sum("_ok_all").over(w), F.lit(0))
+    bad_pos0 = base + F.coalesce(F.sum("_bad_all").over(w), F.lit(0))
     return g.select(
-        "_file", "_block", "_n", "_pos0", "_ng", "_nb", "_header_hash",
-        (F.col("_before_n") - F.col("_file_start")).alias("_line_off"),
-        F.col("_before_ng").alias("_good_off"),
-        F.col("_before_nb").alias("_bad_off"),
-        (base + F.coalesce(F.sum("_ng").over(w), F.lit(0))).alias("_good_pos0"),
-        (base + F.coalesce(F.sum("_nb").over(w), F.lit(0))).alias("_bad_pos0"),
+        "_file", file_key("_file").alias("_fkey"), "_block", "_pos0", "_header_hash",
+        (F.col("_before_n") - F.col("_file_start") - F.col("_pos0") + 1).alias("_line_shift"),
+        (F.col("_before_ng") - good_pos0 - F.col("_head_ok") + 1).alias("_good_shift"),
+        (F.col("_before_nb") - bad_pos0 - F.col("_head_bad") + 1).alias("_bad_shift"),
     )
 
 
-MAX_BROADCAST_SPLITS = 2_000_000
+# One row of offsets: key, block, first position and three shifts, 8 bytes each.
+OFFSET_ROW_BYTES = 48
+# Offsets are broadcast up to this size; beyond it Spark joins them by shuffle, with the same result.
+BROADCAST_OFFSET_BYTES = 64 << 20
 
 
-def _header_line(lines: DataFrame, stats: DataFrame, path) -> str:
+def _header_line(spark: SparkSession, stats: DataFrame, path) -> str:
     """Every file's first line must be the same header.
 
     The statistics carry a 64-bit hash of each file's first line, so only the
-    first split of one file is read to get the header text itself.
+    first line of one file is read to get the header text itself.
     """
     heads = stats.where(F.col("_block") == 0)
     hashes = [r[0] for r in heads.select("_header_hash").distinct().limit(2).collect()]
@@ -141,8 +149,8 @@ def _header_line(lines: DataFrame, stats: DataFrame, path) -> str:
     if len(hashes) > 1:
         raise HeaderError(f"files under {path!r} do not share one header line")
     first_file = heads.agg(F.min("_file")).first()[0]
-    return (lines.where((F.col("_file") == first_file) & (F.col("_block") == 0))
-                 .agg(F.min_by("value", "_pos")).first()[0])
+    # only this file is listed, and tasks run until one line of its first split is found
+    return read_lines(spark, first_file).where(F.col("_block") == 0).select("value").limit(1).first()[0]
 
 
 def _header_names(header_line: str) -> list:
@@ -184,21 +192,8 @@ def load_time(now: str | None) -> "F.Column":
     return F.convert_timezone(None, F.lit(schemas.LOAD_TIME_ZONE), F.current_timestamp().cast("timestamp_ntz"))
 
 
-def input_bytes(spark: SparkSession, path) -> int:
-    """Total bytes under the input path(s) (globs allowed), from the file system."""
-    total = 0
-    for p in ([path] if isinstance(path, str) else list(path)):
-        fs, jpath = hadoop_fs(spark, p)
-        for st in (fs.globStatus(jpath) or []):
-            total += fs.getContentSummary(st.getPath()).getLength()
-    return total
-
-
-CACHE_MAX_BYTES = 64 << 30
-
-
 def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | None = None,
-           validate: bool = True, cache_max_bytes: int = CACHE_MAX_BYTES) -> Ingested:
+           validate: bool = True) -> Ingested:
     """B1 + L1: text files -> raw_jobs and raw_jobs_rejected written under ``out_dir``.
 
     Raises ``HeaderError`` on a wrong header and ``ValidationError`` (with every
@@ -208,42 +203,33 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
     out_dir = out_dir or scratch_path(spark, "ingest")
     pinned = {"spark.sql.files.minPartitionNum": str(spark.sparkContext.defaultParallelism)}
     with conf_override(spark, pinned):
-        lines = read_lines(spark, path)   # header text only
         # Three passes read the same file listing with the same pinned split
         # size, so every line gets the same (file, split, position) in each pass
-        # (filters on the split columns do not prune splits).  Input up to
-        # ``cache_max_bytes`` is parsed once and cached for the three passes;
-        # larger input is re-read, rather than keeping a parsed copy of it on
-        # executor disks.  Either way a lost block is recomputed from its split.
+        # (filters on the split columns do not prune splits).
         classified = read_classified(spark, path)
-        cached = input_bytes(spark, path) <= cache_max_bytes
-        if cached:
-            classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
         split_counts(classified).write.mode("overwrite").parquet(f"{out_dir}/_split_counts")
         stats_path = f"{out_dir}/_split_stats"
         split_offsets(spark.read.parquet(f"{out_dir}/_split_counts")).write.mode("overwrite").parquet(stats_path)
         stats = spark.read.parquet(stats_path)
-
-        # The offsets table has one row per input split: its size is bounded by
-        # input bytes / split size; broadcast it only below a fixed row count.
         n_splits = stats.count()
-        small = n_splits <= MAX_BROADCAST_SPLITS
-        header = _header_names(_header_line(lines, stats, path))
-        off = stats.drop("_n", "_ng", "_nb", "_header_hash")
-        off = F.broadcast(off) if small else off
-        numbered = classified.join(off, ["_file", "_block"])
-        is_header = (F.col("_block") == 0) & (F.col("_pos") == F.col("_pos0"))
-        numbered = (numbered
-                    .withColumn("line_number", F.col("_line_off") + F.col("_pos") - F.col("_pos0") + 1)
-                    .withColumn("_is_header", is_header))
+        header = _header_names(_header_line(spark, stats, path))
+        offsets = stats.drop("_file", "_header_hash").withColumnRenamed("_block", "_oblock")
+        if n_splits * OFFSET_ROW_BYTES <= BROADCAST_OFFSET_BYTES:
+            offsets = F.broadcast(offsets)
         # One load instant per run, shared by both tables
         stamp = F.lit(spark.range(1).select(load_time(now).cast("string")).first()[0]).cast("timestamp_ntz")
 
+        def with_offsets(rows: DataFrame) -> DataFrame:
+            """Numbered rows with their split's offsets, header lines left out."""
+            numbered = rows.withColumn("_number", F.monotonically_increasing_id())
+            joined = numbered.join(offsets, (file_key("_file") == F.col("_fkey")) & (F.col("_block") == F.col("_oblock")))
+            return (joined.where((F.col("_block") != 0) | (F.col("_pos") != F.col("_pos0")))
+                          .withColumn("line_number", F.col("_pos") + F.col("_line_shift")))
+
         # ---- valid rows -> raw_jobs
-        good = numbered.where(F.col("_ok") & ~F.col("_is_header"))
-        good = good.withColumn("_gpos", F.monotonically_increasing_id())
-        job_id = (F.col("_good_off") + F.col("_gpos") - F.col("_good_pos0") + 1).alias("raw_id")
-        typed = good.select(job_id, F.col("_file").alias("source_file"), "line_number", *typed_columns(header))
+        good = with_offsets(classified.where(F.col("_ok")))
+        typed = good.select((F.col("_number") + F.col("_good_shift")).alias("raw_id"),
+                            F.col("_file").alias("source_file"), "line_number", *typed_columns(header))
         raw = with_parsed_skills(typed).select(
             "raw_id", *[c for c in schemas.CSV_COLUMNS if c not in ("job_skills", "job_type_skills")],
             # C11: the raw copy keeps a missing literal as the text '<NA>'
@@ -259,10 +245,9 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
         metrics = obs.get
 
         # ---- rejected rows -> raw_jobs_rejected
-        bad = numbered.where(~F.col("_ok") & ~F.col("_blank") & ~F.col("_is_header"))
-        bad = bad.withColumn("_bpos", F.monotonically_increasing_id())
+        bad = with_offsets(classified.where(~F.col("_ok") & ~F.col("_blank")))
         rej = bad.select(
-            (F.col("_bad_off") + F.col("_bpos") - F.col("_bad_pos0") + 1).alias("rejected_id"),
+            (F.col("_number") + F.col("_bad_shift")).alias("rejected_id"),
             F.col("_file").alias("source_file"), F.col("line_number").cast("long").alias("line_number"),
             F.lit(None).cast("int").alias("fields_found"),
             F.lit(schemas.EXPECTED_COLS).cast("int").alias("fields_expected"),
@@ -273,9 +258,6 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
         rej_path = f"{out_dir}/raw_jobs_rejected"
         rej.write.mode("overwrite").parquet(rej_path)
         rej_rows = obs_r.get["rows"]
-        if cached:
-            classified.unpersist()
-
 
     raw_df = spark.read.parquet(raw_path)
     failures = int(metrics.get("failures", 0) or 0)

@@ -57,15 +57,6 @@ def failures_of(df: DataFrame, key: str = "raw_id") -> DataFrame:
               .select("f.column", "f.check", "f.failure_case", key))
 
 
-def validate(df: DataFrame, key: str = "raw_id") -> DataFrame:
-    """V6: the same rows when every rule passes, else ``ValidationError``."""
-    failures = failures_of(df, key)
-    n = failures.count()
-    if n:
-        raise ValidationError(n, failures)
-    return df
-
-
 def require_rows(df: DataFrame | None) -> None:
     """refuse an empty or missing frame before anything is written."""
     if df is None or len(df.columns) == 0 or df.isEmpty():

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from starforge import schemas
 from starforge.functions.text import city_of, py_strip
-from starforge.operators.joins import sized_broadcast
+from starforge.operators.joins import broadcast_if_small, join_dimension
 from starforge.operators.keys import dense_key
 from starforge.operators.quality import require_rows
 
@@ -61,8 +61,12 @@ def skill_occurrences(df: DataFrame) -> DataFrame:
 def skill_categories(df: DataFrame) -> DataFrame:
     """K4: first category seen per lower-cased, stripped skill (row, dict, list order)."""
     occ = skill_occurrences(df)
-    return (occ.groupBy(F.lower(py_strip("skill")).alias("_key"))
-               .agg(F.min_by("category", F.struct("_row", "cat_pos", "skill_pos")).alias("_cat")))
+    # The place of an occurrence as one number: a fixed-width minimum is hash-aggregated, so the
+    # occurrences are not sorted; only the few (skill, category) groups meet the second step.
+    place = (F.col("_row").cast("decimal(38,0)") * F.lit(10 ** 18).cast("decimal(19,0)")
+             + F.col("cat_pos").cast("long") * 10 ** 9 + F.col("skill_pos")).cast("decimal(38,0)")
+    first = (occ.groupBy(F.lower(py_strip("skill")).alias("_key"), "category").agg(F.min(place).alias("_place")))
+    return first.groupBy("_key").agg(F.min_by("category", "_place").alias("_cat"))
 
 
 def build_dim_skills(df: DataFrame) -> DataFrame:
@@ -78,11 +82,9 @@ def build_dim_skills(df: DataFrame) -> DataFrame:
 
 # ---- fact and bridge -------------------------------------------------------------
 
-def with_job_id(df: DataFrame, row_is_dense: bool = True) -> DataFrame:
-    """K3: job_id 1..N in row order (``_row`` is already 1..N after ingest)."""
-    if row_is_dense:
-        return df.withColumn("job_id", F.col("_row").cast("long"))
-    return dense_key(df, ["_row"], "job_id")
+def with_job_id(df: DataFrame) -> DataFrame:
+    """K3: job_id 1..N in row order (``_row`` is 1..N after ingest)."""
+    return df.withColumn("job_id", F.col("_row").cast("long"))
 
 
 def location_lookup(dim_locations: DataFrame) -> DataFrame:
@@ -93,16 +95,14 @@ def location_lookup(dim_locations: DataFrame) -> DataFrame:
 def build_fact_jobs(jobs: DataFrame, dim_companies: DataFrame, dim_locations: DataFrame,
                     match_country: bool = False) -> DataFrame:
     """One row per posting (row count always equals the input's)."""
-    comp = sized_broadcast(dim_companies.select("company_name", "company_id"))
-    fact = jobs.join(comp, "company_name", "left")
+    fact = join_dimension(jobs, dim_companies.select(F.col("company_name").alias("_cn"), "company_id"),
+                          {"company_name": "_cn"}, "_row")
     if match_country:
-        loc = sized_broadcast(dim_locations.select(
-            F.col("raw_location").alias("_rl"), F.col("country").alias("_rc"), "location_id"))
-        cond = (fact["job_location"] == loc["_rl"]) & fact["job_country"].eqNullSafe(loc["_rc"])
-        fact = fact.join(loc, cond, "left")
+        loc = dim_locations.select(F.col("raw_location").alias("_rl"), F.col("country").alias("_rc"), "location_id")
+        fact = join_dimension(fact, loc, {"job_location": "_rl", "job_country": "_rc"}, "_row")
     else:
-        loc = sized_broadcast(location_lookup(dim_locations).withColumnRenamed("raw_location", "_rl"))
-        fact = fact.join(loc, fact["job_location"] == loc["_rl"], "left")
+        loc = location_lookup(dim_locations).withColumnRenamed("raw_location", "_rl")
+        fact = join_dimension(fact, loc, {"job_location": "_rl"}, "_row")
     cols = [F.col(src).alias(dst) for src, dst in schemas.FACT_COLUMN_MAP if src in fact.columns]
     return fact.select("job_id", (F.col("job_id") - 1).alias("_csv_row"), *cols)
 
@@ -116,17 +116,17 @@ def build_bridge_job_skills(jobs: DataFrame, dim_skills: DataFrame) -> DataFrame
     """
     names = F.array_distinct(F.transform("job_skills_parsed", lambda s: py_strip(s)))
     exploded = jobs.select("job_id", F.explode(names).alias("skill_name"))
-    skills = sized_broadcast(dim_skills.select("skill_name", "skill_id"))
-    return exploded.join(skills, "skill_name").select("job_id", "skill_id")
+    skills = dim_skills.select("skill_name", "skill_id")
+    return exploded.join(broadcast_if_small(skills), "skill_name").select("job_id", "skill_id")
 
 
-def build_star(df: DataFrame, row_is_dense: bool = True, match_country: bool = False) -> Star:
+def build_star(df: DataFrame, match_country: bool = False) -> Star:
     """B7 (without the load): the five tables, lazily, from a typed frame."""
     require_rows(df)
     dim_companies = build_dim_companies(df)
     dim_locations = build_dim_locations(df)
     dim_skills = build_dim_skills(df)
-    jobs = with_job_id(df, row_is_dense)
+    jobs = with_job_id(df)
     fact = build_fact_jobs(jobs, dim_companies, dim_locations, match_country)
     bridge = build_bridge_job_skills(jobs, dim_skills)
     return Star(dim_companies, dim_locations, dim_skills, fact, bridge)
@@ -164,10 +164,11 @@ def flag_key(wfh, no_degree, health) -> F.Column:
 
 
 def build_dim_flags(fact: DataFrame) -> DataFrame:
-    """M2: the flag combinations present in the fact table, keyed by their bits."""
-    combos = fact.select("work_from_home", "no_degree_mention", "health_insurance").distinct()
-    return combos.select(flag_key("work_from_home", "no_degree_mention", "health_insurance").alias("flag_id"),
-                         "work_from_home", "no_degree_mention", "health_insurance")
+    """M2: all eight flag combinations, keyed by their bits."""
+    bits = fact.sparkSession.range(8)
+    flag = lambda bit: F.col("id").bitwiseAND(bit) != 0
+    return bits.select((F.col("id") + 1).cast("int").alias("flag_id"), flag(4).alias("work_from_home"),
+                       flag(2).alias("no_degree_mention"), flag(1).alias("health_insurance"))
 
 
 def build_fact_analytic(fact: DataFrame) -> DataFrame:

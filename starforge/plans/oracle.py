@@ -36,7 +36,7 @@ def _pct(num: str, den: str, scale: int = 1) -> str:
 
 def _money(x: str) -> str:
     return (f"(CASE WHEN {x} IS NULL THEN NULL ELSE '$' || format('{{:,}}', "
-            f"CAST(round(CAST({x} AS DECIMAL(38,4)), 0) AS BIGINT)) END)")
+            f"CAST(round(CAST({x} AS DECIMAL(38,10)), 0) AS BIGINT)) END)")
 
 
 _FIELDS = ["job_title_short", "job_title", "job_location", "job_via", "job_schedule_type",
@@ -257,15 +257,18 @@ ORACLE_TAILS = {
           FROM v WHERE sh < 0""",
     "load_counts": f"SELECT tabla, filas, CASE {_LABELS} END AS descripcion FROM ({_COUNTS}) t ORDER BY tabla",
     "load_times": """
-        SELECT 'raw_jobs' AS tabla, min(ingested_at) AS primera_carga, max(ingested_at) AS ultima_carga,
-               count(*) AS total_filas FROM raw_jobs
-        UNION ALL SELECT 'raw_jobs_rejected', min(ingested_at), max(ingested_at), count(*) FROM raw_jobs_rejected""",
+        SELECT tabla, min(t) AS primera_carga, max(t) AS ultima_carga, count(*) AS total_filas
+        FROM (SELECT ingested_at AS t, 'raw_jobs' AS tabla FROM raw_jobs
+              UNION ALL BY NAME SELECT ingested_at AS t, 'raw_jobs_rejected' AS tabla FROM raw_jobs_rejected)
+        GROUP BY tabla""",
     "ads_without_company": "SELECT count(*) AS avisos_sin_empresa FROM fact_jobs WHERE company_id IS NULL",
     "ads_without_location": "SELECT count(*) AS avisos_sin_ubicacion FROM fact_jobs WHERE location_id IS NULL",
-    "duplicate_pairs": """SELECT count(*) AS pares_duplicados FROM (SELECT job_id, skill_id FROM bridge_job_skills
-                          GROUP BY job_id, skill_id HAVING count(*) > 1) t""",
-    "orphan_skills": """SELECT count(*) AS habilidades_huerfanas FROM bridge_job_skills bs
-                        LEFT JOIN dim_skills s ON bs.skill_id = s.skill_id WHERE s.skill_id IS NULL""",
+    "duplicate_pairs": """
+        SELECT CAST(coalesce(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END), 0) AS BIGINT) AS pares_duplicados
+        FROM (SELECT skill_id, job_id, count(*) AS n FROM bridge_job_skills GROUP BY ALL)""",
+    "orphan_skills": """
+        SELECT count(*) AS habilidades_huerfanas FROM bridge_job_skills
+        WHERE skill_id NOT IN (SELECT skill_id FROM dim_skills)""",
     "key_checks": _key_checks_sql(),
     "skills_per_ad": """
         SELECT min(n) AS minimo_habilidades, max(n) AS maximo_habilidades,
@@ -291,10 +294,12 @@ ORACLE_TAILS = {
                {_pct('count(*)', 'sum(count(*)) OVER ()')} AS porcentaje
         FROM fact_jobs GROUP BY job_title_short ORDER BY cantidad_avisos DESC, tipo_puesto""",
     "remote_by_country": """
-        SELECT l.country AS pais, count(*) FILTER (WHERE fj.work_from_home = TRUE) AS remotos,
-               count(*) FILTER (WHERE fj.work_from_home = FALSE) AS presenciales, count(*) AS total
-        FROM fact_jobs fj JOIN dim_locations l ON fj.location_id = l.location_id
-        GROUP BY l.country ORDER BY total DESC, pais NULLS FIRST LIMIT 10""",
+        SELECT pais, CAST(sum(home) AS BIGINT) AS remotos, CAST(count(*) - sum(home) AS BIGINT) AS presenciales,
+               count(*) AS total
+        FROM (SELECT CAST(work_from_home AS INTEGER) AS home,
+                     (SELECT country FROM dim_locations p WHERE p.location_id = fact_jobs.location_id) AS pais
+              FROM fact_jobs WHERE location_id IS NOT NULL)
+        GROUP BY pais ORDER BY total DESC, pais NULLS FIRST LIMIT 10""",
     "top_companies": f"""
         SELECT c.company_name AS empresa, count(fj.job_id) AS avisos_publicados,
                {_money('avg(fj.salary_year_avg)')} AS salario_promedio
@@ -312,19 +317,16 @@ ORACLE_TAILS = {
                left(raw_content, 200) AS contenido_de_la_fila, ingested_at AS hora_de_carga_colombia
         FROM raw_jobs_rejected ORDER BY bucket, line_number LIMIT 50""",
     "valid_share": f"""
-        SELECT (SELECT count(*) FROM raw_jobs) AS filas_validas,
-               (SELECT count(*) FROM raw_jobs_rejected) AS filas_con_problemas,
-               {_pct('(SELECT count(*) FROM raw_jobs)',
-                     '((SELECT count(*) FROM raw_jobs) + (SELECT count(*) FROM raw_jobs_rejected))', 2)}
-                 AS porcentaje_calidad""",
+        SELECT v AS filas_validas, r AS filas_con_problemas, {_pct('v', '(v + r)', 2)} AS porcentaje_calidad
+        FROM (SELECT (SELECT count(*) FROM raw_jobs) AS v, (SELECT count(*) FROM raw_jobs_rejected) AS r)""",
     "ads_for_skill": f"""
         SELECT count(*) AS "count" FROM bridge_job_skills bs JOIN dim_skills s ON bs.skill_id = s.skill_id
         WHERE s.skill_name = '{SKILL_OF_INTEREST}'""",
     "salary_by_skill": """
         SELECT s.skill_name,
-               CAST(round(CAST(avg(f.salary_year_avg) AS DECIMAL(38,4)), 2) AS DOUBLE) AS salario_promedio
+               CAST(round(CAST(avg(f.salary_year_avg) AS DECIMAL(38,10)), 2) AS DOUBLE) AS salario_promedio
         FROM fact_jobs f JOIN bridge_job_skills b ON f.job_id = b.job_id JOIN dim_skills s ON b.skill_id = s.skill_id
-        WHERE f.salary_year_avg IS NOT NULL GROUP BY s.skill_name ORDER BY salario_promedio DESC, s.skill_name""",
+        WHERE f.salary_year_avg IS NOT NULL GROUP BY s.skill_name ORDER BY avg(f.salary_year_avg) DESC, s.skill_name""",
     "dim_date": """
         SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_id, CAST(d AS DATE) AS date,
                CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
@@ -333,10 +335,9 @@ ORACLE_TAILS = {
         FROM (SELECT unnest(generate_series(CAST(min(posted_date) AS DATE), CAST(max(posted_date) AS DATE),
                                             INTERVAL 1 DAY)) AS d FROM fact_jobs)""",
     "dim_flags": """
-        SELECT DISTINCT CAST(CAST(work_from_home AS INTEGER) * 4 + CAST(no_degree_mention AS INTEGER) * 2
-                        + CAST(health_insurance AS INTEGER) + 1 AS INTEGER) AS flag_id,
-               work_from_home, no_degree_mention, health_insurance
-        FROM fact_jobs""",
+        SELECT CAST(w * 4 + d * 2 + h + 1 AS INTEGER) AS flag_id, w = 1 AS work_from_home,
+               d = 1 AS no_degree_mention, h = 1 AS health_insurance
+        FROM range(2) a(w), range(2) b(d), range(2) c(h)""",
     "fact_analytic": """
         SELECT job_id, CAST(strftime(posted_date, '%Y%m%d') AS INTEGER) AS date_id,
                CAST(CAST(work_from_home AS INTEGER) * 4 + CAST(no_degree_mention AS INTEGER) * 2

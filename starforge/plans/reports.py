@@ -51,9 +51,9 @@ def skills_per_ad(t: dict) -> DataFrame:
 
 def top_skills(t: dict, k: int = 15) -> DataFrame:
     """The k most requested skills and their share of postings."""
-    b, s = t["bridge_job_skills"], t["dim_skills"]
-    g = (b.join(s, "skill_id").groupBy("skill_id", "skill_name", "skill_category")
-          .agg(F.count("job_id").alias("avisos_que_la_piden")))
+    # grouped by id first: the big table is aggregated map-side and only the groups meet the names
+    g = (t["bridge_job_skills"].groupBy("skill_id").agg(F.count("job_id").alias("avisos_que_la_piden"))
+         .join(t["dim_skills"], "skill_id"))
     # ordering + limit last, so that Spark plans a take-ordered (no global sort)
     return (g.withColumn("_total", _count(t["fact_jobs"]))
              .select(F.col("skill_name").alias("habilidad"), F.col("skill_category").alias("categoria"),
@@ -86,19 +86,19 @@ def ads_by_title(t: dict) -> DataFrame:
 
 def remote_by_country(t: dict, k: int = 10) -> DataFrame:
     """Remote vs on-site postings by country, top k by total."""
-    j = t["fact_jobs"].join(t["dim_locations"], "location_id")
-    g = j.groupBy(F.col("country").alias("pais")).agg(
-        F.count_if(F.col("work_from_home")).alias("remotos"),
-        F.count_if(~F.col("work_from_home")).alias("presenciales"),
-        F.count(F.lit(1)).alias("total"))
+    per = t["fact_jobs"].where("location_id is not null").groupBy("location_id").agg(
+        F.count_if(F.col("work_from_home")).alias("_r"), F.count_if(~F.col("work_from_home")).alias("_p"),
+        F.count(F.lit(1)).alias("_n"))
+    g = per.join(t["dim_locations"], "location_id").groupBy(F.col("country").alias("pais")).agg(
+        F.sum("_r").alias("remotos"), F.sum("_p").alias("presenciales"), F.sum("_n").alias("total"))
     return g.orderBy(F.desc("total"), F.asc_nulls_first("pais")).limit(k)
 
 
 def top_companies(t: dict, k: int = 10) -> DataFrame:
     """Companies with most postings, with mean yearly salary."""
-    j = t["fact_jobs"].join(t["dim_companies"], "company_id")
-    g = j.groupBy("company_id", "company_name").agg(
-        F.count("job_id").alias("avisos_publicados"), F.avg("salary_year_avg").alias("_avg"))
+    g = (t["fact_jobs"].where("company_id is not null").groupBy("company_id").agg(
+            F.count("job_id").alias("avisos_publicados"), F.avg("salary_year_avg").alias("_avg"))
+         .join(t["dim_companies"], "company_id"))
     return g.orderBy(F.desc("avisos_publicados"), "company_name").limit(k).select(
         F.col("company_name").alias("empresa"), "avisos_publicados", money_text("_avg").alias("salario_promedio"))
 
@@ -106,10 +106,11 @@ def top_companies(t: dict, k: int = 10) -> DataFrame:
 def skills_by_category(t: dict) -> DataFrame:
     """Distinct skills and mentions per category, share of all bridge rows."""
     s, b = t["dim_skills"], t["bridge_job_skills"]
-    j = s.join(b, "skill_id", "left")
-    g = j.groupBy(F.col("skill_category").alias("categoria")).agg(
-        F.count_distinct("skill_id").alias("habilidades_distintas"),
-        F.count("job_id").alias("veces_mencionada"))
+    per = b.groupBy("skill_id").agg(F.count("job_id").alias("_n"))
+    # a skill is one dimension row, so rows of the dimension count distinct skills
+    g = s.join(per, "skill_id", "left").groupBy(F.col("skill_category").alias("categoria")).agg(
+        F.count("skill_id").alias("habilidades_distintas"),
+        F.sum(F.coalesce("_n", F.lit(0))).alias("veces_mencionada"))
     return (g.withColumn("_total", _count(b))
              .select("categoria", "habilidades_distintas", "veces_mencionada",
                      percent_text("veces_mencionada", "_total", 1).alias("porcentaje"))
@@ -146,9 +147,9 @@ def ads_for_skill(t: dict, skill_name: str) -> DataFrame:
 
 
 def salary_by_skill(t: dict) -> DataFrame:
-    """Mean yearly salary per skill (to the cent), highest first."""
+    """Mean yearly salary per skill (shown to the cent), highest first by the unrounded mean."""
     f = t["fact_jobs"].where(F.col("salary_year_avg").isNotNull()).select("job_id", "salary_year_avg")
-    j = f.join(t["bridge_job_skills"], "job_id").join(t["dim_skills"], "skill_id")
-    g = j.groupBy("skill_name").agg(F.avg("salary_year_avg").alias("_avg"))
-    return g.select("skill_name", F.round(F.col("_avg").cast("decimal(38,4)"), 2).cast("double")
-                    .alias("salario_promedio")).orderBy(F.desc("salario_promedio"), "skill_name")
+    g = (f.join(t["bridge_job_skills"], "job_id").groupBy("skill_id").agg(F.avg("salary_year_avg").alias("_avg"))
+          .join(t["dim_skills"], "skill_id"))
+    return g.orderBy(F.desc("_avg"), "skill_name").select(
+        "skill_name", F.round(F.col("_avg").cast("decimal(38,10)"), 2).cast("double").alias("salario_promedio"))

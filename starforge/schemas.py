@@ -26,12 +26,6 @@ VALID_JOB_TITLES = [
     "Cloud Engineer",
 ]
 
-# Text columns where an empty string becomes NULL (whitespace is kept).
-TEXT_COLUMNS = [
-    "job_title_short", "job_title", "job_location", "job_via",
-    "job_schedule_type", "search_location", "job_country",
-    "salary_rate", "company_name", "job_skills", "job_type_skills",
-]
 BOOL_COLUMNS = ["job_work_from_home", "job_no_degree_mention", "job_health_insurance"]
 NUMBER_COLUMNS = ["salary_year_avg", "salary_hour_avg"]
 
@@ -75,7 +69,6 @@ TABLE_LABELS = [
 
 S, B, D, I, L = T.StringType(), T.BooleanType(), T.DoubleType(), T.IntegerType(), T.LongType()
 TS = T.TimestampNTZType()
-TSZ = T.TimestampType()
 
 # Typed postings (what ingest produces, before the parsed columns).
 TYPED_POSTING = T.StructType([

@@ -79,13 +79,3 @@ def hadoop_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = hadoop_fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def local_or_uri(path: str) -> str:
-    """Leave URIs alone; make plain local paths absolute."""
-    return path if "://" in path or path.startswith("file:") else os.path.abspath(path)

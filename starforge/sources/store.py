@@ -1,11 +1,14 @@
-"""Table storage (L1-L7): Parquet directories, replace-all loads, swap at the end.
+"""Table storage (L1-L7): Parquet folders of a run, published together by one small file.
 
-``save_tables`` writes every table into a staging folder first (row counts are
-observed on the writes themselves) and only then replaces the live tables, so
-a failed run leaves the previous tables in place.
+Every run writes its tables into a folder of its own (row counts are observed on the writes
+themselves).  A table set is published by one manifest, ``_tables-<number>``, that names the
+folder of every table: readers follow the newest manifest, so they see either the whole old set
+or the whole new one, whatever fails in between.  The folders of the published set and of the
+one before it are kept.
 """
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,6 +20,7 @@ from starforge.session import hadoop_fs
 # Load order: dimensions, fact, bridge (then the raw tables).
 LOAD_ORDER = ["dim_companies", "dim_locations", "dim_skills", "fact_jobs", "bridge_job_skills",
               "raw_jobs", "raw_jobs_rejected"]
+MANIFEST = "_tables-"
 
 
 def conform(df: DataFrame, schema) -> DataFrame:
@@ -41,46 +45,87 @@ def save_table(df: DataFrame, path: str, columns: list | None = None) -> int:
     return int(obs.get.get("rows", 0) or 0)
 
 
-def _replace(spark: SparkSession, src: str, dst: str) -> None:
-    fs, dpath = hadoop_fs(spark, dst)
-    _, spath = hadoop_fs(spark, src)
-    if fs.exists(dpath):
-        fs.delete(dpath, True)
-    parent = dpath.getParent()
-    if parent is not None and not fs.exists(parent):
-        fs.mkdirs(parent)
-    if not fs.rename(spath, dpath):
-        raise OSError(f"could not move {src} to {dst}")
+def _manifests(spark: SparkSession, out_dir: str) -> list[tuple[int, str]]:
+    """(number, file name) of the manifests of ``out_dir``, oldest first."""
+    fs, p = hadoop_fs(spark, out_dir)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted((int(n[len(MANIFEST):]), n) for n in names if n.startswith(MANIFEST) and n[len(MANIFEST):].isdigit())
 
 
-def save_tables(spark: SparkSession, tables: dict, out_dir: str) -> dict:
-    """Write all tables to a staging folder, then swap them in. Returns counts.
+def _read_manifest(spark: SparkSession, out_dir: str, name: str) -> dict:
+    fs, p = hadoop_fs(spark, f"{out_dir}/{name}")
+    stream = fs.open(p)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode("utf-8"))
+    finally:
+        stream.close()
+
+
+def published(spark: SparkSession, out_dir: str) -> dict:
+    """Table name -> path of the published set (empty if nothing was published)."""
+    out_dir = out_dir.rstrip("/")
+    found = _manifests(spark, out_dir)
+    return {t: f"{out_dir}/{rel}" for t, rel in _read_manifest(spark, out_dir, found[-1][1]).items()} if found else {}
+
+
+def publish(spark: SparkSession, out_dir: str, tables: dict) -> None:
+    """Make ``tables`` (name -> path under ``out_dir``) the published ones; others stay as they are."""
+    out_dir = out_dir.rstrip("/")
+    found = _manifests(spark, out_dir)
+    current = {**published(spark, out_dir), **tables}
+    number = found[-1][0] + 1 if found else 1
+    text = json.dumps({t: path[len(out_dir) + 1:] for t, path in current.items()})
+    fs, staged = hadoop_fs(spark, f"{out_dir}/_new-{uuid.uuid4().hex[:12]}")
+    stream = fs.create(staged)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    _, target = hadoop_fs(spark, f"{out_dir}/{MANIFEST}{number:08d}")
+    if fs.exists(target) or not fs.rename(staged, target):
+        fs.delete(staged, False)
+        raise OSError(f"could not publish {target}: another run was published meanwhile")
+    _remove_unreferenced(spark, out_dir)
+
+
+def _remove_unreferenced(spark: SparkSession, out_dir: str) -> None:
+    """Drop manifests before the last two, and run folders that none of those two names."""
+    found = _manifests(spark, out_dir)
+    kept: set = set()
+    for _, name in found[-2:]:
+        kept |= {rel.split("/")[0] for rel in _read_manifest(spark, out_dir, name).values()}
+    fs, p = hadoop_fs(spark, out_dir)
+    old = [name for _, name in found[:-2]]
+    old += [s.getPath().getName() for s in fs.listStatus(p)
+            if s.getPath().getName().startswith("run-") and s.getPath().getName() not in kept] if len(found) > 2 else []
+    for name in old:
+        fs.delete(hadoop_fs(spark, f"{out_dir}/{name}")[1], True)
+
+
+def save_tables(spark: SparkSession, tables: dict, out_dir: str, run_dir: str | None = None) -> dict:
+    """Write all tables to the run's folder, then publish them together. Returns counts.
 
     A value may be a DataFrame (written here) or the path of a table that is
-    already written (moved into place).
+    already written under ``out_dir``.
     """
     out_dir = out_dir.rstrip("/")
-    stage = f"{out_dir}/_staging-{uuid.uuid4().hex[:12]}"
+    run_dir = run_dir or f"{out_dir}/run-{uuid.uuid4().hex[:12]}"
     order = [n for n in LOAD_ORDER if n in tables] + [n for n in tables if n not in LOAD_ORDER]
-    counts, sources = {}, {}
+    counts, paths = {}, {}
     for name in order:
         t = tables[name]
-        if isinstance(t, str):          # already written (e.g. by ingest): move it
-            sources[name] = t
+        if isinstance(t, str):          # already written (e.g. by ingest)
+            paths[name] = t
             counts[name] = spark.read.parquet(t).count()
         else:
             if name in schemas.TABLE_SCHEMAS:
                 t = conform(t, schemas.TABLE_SCHEMAS[name])
-            sources[name] = f"{stage}/{name}"
-            counts[name] = save_table(t, sources[name])
-    for name in order:
-        _replace(spark, sources[name], f"{out_dir}/{name}")
-    fs, spath = hadoop_fs(spark, stage)
-    if fs.exists(spath):
-        fs.delete(spath, True)
+            paths[name] = f"{run_dir}/{name}"
+            counts[name] = save_table(t, paths[name])
+    publish(spark, out_dir, paths)
     return counts
 
 
 def read_tables(spark: SparkSession, out_dir: str, names=None) -> dict:
-    names = names or LOAD_ORDER
-    return {n: spark.read.parquet(f"{out_dir.rstrip('/')}/{n}") for n in names}
+    paths = published(spark, out_dir)
+    return {n: spark.read.parquet(paths[n]) for n in names or LOAD_ORDER}

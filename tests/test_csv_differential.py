@@ -8,7 +8,8 @@ import csv
 import io
 
 from starforge.operators.ingest import classify
-from tests.conftest import good_fields, make_csv_line
+from tests.conftest import fields as posting_fields
+from tests.conftest import line as csv_line
 
 
 def python_fields(line):
@@ -26,7 +27,7 @@ def python_fields(line):
 def _excel_style_rows():
     """Rows in the style of a spreadsheet export with JSON-ish lists (they do
     not come out as 17 fields, so they must be rejected)."""
-    head = 'Data Scientist,Sr. Data Scientist,"New York, NY",via LinkedIn,Full-time,False,United States,'
+    head = 'Data Scientist,Sr. Data Scientist,"Beja, Sul",via LinkedIn,Full-time,False,United States,'
     return [
         '"' + head + '2023-01-01 10:00:00,False,True,United States,year,120000,,Google,'
         '"[""python"",""sql""]","{"analyst_tools": ["tableau"]}""',
@@ -36,12 +37,12 @@ def _excel_style_rows():
 
 
 def test_spark_matches_python_csv(spark):
-    base = good_fields()
+    base = posting_fields()
     lines = [
-        make_csv_line(base), make_csv_line(base, wrap_outer=False),
-        make_csv_line(base[:16]), make_csv_line(base + ["x"]),
+        csv_line(base), csv_line(base, False),
+        csv_line(base[:16]), csv_line(base + ["x"]),
         '"' + ",".join(base[:16]) + ',"x""y"', "   ", "", '"', '""', '""""',
-        ",".join(base[:2]) + ',"New York, NY",' + ",".join(base[3:]),
+        ",".join(base[:2]) + ',"Beja, Sul",' + ",".join(base[3:]),
         ",".join(f if "," not in f else f.replace(",", ";") for f in base),
         " " + ",".join(f.replace(",", ";") for f in base) + " ",
         *_excel_style_rows(),

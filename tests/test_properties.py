@@ -67,9 +67,10 @@ def test_line_numbers_match_python_reading(spark, tmp_path_factory, files, split
 
     from starforge.operators.ingest import ingest
     from starforge.session import conf_override
-    from tests.conftest import HEADER, good_fields, make_csv_line
+    from tests.conftest import HEADER
+    from tests.conftest import line as csv_line
 
-    text_of = {"good": make_csv_line(good_fields()), "bad": '"bad,row"', "blank": "", "ws": " \t "}
+    text_of = {"good": csv_line(), "bad": '"bad,row"', "blank": "", "ws": " \t "}
     d = tmp_path_factory.mktemp("numbering")
     for i, lines in enumerate(files):
         body = HEADER + "\n" + "".join(text_of[k] + end for k, end in lines)

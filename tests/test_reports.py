@@ -1,13 +1,15 @@
-"""Reports (R1-R13) and the analytic model (M1-M3) on the 3-row sample, with
+"""Reports (R1-R13) and the analytic model (M1-M3) on the sample postings, with
 expectations worked out by hand."""
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from starforge.operators import checks
-from starforge.operators.star import build_dim_date, build_dim_flags, build_fact_analytic, build_star
+from starforge.operators.star import build_dim_date, build_dim_flags, build_fact_analytic, build_star, skill_categories
 from starforge.plans import reports
+from starforge.session import conf_override
 
 
 @pytest.fixture(scope="module")
@@ -26,35 +28,33 @@ def tables(spark, sample_df):
 def test_skills_per_ad(tables):
     r = reports.skills_per_ad(tables).first()
     assert (r.minimo_habilidades, r.maximo_habilidades, r.promedio_habilidades,
-            r.avisos_con_habilidades, r.total_filas_en_bridge) == (3, 3, 3.0, 3, 9)
+            r.avisos_con_habilidades, r.total_filas_en_bridge) == (1, 3, 2.0, 3, 6)
 
 
 def test_salary_by_title(tables):
     rows = [tuple(r) for r in reports.salary_by_title(tables).collect()]
-    assert rows == [("Data Engineer", 1, 1, "$130,000", "$130,000", "$130,000"),
-                    ("Data Scientist", 1, 1, "$120,000", "$120,000", "$120,000")]
+    assert rows == [("Cloud Engineer", 2, 2, "$49,500", "$47,000", "$52,000")]
 
 
 def test_ads_by_title(tables):
     rows = [tuple(r) for r in reports.ads_by_title(tables).collect()]
-    assert rows == [("Data Analyst", 1, "33.3%"), ("Data Engineer", 1, "33.3%"), ("Data Scientist", 1, "33.3%")]
+    assert rows == [("Cloud Engineer", 2, "50.0%"), ("Software Engineer", 2, "50.0%")]
 
 
 def test_remote_by_country(tables):
-    assert [tuple(r) for r in reports.remote_by_country(tables).collect()] == [("United States", 2, 1, 3)]
+    assert [tuple(r) for r in reports.remote_by_country(tables).collect()] == [
+        ("Estonia", 1, 1, 2), ("Portugal", 0, 2, 2)]
 
 
 def test_top_companies(tables):
     rows = [tuple(r) for r in reports.top_companies(tables).collect()]
-    assert rows == [("Google", 2, "$120,000"), ("Meta", 1, "$130,000")]
+    assert rows == [("Jarv OU", 2, "$52,000"), ("Aveiro SA", 1, "$47,000"), ("Cais Lda", 1, None)]
 
 
 def test_skills_by_category(tables):
     rows = {r.categoria: (r.habilidades_distintas, r.veces_mencionada, r.porcentaje)
             for r in reports.skills_by_category(tables).collect()}
-    assert rows == {"programming": (2, 3, "33.3%"), "databases": (1, 2, "22.2%"),
-                    "analyst_tools": (2, 2, "22.2%"), "ml_frameworks": (1, 1, "11.1%"),
-                    "orchestration": (1, 1, "11.1%")}
+    assert rows == {"infra": (2, 3, "50.0%"), "languages": (1, 2, "33.3%"), "systems": (1, 1, "16.7%")}
 
 
 def test_rejects_and_share(tables):
@@ -62,12 +62,12 @@ def test_rejects_and_share(tables):
     r = reports.reject_sample(tables).first()
     assert (r.numero_linea_csv, r.columnas_esperadas, r.contenido_de_la_fila) == (7, 17, '"a,b"')
     v = reports.valid_share(tables).first()
-    assert (v.filas_validas, v.filas_con_problemas, v.porcentaje_calidad) == (3, 1, "75.00%")
+    assert (v.filas_validas, v.filas_con_problemas, v.porcentaje_calidad) == (4, 1, "80.00%")
 
 
 def test_load_times_and_checks(tables):
     rows = {r.tabla: (r.total_filas, r.primera_carga) for r in reports.load_times(tables).collect()}
-    assert rows["raw_jobs"] == (3, dt.datetime(2024, 1, 1, 8)) and rows["raw_jobs_rejected"][0] == 1
+    assert rows["raw_jobs"] == (4, dt.datetime(2024, 1, 1, 8)) and rows["raw_jobs_rejected"][0] == 1
     assert checks.ads_without_company(tables).first()[0] == 0
     assert checks.ads_without_location(tables).first()[0] == 0
     assert checks.duplicate_pairs(tables).first()[0] == 0
@@ -76,8 +76,16 @@ def test_load_times_and_checks(tables):
 
 def test_salary_by_skill(tables):
     rows = {r.skill_name: r.salario_promedio for r in reports.salary_by_skill(tables).collect()}
-    assert rows == {"Python": 125000.0, "SQL": 120000.0, "TensorFlow": 120000.0,
-                    "Spark": 130000.0, "Airflow": 130000.0}
+    assert rows == {"go": 52000.4, "terraform": 49500.2}
+    assert [r.skill_name for r in reports.salary_by_skill(tables).collect()] == ["go", "terraform"]
+
+
+def test_order_is_by_the_unrounded_mean(spark, tables):
+    fact = spark.createDataFrame([(1, 10.001), (2, 10.004)], "job_id long, salary_year_avg double")
+    bridge = spark.createDataFrame([(1, 1), (2, 2)], "job_id long, skill_id long")
+    skills = spark.createDataFrame([(1, "a"), (2, "b")], "skill_id long, skill_name string")
+    got = reports.salary_by_skill({"fact_jobs": fact, "bridge_job_skills": bridge, "dim_skills": skills}).collect()
+    assert [tuple(r) for r in got] == [("b", 10.0), ("a", 10.0)]
 
 
 def test_analytic_model(tables):
@@ -85,17 +93,39 @@ def test_analytic_model(tables):
     dd = build_dim_date(fact)
     assert dd.count() == 69
     first = dd.orderBy("date_id").first()
-    assert (first.date_id, first.year, first.quarter, first.iso_day_of_week) == (20230101, 2023, 1, 7)
+    assert (first.date_id, first.year, first.quarter, first.iso_day_of_week) == (20240228, 2024, 1, 3)
     flags = {r.flag_id: (r.work_from_home, r.no_degree_mention, r.health_insurance)
              for r in build_dim_flags(fact).collect()}
-    assert flags == {6: (True, False, True), 3: (False, True, False)}
+    assert flags == {1 + 4 * w + 2 * d + h: (w, d, h) for w in (False, True) for d in (False, True)
+                     for h in (False, True)}
     fa = {r.job_id: (r.date_id, r.flag_id, r.job_count) for r in build_fact_analytic(fact).collect()}
-    assert fa == {1: (20230101, 6, 1), 2: (20230215, 3, 1), 3: (20230310, 6, 1)}
+    assert fa == {1: (20240228, 5, 1), 2: (20240506, 1, 1), 3: (20240301, 2, 1), 4: (20240301, 1, 1)}
 
 
 def test_load_counts_labels(tables):
     from starforge import schemas
     rows = {r.tabla: (r.filas, r.descripcion) for r in reports.load_counts(tables).collect()}
     labels = dict(schemas.TABLE_LABELS)
-    assert rows["fact_jobs"] == (3, labels["fact_jobs"]) and rows["bridge_job_skills"] == (9, labels["bridge_job_skills"])
+    assert rows["fact_jobs"] == (4, labels["fact_jobs"]) and rows["bridge_job_skills"] == (6, labels["bridge_job_skills"])
     assert rows["raw_jobs_rejected"] == (1, labels["raw_jobs_rejected"]) and len(rows) == 7
+
+
+def test_big_tables_are_aggregated_before_they_meet_a_dimension(spark, tables, tmp_path):
+    """Without broadcasts no report shuffles unaggregated fact or bridge rows by a dimension id."""
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+    t = {name: spark.read.parquet(str(tmp_path / name)) for name in tables}
+    with conf_override(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        for report in (reports.top_skills, reports.remote_by_country, reports.top_companies,
+                       reports.skills_by_category, reports.salary_by_skill):
+            plan = report(t)._jdf.queryExecution().executedPlan().toString()
+            for key in ("skill_id", "company_id", "location_id"):
+                for exchange in re.findall(rf"Exchange hashpartitioning\({key}#\d+L?, .*\n(.*)", plan):
+                    assert "HashAggregate" in exchange or "dim_" in plan and re.search("Filter|Project|ColumnarToRow|FileScan", exchange)
+            assert plan.count("partial_count") + plan.count("partial_avg") + plan.count("partial_sum") > 0
+
+
+def test_categories_are_hash_aggregated(spark, sample_df):
+    plan = skill_categories(sample_df)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("partial_min("):]
+    assert "SortAggregate" not in below

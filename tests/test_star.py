@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starforge.operators import checks
+from starforge.operators import checks, joins
 from starforge.operators.keys import dense_key
 from starforge.operators.quality import EmptyInputError, require_rows
 from starforge.operators.star import (
@@ -13,19 +13,20 @@ from starforge.operators.star import (
     build_star, with_job_id,
 )
 from starforge.plans import reports
+from starforge.session import conf_override
 from starforge.sources.store import read_tables, save_tables
-from tests.conftest import SAMPLE_ROWS, make_typed
+from tests.conftest import POSTINGS, make_typed, posting
 
 
-def _row(title, location, country, company, skills, types, wfh=False):
-    return (title, "t", location, "v", "Full-time", wfh, "x", dt.datetime(2023, 1, 1), False, False, country,
-            "year", 1.0, None, company, skills, types)
+def _row(title, location, country, company, skills, types):
+    return posting(job_title_short=title, job_location=location, job_country=country, company_name=company,
+                   job_skills=skills, job_type_skills=types)
 
 
 class TestDimCompanies:
     def test_dedup_and_ids(self, sample_df):
         d = {r.company_name: r.company_id for r in build_dim_companies(sample_df).collect()}
-        assert d == {"Google": 1, "Meta": 2}
+        assert d == {"Aveiro SA": 1, "Cais Lda": 2, "Jarv OU": 3}
 
     def test_null_names_dropped(self, spark):
         rows = [_row("Data Analyst", "a, b", "c", None, "[]", "{}"), _row("Data Analyst", "a, b", "c", "Z", "[]", "{}")]
@@ -40,7 +41,7 @@ class TestDimCompanies:
 class TestDimLocations:
     def test_two_locations_and_city(self, sample_df):
         d = {r.raw_location: (r.location_id, r.city) for r in build_dim_locations(sample_df).collect()}
-        assert d == {"New York, NY": (1, "New York"), "San Francisco, CA": (2, "San Francisco")}
+        assert d == {"Tartu, Estonia": (1, "Tartu"), "Porto, Norte": (2, "Porto")}
 
     def test_one_location_two_countries_last_id_wins(self, spark):
         rows = [_row("Data Analyst", "Paris, X", "France", "A", "[]", "{}"),
@@ -54,15 +55,14 @@ class TestDimLocations:
 
 
 class TestDimSkills:
-    def test_seven_skills_with_categories(self, sample_df):
+    def test_skills_with_categories(self, sample_df):
         d = {r.skill_name: r.skill_category for r in build_dim_skills(sample_df).collect()}
-        assert set(d) == {"Python", "SQL", "TensorFlow", "Spark", "Airflow", "Excel", "Tableau"}
-        assert d["Python"] == "programming" and d["Excel"] == "analyst_tools"
+        assert d == {"go": "languages", "terraform": "infra", "rust": "systems", "nats": "infra"}
 
     def test_ids_in_name_order(self, sample_df):
         rows = build_dim_skills(sample_df).orderBy("skill_id").collect()
         assert [r.skill_name for r in rows] == sorted(r.skill_name for r in rows)
-        assert [r.skill_id for r in rows] == list(range(1, 8))
+        assert [r.skill_id for r in rows] == [1, 2, 3, 4]
 
     def test_first_category_wins_and_other_and_case(self, spark):
         rows = [_row("Data Analyst", "a", "c", "A", "['Python', 'python', ' Go ', 'Rust']",
@@ -80,19 +80,34 @@ class TestFactJobs:
     def test_rows_keys_columns(self, sample_df):
         fact = build_fact_jobs(with_job_id(sample_df), build_dim_companies(sample_df), build_dim_locations(sample_df))
         rows = fact.orderBy("job_id").collect()
-        assert [r.job_id for r in rows] == [1, 2, 3] and [r._csv_row for r in rows] == [0, 1, 2]
-        assert [r.company_id for r in rows] == [1, 2, 1]
-        assert all(r.location_id is not None for r in rows)
+        assert [r.job_id for r in rows] == [1, 2, 3, 4] and [r._csv_row for r in rows] == [0, 1, 2, 3]
+        assert [r.company_id for r in rows] == [3, 2, 1, 3]
+        assert [r.location_id for r in rows] == [1, 2, 2, 1]
         assert "schedule_type" in fact.columns and "job_schedule_type" not in fact.columns
         assert "job_skills" not in fact.columns and "job_skills_parsed" not in fact.columns
 
     def test_null_company_gives_null_id(self, spark):
-        rows = list(SAMPLE_ROWS)
-        rows[0] = rows[0][:14] + (None,) + rows[0][15:]
-        df = make_typed(spark, rows)
+        df = make_typed(spark, [posting(company_name=None), posting()])
         fact = build_fact_jobs(with_job_id(df), build_dim_companies(df), build_dim_locations(df))
         assert fact.where("job_id = 1").first().company_id is None
 
+    def test_shuffle_join_gives_the_same_rows(self, spark, monkeypatch):
+        wide = "x" * 5000
+        rows = [posting(company_name=f"{wide}{i % 7}" if i % 3 else None, job_location="P" if i % 2 else None,
+                        job_country=None if i % 5 else "F") for i in range(60)]
+        df = make_typed(spark, rows)
+        companies, locations = build_dim_companies(df), build_dim_locations(df)
+        for match in (False, True):
+            small = build_fact_jobs(with_job_id(df), companies, locations, match_country=match)
+            want = sorted(tuple(r) for r in small.select("job_id", "company_id", F.coalesce("location_id", F.lit(0))).collect())
+            with monkeypatch.context() as m:
+                m.setattr(joins, "BROADCAST_MAX_BYTES", 10)
+                with conf_override(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+                    big = build_fact_jobs(with_job_id(df), companies, locations, match_country=match)
+                    got = sorted(tuple(r) for r in big.select("job_id", "company_id", F.coalesce("location_id", F.lit(0))).collect())
+                    assert "BroadcastHashJoin" not in big._jdf.queryExecution().toString()
+            assert [(a, b or 0, c) for a, b, c in got] == [(a, b or 0, c) for a, b, c in want] and len(got) == 60
+
     def test_match_country_option(self, spark):
         rows = [_row("Data Analyst", "P", "F", "A", "[]", "{}"), _row("Data Analyst", "P", "U", "A", "[]", "{}")]
         df = make_typed(spark, rows)
@@ -101,13 +116,13 @@ class TestFactJobs:
 
 
 class TestBridgeJobSkills:
-    def test_nine_pairs_python_in_jobs_1_2(self, sample_df):
+    def test_pairs_of_the_sample(self, sample_df):
         ds = build_dim_skills(sample_df)
         br = build_bridge_job_skills(with_job_id(sample_df), ds)
-        assert br.count() == 9 and br.columns == ["job_id", "skill_id"]
-        py = ds.where("skill_name = 'Python'").first().skill_id
-        assert {r.job_id for r in br.where(F.col("skill_id") == py).collect()} == {1, 2}
-        assert br.distinct().count() == 9
+        assert br.count() == 6 and br.columns == ["job_id", "skill_id"]
+        go = ds.where("skill_name = 'go'").first().skill_id
+        assert {r.job_id for r in br.where(F.col("skill_id") == go).collect()} == {1, 2}
+        assert br.distinct().count() == 6
 
     def test_duplicates_and_padding_collapse(self, spark):
         rows = [_row("Data Analyst", "a", "c", "A", "['SQL', ' SQL', 'SQL ', None]", "{}")]
@@ -150,18 +165,18 @@ def test_save_swap_reports_and_checks(spark, sample_df, tmp_path):
     tables = {**star.tables(), "raw_jobs": raw, "raw_jobs_rejected": rej}
     out = str(tmp_path / "wh")
     counts = save_tables(spark, tables, out)
-    assert counts["bridge_job_skills"] == 9 and counts["raw_jobs_rejected"] == 0
+    assert counts["bridge_job_skills"] == 6 and counts["raw_jobs_rejected"] == 0
     counts = save_tables(spark, tables, out)     # replace-all: same result twice
     t = read_tables(spark, out)
     assert {r.check: r.violations for r in checks.key_checks(t).collect()} == {
         r.check: 0 for r in checks.key_checks(t).collect()}
     lc = {r.tabla: r.filas for r in reports.load_counts(t).collect()}
-    assert lc["fact_jobs"] == 3 and lc["dim_skills"] == 7
+    assert lc["fact_jobs"] == 4 and lc["dim_skills"] == 4
     top = reports.top_skills(t).collect()
-    assert (top[0].habilidad, top[0].avisos_que_la_piden, top[0].porcentaje_avisos) == ("Python", 2, "66.7%")
+    assert (top[0].habilidad, top[0].avisos_que_la_piden, top[0].porcentaje_avisos) == ("go", 2, "50.0%")
     vs = reports.valid_share(t).first()
     assert vs.porcentaje_calidad == "100.00%"
-    assert reports.ads_for_skill(t, "SQL").first()["count"] == 2
+    assert reports.ads_for_skill(t, "terraform").first()["count"] == 2
 
 
 def test_key_checks_find_violations(spark, sample_df, tmp_path):
