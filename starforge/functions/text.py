@@ -71,7 +71,12 @@ def lenient_number(c) -> Column:
 def lenient_timestamp(c) -> Column:
     """Mixed-format timestamp text -> TIMESTAMP_NTZ, month first, failure -> NULL."""
     c = _c(c)
-    tries = [F.when(c.rlike(_GENERAL_DATE_RE), F.try_to_timestamp(c))] + [F.try_to_timestamp(c, F.lit(f)) for f in TIMESTAMP_FORMATS]
+    def parsed(layout: str) -> Column:
+        t = F.try_to_timestamp(c, F.lit(layout))
+        # two-digit years 69 to 99 are of the last century, as in strptime
+        return F.when(F.year(t) >= 2069, t - F.make_interval(F.lit(100))).otherwise(t) if layout.endswith("/yy") else t
+
+    tries = [F.when(c.rlike(_GENERAL_DATE_RE), F.try_to_timestamp(c))] + [parsed(f) for f in TIMESTAMP_FORMATS]
     return F.coalesce(*tries).cast("timestamp_ntz")
 
 

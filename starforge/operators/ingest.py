@@ -179,6 +179,26 @@ def typed_columns(header: list) -> list:
     return out
 
 
+def lost_columns(header: list) -> list:
+    """Texts of the coerced fields, kept beside their typed columns until ``lost_counts`` has seen them."""
+    pos = {name: i for i, name in enumerate(header)}
+    return [F.col(f"_rec.c{pos[name]}").alias(f"_text_{name}") for name in ("job_posted_date", *schemas.NUMBER_COLUMNS)]
+
+
+def lost_counts() -> list:
+    """Aggregates for ``observe``: non-empty dates, numbers and literals that became NULL or empty."""
+    def lost(name: str) -> F.Column:
+        return F.col(name).isNull() & (py_strip(f"_text_{name}") != "")
+
+    def lost_literal(name: str, empty: str) -> F.Column:
+        return (F.size(f"{name}_parsed") == 0) & ~F.col(name).rlike(rf"^\s*(\{empty[0]}\s*\{empty[1]}|nan)?\s*$")
+
+    return [F.count_if(lost("job_posted_date")).alias("lost_dates"),
+            F.sum(sum((F.when(lost(c), 1).otherwise(0) for c in schemas.NUMBER_COLUMNS), F.lit(0))).alias("lost_numbers"),
+            F.sum(F.when(lost_literal("job_skills", "[]"), 1).otherwise(0)
+                  + F.when(lost_literal("job_type_skills", "{}"), 1).otherwise(0)).alias("lost_literals")]
+
+
 def with_parsed_skills(df: DataFrame) -> DataFrame:
     """List and dict literal text -> nested columns."""
     return (df.withColumn("job_skills_parsed", parse_skill_list("job_skills"))
@@ -229,8 +249,12 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
         # ---- valid rows -> raw_jobs
         good = with_offsets(classified.where(F.col("_ok")))
         typed = good.select((F.col("_number") + F.col("_good_shift")).alias("raw_id"),
-                            F.col("_file").alias("source_file"), "line_number", *typed_columns(header))
-        raw = with_parsed_skills(typed).select(
+                            F.col("_file").alias("source_file"), "line_number", *typed_columns(header),
+                            *lost_columns(header))
+        obs = Observation("raw_jobs")
+        parsed = with_parsed_skills(typed).observe(obs, F.count(F.lit(1)).alias("rows"), *failure_count_columns(),
+                                                   *lost_counts())
+        raw = parsed.select(
             "raw_id", *[c for c in schemas.CSV_COLUMNS if c not in ("job_skills", "job_type_skills")],
             # C11: the raw copy keeps a missing literal as the text '<NA>'
             F.coalesce("job_skills", F.lit(schemas.RAW_NA_TEXT)).alias("job_skills"),
@@ -238,8 +262,6 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
             stamp.alias("ingested_at"), "source_file", "line_number",
             # P6/P7 parsed once here and stored as nested columns
             "job_skills_parsed", "job_type_skills_parsed")
-        obs = Observation("raw_jobs")
-        raw = raw.observe(obs, F.count(F.lit(1)).alias("rows"), *failure_count_columns())
         raw_path = f"{out_dir}/raw_jobs"
         raw.write.mode("overwrite").parquet(raw_path)
         metrics = obs.get
@@ -264,7 +286,8 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
     if validate and failures:
         raise ValidationError(failures, failures_of(raw_df, key="raw_id"))
     rejected = spark.read.parquet(rej_path)
-    counts = {"valid": int(metrics["rows"]), "rejected": int(rej_rows), "splits": int(n_splits)}
+    counts = {"valid": int(metrics["rows"]), "rejected": int(rej_rows), "splits": int(n_splits),
+              **{k: int(metrics.get(k) or 0) for k in ("lost_dates", "lost_numbers", "lost_literals")}}
     return Ingested(valid=raw_df, rejected=rejected, header=header, counts=counts,
                     paths={"raw_jobs": raw_path, "raw_jobs_rejected": rej_path})
 

@@ -8,8 +8,8 @@
 3. checkpoint, so the sampled range bounds and positions are fixed even if an
    executor is lost and work is recomputed,
 4. count rows per partition (one row per partition, fetched to the driver:
-   bounded by the partition count) and apply the running offsets as a literal
-   array — no join, no single-task window.
+   bounded by the partition count) and join the running offsets back as a
+   broadcast of that size — no single-task window.
 
 ``exclusive_prefix_sum`` uses the same layout for running sums over a
 (small) table ordered by some columns.
@@ -42,19 +42,18 @@ def dense_key(df: DataFrame, order_cols: list, id_col: str, num_partitions: int
                  .sortWithinPartitions(*order_cols)
                  .withColumn("_pos", F.monotonically_increasing_id()))
     ordered = ordered.checkpoint(eager=True)
-    # One (partition, count) pair per partition: bounded metadata, so it is
-    # fetched to the driver and applied as a literal array (no join).
-    counts = dict(ordered.groupBy(partition_of(F.col("_pos")).alias("_part"))
-                         .agg(F.count(F.lit(1)).alias("_n")).collect())
-    parts = max(counts) + 1 if counts else 0
+    # One (partition, count) pair per partition: bounded metadata, fetched to the driver and
+    # joined back as a table of that size.
+    counts = ordered.groupBy(partition_of(F.col("_pos")).alias("_part")).agg(F.count(F.lit(1)).alias("_n")).collect()
     offsets, run = [], 0
-    for p in range(parts):
-        offsets.append(run)
-        run += counts.get(p, 0)
-    if not offsets:
-        return ordered.withColumn(id_col, F.lit(None).cast("long")).drop("_pos")
-    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (partition_of(F.col("_pos")) + 1).cast("int"))
-    return ordered.withColumn(id_col, (off + row_in_partition(F.col("_pos")) + 1).cast("long")).drop("_pos")
+    for part, n in sorted((r["_part"], r["_n"]) for r in counts):
+        offsets.append((part, run))
+        run += n
+    table = spark.createDataFrame(offsets, "_part long, _off long")
+    return (ordered.withColumn("_part", partition_of(F.col("_pos")))
+                   .join(F.broadcast(table), "_part")
+                   .withColumn(id_col, (F.col("_off") + row_in_partition(F.col("_pos")) + 1).cast("long"))
+                   .drop("_pos", "_part", "_off"))
 
 
 PREFIX_ROWS_PER_PARTITION = 100_000
@@ -67,7 +66,7 @@ def exclusive_prefix_sum(df: DataFrame, order_cols: list, value_cols: list, pref
 
     Distributed: range partition + checkpoint, a window inside each range
     partition, and the per-partition totals (one row per partition, fetched to
-    the driver) applied as a literal offset array.  Partitions hold about
+    the driver) joined back as a broadcast of that size.  Partitions hold about
     ``PREFIX_ROWS_PER_PARTITION`` rows; a table that fits in one uses a single
     window.
     """
@@ -89,15 +88,13 @@ def exclusive_prefix_sum(df: DataFrame, order_cols: list, value_cols: list, pref
     ordered = ordered.checkpoint(eager=True)
     totals = {r["_pp"]: r for r in ordered.groupBy("_pp").agg(
         *[F.sum(v).alias(v) for v in value_cols]).collect()}
-    parts = max(totals) + 1 if totals else 0
+    offsets, run = [], [0] * len(value_cols)
+    for part in sorted(totals):
+        offsets.append((part, *run))
+        run = [r + int(totals[part][v] or 0) for r, v in zip(run, value_cols)]
+    table = spark.createDataFrame(offsets, "_pp int, " + ", ".join(f"_off{i} long" for i in range(len(value_cols))))
     w = Window.partitionBy("_pp").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    out = ordered
-    for v in value_cols:
-        offsets, run = [], 0
-        for p in range(parts):
-            offsets.append(run)
-            run += int(totals[p][v] or 0) if p in totals else 0
-        base = (F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_pp") + 1)
-                if offsets else F.lit(0).cast("long"))
-        out = out.withColumn(f"{prefix}{v}", (base + F.coalesce(F.sum(v).over(w), F.lit(0))).cast("long"))
-    return out.drop("_pp")
+    out = ordered.join(F.broadcast(table), "_pp")
+    for i, v in enumerate(value_cols):
+        out = out.withColumn(f"{prefix}{v}", (F.col(f"_off{i}") + F.coalesce(F.sum(v).over(w), F.lit(0))).cast("long"))
+    return out.drop("_pp", *[f"_off{i}" for i in range(len(value_cols))])

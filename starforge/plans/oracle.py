@@ -220,19 +220,25 @@ ORACLE_TAILS = {
                        FROM raw_jobs_rejected""",
     "reject_preview": """SELECT line_number, fields_expected, left(raw_content, 120) AS content
                          FROM raw_jobs_rejected ORDER BY bucket, line_number LIMIT 20""",
-    "parse_skill_list": "SELECT job_id AS raw_id, CAST(r - 1 AS INTEGER) AS pos, name AS skill FROM vitems",
+    "parse_skill_list": """
+        SELECT job_id AS raw_id, CAST(r - 1 + (job_id % 4 = 2)::INTEGER AS INTEGER) AS pos, name AS skill
+        FROM vitems WHERE job_id % 4 <> 1
+        UNION ALL SELECT raw_id, 0, 'None, x' FROM raw_jobs WHERE raw_id % 4 = 2""",
     "parse_skill_dict": """
         SELECT job_id AS raw_id,
                CAST(dense_rank() OVER (PARTITION BY job_id ORDER BY first_r) - 1 AS INTEGER) AS cat_pos,
                ptype AS category,
                CAST(row_number() OVER (PARTITION BY job_id, ptype ORDER BY r) - 1 AS INTEGER) AS skill_pos,
                name AS skill
-        FROM vitems""",
+        FROM vitems WHERE job_id % 4 <> 1""",
     "lenient_timestamp": """
         SELECT o_orderkey, CASE
-            WHEN o_orderkey % 7 = 5 THEN NULL
-            WHEN o_orderkey % 7 = 6 AND day(o_orderdate) <= 12
+            WHEN o_orderkey % 14 IN (5, 12, 13) THEN NULL
+            WHEN o_orderkey % 14 IN (6, 10) AND day(o_orderdate) <= 12
                  THEN make_timestamp(year(o_orderdate), day(o_orderdate), month(o_orderdate), 0, 0, 0)
+            WHEN o_orderkey % 14 = 7
+                 THEN make_timestamp(CASE WHEN year(o_orderdate) % 100 < 69 THEN 2000 ELSE 1900 END
+                                     + year(o_orderdate) % 100, month(o_orderdate), day(o_orderdate), 0, 0, 0)
             ELSE o_orderdate END AS parsed
         FROM orders""",
     "lenient_number": """
@@ -261,6 +267,9 @@ ORACLE_TAILS = {
         FROM (SELECT ingested_at AS t, 'raw_jobs' AS tabla FROM raw_jobs
               UNION ALL BY NAME SELECT ingested_at AS t, 'raw_jobs_rejected' AS tabla FROM raw_jobs_rejected)
         GROUP BY tabla""",
+    "reload_counts": f"""
+        SELECT carga, tabla, filas FROM ({_COUNTS}) t, (VALUES ('first'), ('second'), ('rebuilt')) l(carga)
+        WHERE carga <> 'rebuilt' OR tabla NOT LIKE 'raw%'""",
     "ads_without_company": "SELECT count(*) AS avisos_sin_empresa FROM fact_jobs WHERE company_id IS NULL",
     "ads_without_location": "SELECT count(*) AS avisos_sin_ubicacion FROM fact_jobs WHERE location_id IS NULL",
     "duplicate_pairs": """

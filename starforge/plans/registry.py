@@ -128,13 +128,22 @@ def q_reject_preview(spark, sf_dir):
 
 
 def q_parse_skill_list(spark, sf_dir):
-    raw = _t(spark, sf_dir)["raw_jobs"]
-    return raw.select("raw_id", F.posexplode(parse_skill_list("job_skills")).alias("pos", "skill"))
+    """Lists as loaded; every fourth with text after the end (no list), every fourth with a
+    quoted ``None`` put in front."""
+    raw, k, t = _t(spark, sf_dir)["raw_jobs"], F.col("raw_id"), F.col("job_skills")
+    text = (F.when(k % 4 == 1, F.concat(t, F.lit("]")))
+             .when(k % 4 == 2, F.concat(F.lit("['None, x', "), F.substring(t, F.lit(2), F.length(t)))).otherwise(t))
+    return raw.select("raw_id", F.posexplode(parse_skill_list(text)).alias("pos", "skill"))
 
 
 def q_parse_skill_dict(spark, sf_dir):
-    raw = _t(spark, sf_dir)["raw_jobs"]
-    g = raw.select("raw_id", F.posexplode(parse_skill_groups("job_type_skills")).alias("cat_pos", "grp"))
+    """Dictionaries as loaded; every fourth with text after the end, every fourth with values that
+    are no lists put in front."""
+    raw, k, t = _t(spark, sf_dir)["raw_jobs"], F.col("raw_id"), F.col("job_type_skills")
+    text = (F.when(k % 4 == 1, F.concat(t, F.lit(" junk")))
+             .when(k % 4 == 2, F.concat(F.lit("{'n': 5, 'm': None, 'd': {'a': ['b']}, "), F.substring(t, F.lit(2), F.length(t))))
+             .otherwise(t))
+    g = raw.select("raw_id", F.posexplode(parse_skill_groups(text)).alias("cat_pos", "grp"))
     return g.select("raw_id", "cat_pos", F.col("grp.category").alias("category"),
                     F.posexplode("grp.skills").alias("skill_pos", "skill"))
 
@@ -144,13 +153,12 @@ def q_parse_skill_dict(spark, sf_dir):
 def q_lenient_timestamp(spark, sf_dir):
     o = _orders(spark, sf_dir)
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
-    text = (F.when(k % 7 == 0, F.date_format(d, "yyyy-MM-dd HH:mm:ss"))
-             .when(k % 7 == 1, F.date_format(d, "M/d/yyyy H:mm:ss"))
-             .when(k % 7 == 2, F.date_format(d, "MMM d yyyy"))
-             .when(k % 7 == 3, F.date_format(d, "M/d/yyyy h:mm:ss a"))
-             .when(k % 7 == 4, F.date_format(d, "yyyy-MM-dd"))
-             .when(k % 7 == 5, F.concat(F.date_format(d, "yyyy"), F.lit("-13-01")))
-             .otherwise(F.date_format(d, "d/M/yyyy")))
+    layouts = ["yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm:ss", "MMM d yyyy", "M/d/yyyy h:mm:ss a", "yyyy-MM-dd",
+               "yyyy-'13-01'", "d/M/yyyy", "M/d/yy", "MMM d, yyyy H:mm", "yyyyMMdd", "dd-MM-yyyy", "MM-dd-yyyy",
+               "HH:mm", "'1'yyyy"]
+    text = F.lit(None).cast("string")
+    for i, layout in enumerate(layouts):
+        text = F.when(k % len(layouts) == i, F.date_format(d, layout)).otherwise(text)
     return o.select("o_orderkey", lenient_timestamp(text).alias("parsed"))
 
 
@@ -195,6 +203,16 @@ def _report(fn, **kw):
     return lambda spark, sf_dir: fn(_t(spark, sf_dir), **kw)
 
 
+def q_reload_counts(spark, sf_dir):
+    """The counts returned by a second load of the same text and by a rebuild from its raw table."""
+    out = f"{scratch_path(spark, 'reload')}/tables"
+    csv_path = model(spark, sf_dir).csv_path
+    loads = [("first", run(spark, csv_path, out, now=LOAD_STAMP)), ("second", run(spark, csv_path, out, now=LOAD_STAMP)),
+             ("rebuilt", run(spark, None, out, load_raw=False))]
+    return spark.createDataFrame([(load, t, n) for load, counts in loads for t, n in counts.items()],
+                                 "carga string, tabla string, filas long")
+
+
 def q_dim_date(spark, sf_dir):
     return build_dim_date(_t(spark, sf_dir)["fact_jobs"])
 
@@ -230,6 +248,7 @@ def queries() -> dict:
         "validation_failures": q_validation_failures,
         "load_counts": _report(reports.load_counts),
         "load_times": _report(reports.load_times),
+        "reload_counts": q_reload_counts,
         "ads_without_company": _report(checks.ads_without_company),
         "ads_without_location": _report(checks.ads_without_location),
         "duplicate_pairs": _report(checks.duplicate_pairs),

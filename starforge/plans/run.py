@@ -82,6 +82,9 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 def _log_rejects(ing) -> None:
     """The number of rejects and the first 20 of them (120 characters each)."""
+    for what in ("dates", "numbers", "literals"):
+        if ing.counts.get(f"lost_{what}"):
+            log.warning("%s non-empty %s could not be read -> empty", f"{ing.counts[f'lost_{what}']:,}", what)
     n = ing.counts.get("rejected", 0)
     if not n:
         log.info("every CSV line had the expected 17 fields")

@@ -73,7 +73,8 @@ def _parse(spark, lines):
 class TestParseCsvLine:
     @pytest.mark.parametrize("wrap", [True, False])
     def test_fields_come_back(self, spark, wrap):
-        values = fields(job_location="Évora, Alentejo", job_title='the "best" one',
+        # a line that is not wrapped loses doubled quotes before it is split, so its fields hold none
+        values = fields(job_location="Évora, Alentejo", job_title='the "best" one' if wrap else "the best one",
                         job_skills="['go', 'c', 'rust']", job_type_skills="{'x': ['go', 'c'], 'y': ['rust']}")
         row = _parse(spark, [csv_line(values, wrap)])[0]
         assert [v or "" for v in row] == values
@@ -125,7 +126,7 @@ class TestScalars:
         ("2/29/2024", "2024-02-29 00:00:00"), ("29/02/2024", "2024-02-29 00:00:00"),
         ("04/05/2024", "2024-04-05 00:00:00"), ("2/29/2024 1:02:03 PM", "2024-02-29 13:02:03"),
         ("Feb 29 2024", "2024-02-29 00:00:00"), ("Feb 29, 2024 10:05", "2024-02-29 10:05:00"),
-        ("2/9/24", "2024-02-09 00:00:00"), ("20240229", "2024-02-29 00:00:00"), ("02-29-2024", "2024-02-29 00:00:00"),
+        ("2/9/24", "2024-02-09 00:00:00"), ("3/4/96", "1996-03-04 00:00:00"), ("20240229", "2024-02-29 00:00:00"), ("02-29-2024", "2024-02-29 00:00:00"),
         ("29-02-2024", "2024-02-29 00:00:00"), ("2024-02-30", None), ("10000", None), ("12:30", None),
         ("soon", None), ("", None), (None, None)])
     def test_lenient_timestamp(self, spark, text, expected):
