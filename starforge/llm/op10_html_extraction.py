@@ -9,7 +9,7 @@ largest-sum node.  A container inside an ``article`` or ``main`` element is wide
 
 Before that, subtrees that are no article text by their element, role or class name (menus,
 headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles) are cut,
-unless they hold the page's article or main heading themselves.
+unless they hold the page's article (or, without one, its main heading) themselves.
 
 Text: character references decoded, white space inside a block turned into one space, blocks
 trimmed and joined by one newline in page order; ``br`` counts as white space.
@@ -40,12 +40,14 @@ SIDE = frozenset("aside dialog footer menu nav".split())
 SIDE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search "
                        "toolbar".split())
 SIDE_NAMES = frozenset("ad ads adv advert advertisement advertisements advertising adverts alert aside banner banners "
-                       "breadcrumb breadcrumbs byline comment commentlist comments consent cookie cookies copyright "
-                       "disclaimer disqus footer footnav gdpr header hidden login masthead menu menus modal nav navbar "
-                       "navigation newsletter notice notices notification overlay pager pagination popup print promo "
+                       "breadcrumb breadcrumbs comment commentlist comments consent cookie cookies copyright disclaimer "
+                       "disqus footer footnav gdpr header login masthead menu menus modal nav navbar navigation "
+                       "newsletter notice notices notification notifications overlay pager pagination popup promo "
                        "promoted promotion recommendations recommended related replies reply respond responses search "
                        "share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription "
-                       "tagcloud teaser toolbar topbar trending widget widgets".split())
+                       "tagcloud toolbar topbar trending".split())
+# Names that say so only when they are a whole class name.
+SIDE_WHOLE = frozenset("hidden invisible print tags widget widgets".split())
 # An open element of the first kind ends when one of the second starts.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}}
@@ -138,23 +140,36 @@ def is_side(node: Node) -> bool:
         return True
     if SIDE_ROLES & set(a.get("role", "").lower().split()):
         return True
-    names = {w.lower() for w in _NAME.findall(a.get("class", "") + " " + a.get("id", ""))} & SIDE_NAMES
-    if names <= {"header", "byline"} and inside(node.parent, ("article", "main")):
+    classes = a.get("class", "") + " " + a.get("id", "")
+    names = {w.lower() for w in _NAME.findall(classes)} & SIDE_NAMES
+    if names == {"header"} and inside(node.parent, ("article", "main")):
         return False
-    return bool(names)
+    return bool(names or SIDE_WHOLE & set(classes.lower().split()))
+
+
+def anchors(nodes: list[Node], side: set[int]) -> list[Node]:
+    """What marks the article: article and main elements, else main headings; those outside side matter first."""
+    beside: set[int] = set()       # nodes that are or lie in side matter
+    for n in nodes:
+        if id(n) in side or n.parent is not None and id(n.parent) in beside:
+            beside.add(id(n))
+    for tags in (("article", "main"), ("h1",)):
+        found = [n for n in nodes if n.tag in tags and id(n) not in beside]
+        if found:
+            return found
+    return [n for n in nodes if n.tag in ("article", "main", "h1") and id(n) not in side]
 
 
 def prune(root: Node) -> None:
     """Cut what is no text, and side matter that does not hold the article itself."""
     nodes = elements(root)
     side = {id(n) for n in nodes if is_side(n)}
-    holds = set()  # nodes around an article, main element or main heading that is not side matter
-    for n in nodes:
-        if n.tag in ("article", "main", "h1") and id(n) not in side:
-            up = n.parent
-            while up is not None and id(up) not in holds:
-                holds.add(id(up))
-                up = up.parent
+    holds = set()  # nodes around what marks the article
+    for n in anchors(nodes, side):
+        up = n.parent
+        while up is not None and id(up) not in holds:
+            holds.add(id(up))
+            up = up.parent
     stack = [(root, False)]
     while stack:
         node, in_comments = stack.pop()

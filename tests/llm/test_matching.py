@@ -227,6 +227,13 @@ PAGES = [
      "Head\nBody text."),
     ("<form id=page><article><p>kept although a form surrounds it</p></article></form>", "kept although a form surrounds it"),
     ("<div class=comments><article class=comment><p>no</p></article></div><main><p>yes</p></main>", "yes"),
+    ("<header><h1>Site</h1></header><div class='overflow-hidden'><h1>Story</h1><p>Text of it.</p></div>"
+     "<aside><article><p>Other story</p></article></aside>", "Story\nText of it."),
+    ("<div id=top class=header><h1>Site</h1><p>Slogan</p></div><div id=content><h1>T</h1><div class=notice>Sale!</div>"
+     "<p>Only text.</p><p class=advert>Buy</p><p>More text.</p></div>", "T\nOnly text.\nMore text."),
+    ("<div class='page header-fixed'><h1>Held</h1><p>by its heading</p></div>", "Held\nby its heading"),
+    ("<article><p>a</p><p>b</p></article><section class=reader-comments><article><p>A long reader comment, longer than all "
+     "of the article.</p></article></section>", "a\nb"),
     ("<script>never closed <p>x", ""), ("", ""), (None, ""), ("<div></div>", ""),
 ]
 
