@@ -1,9 +1,10 @@
 """Toxicity: a fuzzy lexicon matched by Levenshtein automata, read in context.
 
-**Lexicon.** Words and word stems that mark toxic rows are learned from labelled rows: an
-entry is a word, or a stem of at least ``MIN_STEM`` letters, found in enough toxic rows and far
-more often there than in clean ones.  A stem that always continues the same way is
-lengthened; an entry covered by a shorter one is left out.
+**Lexicon.** Words and word stems that mark toxic rows are learned from the distinct texts of
+labelled rows: an entry is a word, or a stem of at least ``MIN_STEM`` letters, found in enough toxic
+rows and far more often there than in clean ones.  Entries are taken by evidence, each only if
+it explains toxic rows that hold fewer than ``EXPLAINED`` entries so far; so the chance words of
+copied toxic texts, which their real marks explain, stay out.
 
 **Matching.** The entries form a trie.  Levenshtein automata of all entries run over it
 together: a state is the set of (trie node, edits so far) still alive, and the transitions
@@ -34,6 +35,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +44,7 @@ from starforge.llm.common import WORD, id_remainder, staged
 
 MIN_STEM, MAX_STEM = 4, 8
 CONTEXT = 8
+EXPLAINED = 2
 # FIXED VALUES: quotation marks, and words that report or address, in the languages at hand.
 QUOTES = re.compile("[\"“”„«»‹›]")
 REPORTING = frozenset("said says wrote called calling quote quoted term word meaning sagte sagt schrieb nannte genannt "
@@ -219,10 +222,10 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int, min_ratio: floa
                   min_evidence: float = 30.0) -> list[tuple[str, bool, float]]:
     """(letters, is_stem, log ratio) of the entries learned from labelled rows (text, toxic).
 
-    An entry is kept if it is ``min_ratio`` times as frequent in toxic rows and the
-    log-likelihood ratio of the difference reaches ``min_evidence``.  Of entries that continue each
-    other the one with most evidence is kept, a longer one besides only if it is far more
-    telling, a shorter one only if it is found in clearly more toxic rows.
+    A candidate is ``min_ratio`` times as frequent in toxic rows, and the log-likelihood ratio of
+    the difference reaches ``min_evidence``.  Of entries that continue each other the one with most
+    evidence is kept, a longer one besides only if it is far more telling, a shorter one only if
+    it is found in clearly more toxic rows.
     """
     support = max(3, math.ceil(0.01 * n_toxic))
     # bounded: a candidate is in at least 1 % of the toxic rows of a bounded sample
@@ -241,17 +244,36 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int, min_ratio: floa
         return 2 * sum(n * math.log(n / (share * m)) for n, m in ((n1, n_toxic), (n0, n_clean)) if n)
 
     strength = {e: evidence(e) for e in toxic if ratio(e) >= min_ratio}
+    strong = sorted((e for e in strength if strength[e] >= min_evidence),
+                    key=lambda e: (-round(strength[e], 6), e.endswith("*"), -len(e), e))
+    holders: dict[str, list[int]] = {e: [] for e in strong}
+    for row, held in enumerate(row_entries(sample.where("toxic = 1"), set(strong))):
+        for e in held:
+            holders[e].append(row)
     kept: list[str] = []
-    for e in sorted((e for e in strength if strength[e] >= min_evidence),
-                    key=lambda e: (-round(strength[e], 6), e.endswith("*"), -len(e), e)):
+    explained: Counter = Counter()
+    for e in strong:
         word = e.rstrip("*")
         shorter = [k for k in kept if k.endswith("*") and word.startswith(k[:-1])]
         longer = [k for k in kept if e.endswith("*") and k.startswith(word)]
-        if all(ratio(e) >= 3 * ratio(k) for k in shorter) and all(toxic[e] >= 1.3 * toxic[k] for k in longer):
+        new = sum(explained[row] < EXPLAINED for row in holders[e])
+        if new >= support and all(ratio(e) >= 3 * ratio(k) for k in shorter) \
+                and all(toxic[e] >= 1.3 * toxic[k] for k in longer):
             kept.append(e)
+            explained.update(holders[e])
     return [(e.rstrip("*"), e.endswith("*"), min(5.0, math.log(ratio(e)))) for e in kept]
 
 
+def row_entries(rows: DataFrame, only: set[str]) -> list[list[str]]:
+    """Which of ``only`` each row of the (bounded) sample holds."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sorted(candidates_of(t) & only) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], ["entries"])
+
+    return sorted(r["entries"] for r in rows.select("text").mapInArrow(run, "entries array<string>").collect())
+
+
 class ToxicityModel:
     """Lexicon and logistic weights; ``features`` are (entry, edits) pairs and context names."""
 
@@ -336,7 +358,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000) -> ToxicityM
     # at most about max_rows rows of an id and a flag
     marks = F.broadcast(marks.where(u < min(1.0, max_rows / n)))
     sample = staged(docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("text"))
-                        .where("text is not null").join(marks, "_id").select("text", "toxic"), "toxicity-sample")
+                        .where("text is not null").join(marks, "_id").select("text", "toxic")
+                    .groupBy("text").agg(F.max("toxic").alias("toxic")), "toxicity-sample")
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not sizes:
         return None
@@ -367,3 +390,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: int = 0, modulu
                        (id_remainder(F.col("doc_id"), modulus) == held_out).alias("held_out"))
     model = fit(rows, labels.where(id_remainder(F.col("doc_id"), modulus) != held_out))
     return predict(rows, model, ["doc_id", "held_out"])
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, held_out: int = 0, modulus: int = 5) -> DataFrame:
+    """Rows of ``docs`` that are not predicted toxic, with the columns of ``docs``."""
+    model = fit(docs, labels.where(id_remainder(F.col("doc_id"), modulus) != held_out))
+    if model is None:
+        return docs
+
+    @F.pandas_udf("boolean")
+    def is_clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        reader = TextHits(model.lexicon)
+        for part in texts:
+            yield pd.Series([model.score(reader.features(t)) < 0.5 for t in part], dtype=bool)
+
+    return docs.where(is_clean(F.col("text").cast("string")))
