@@ -176,7 +176,8 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, pre
             .withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")) \
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
             .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")) \
-            .select("size", "pivot", "lo", "hi", "block", "node", "copies", "raw", "nearest")
+            .select("size", "pivot", "lo", "hi", "block", "node", "copies", "raw", "nearest") \
+            .repartition("size", "pivot", "lo", "hi")  # else a list's block pairs stay in the join's one task
         links = staged(spread.groupBy("size", "pivot", "lo", "hi").applyInPandas(
             lambda rows: block_links(rows, threshold, shared), "node long, links long, root long"), "vector-links")
     counted = nodes.select("raw", "node", "copies", "smallest")
