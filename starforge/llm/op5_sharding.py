@@ -41,8 +41,7 @@ def interleave(docs: DataFrame, key_cols: list[Column], source: Column, carry: d
                     .select(*carry, "_frac", "_h"))
     ordered = with_global_index(staged(placed, "shard-fractions"), ["_frac", "_h", *carry], "_pos", "shard-order")
     n = base.count()
-    shard = F.floor(F.col("_pos") * shards / F.lit(max(n, 1))).cast("int") if n * shards < 2**50 else \
-        F.expr(f"cast((cast(_pos as decimal(38,0)) * {shards}) div {n} as int)")
+    shard = F.expr(f"cast((_pos * {shards}) div {max(n, 1)} as int)")
     # first position of a shard: the smallest p with p * shards >= shard * n
     first = F.expr(f"(cast(shard as bigint) * {n} + {shards - 1}) div {shards}")
     return (ordered.withColumn("shard", shard)
