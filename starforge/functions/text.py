@@ -71,8 +71,13 @@ def lenient_number(c) -> Column:
 def lenient_timestamp(c) -> Column:
     """Mixed-format timestamp text -> TIMESTAMP_NTZ, month first, failure -> NULL."""
     c = _c(c)
+    slash, dash = c.contains("/"), c.contains("-")
+    named, compact = c.rlike("[A-Za-z]{3}"), c.rlike(r"^\d{8}$")
+
     def parsed(layout: str) -> Column:
-        t = F.try_to_timestamp(c, F.lit(layout))
+        # asked only for texts with the layout's separator: each failed attempt is costly
+        likely = slash if "/" in layout else dash if "-" in layout else named if "MMM" in layout else compact
+        t = F.when(likely, F.try_to_timestamp(c, F.lit(layout)))
         # two-digit years 69 to 99 are of the last century, as in strptime
         return F.when(F.year(t) >= 2069, t - F.make_interval(F.lit(100))).otherwise(t) if layout.endswith("/yy") else t
 
