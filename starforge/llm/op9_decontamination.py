@@ -1,15 +1,19 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
 Texts are compared in lower case with every run of other characters than letters, digits
-and underscores as one space.  Benchmark items are cut into segments of ``SEGMENT`` characters
-(the last one overlapping), so a passage of an item is found too; a segment of length n may
-differ by e = floor(``rate`` * n) edits.
+and underscores as one space.  Benchmark items are cut into segments: of ``SEGMENT`` characters one
+after the other, and of ``WINDOW`` characters every ``STRIDE``, each with a last one that ends with the
+item.  A segment of length n may differ by e = floor(``rate`` * n) edits.  So a passage of an item is
+found from any place in it if it has ``WINDOW`` + ``STRIDE`` - 1 = 79 characters, with at most 5 edits.
+Shorter passages are found if they are a whole item or hold a whole segment.
 
-1. A text's character q-grams are looked up among those of the segments.
+1. A text's character q-grams are looked up among those of the items.
 2. A match with at most e edits shares at least n + 1 - q (e + 1) q-grams with the segment, and
    their diagonals (place in the text minus place in the segment) lie within e of each
    other.  Shared q-grams are counted in overlapping diagonal bands of width 2 (e + 1), half
    a band apart, so any such match lies whole in one band.  Bands that reach the bound are kept.
+   They are counted by item first, where a match lies in two bands side by side, and by
+   segment only where an item has as many as one of its segments needs.
 3. Each kept region is verified by an edit-distance alignment inside the band.
 
 The benchmark is the stated query set: it goes to all tasks in blocks of at most
@@ -35,6 +39,8 @@ from starforge.llm.common import WORD, mix64
 
 Q = 8
 SEGMENT = 128
+WINDOW = 64
+STRIDE = 16
 RATE = 0.08
 BLOCK_CHARS = 20_000_000
 SLICE = 1_000_000
@@ -63,53 +69,87 @@ def gram_hashes(points: np.ndarray) -> np.ndarray:
     return mix64(h)
 
 
+def cuts(n: int) -> list[tuple[int, int, int]]:
+    """(family, start, length) of the segments of an item of ``n`` characters; a family's don't overlap."""
+    out = [(0, s, SEGMENT) for s in range(0, n - SEGMENT + 1, SEGMENT)] or [(0, 0, n)]
+    if n > SEGMENT and n % SEGMENT:
+        out.append((1, n - SEGMENT, SEGMENT))
+    if n > WINDOW:
+        out += [(2 + s // STRIDE % (WINDOW // STRIDE), s, WINDOW) for s in range(0, n - WINDOW + 1, STRIDE)]
+        if (n - WINDOW) % STRIDE:
+            out.append((2 + WINDOW // STRIDE, n - WINDOW, WINDOW))
+    return out
+
+
 @dataclass
 class Index:
-    """Segments of a block of items and their q-grams."""
+    """Segments of a block of items and the items' q-grams."""
     item: np.ndarray            # item id of each segment
     number: np.ndarray          # its place among the item's segments
-    points: list[np.ndarray]
+    flat: np.ndarray            # characters of all items
+    begin: np.ndarray           # of each segment in them
+    sizes: np.ndarray
     edits: np.ndarray
     need: np.ndarray            # shared q-grams that a match has at least
+    families: list[np.ndarray]  # segments that don't overlap, by place
+    bounds: np.ndarray          # first character of each item
+    item_edits: np.ndarray      # most edits and least need of an item's segments
+    item_need: np.ndarray
     grams: np.ndarray           # sorted distinct hashes
-    first: np.ndarray           # of each hash in the lists below
-    segment: np.ndarray
-    place: np.ndarray
+    first: np.ndarray           # of each hash in the list below
+    place: np.ndarray           # among the characters of all items
     seen: np.ndarray            # by the hashes' top bits
     short: dict[str, list]
 
     @classmethod
     def of(cls, items: list[tuple], rate: float = RATE) -> Index:
-        item, number, points, short = [], [], [], {}
+        item, number, owner, begin, sizes, family, bounds, points, short = [], [], [], [], [], [], [], [], {}
+        total = 0
         for item_id, text in items:
             p = code_points(normalized(text))
             if 0 < len(p) < Q:
                 short.setdefault(normalized(text), []).append(item_id)
             if len(p) < Q:
                 continue
-            starts = list(range(0, max(len(p) - SEGMENT, 0) + 1, SEGMENT))
-            if len(p) > SEGMENT and starts[-1] + SEGMENT < len(p):
-                starts.append(len(p) - SEGMENT)
-            for k, s in enumerate(starts):
+            for k, (f, start, size) in enumerate(cuts(len(p))):
                 item.append(item_id)
                 number.append(k)
-                points.append(p[s:s + SEGMENT])
-        sizes = np.array([len(p) for p in points], np.int64)
+                owner.append(len(bounds))
+                begin.append(total + start)
+                sizes.append(size)
+                family.append(f)
+            bounds.append(total)
+            points.append(p)
+            total += len(p)
+        begin, sizes, owner, family = (np.array(x, np.int64) for x in (begin, sizes, owner, family))
         edits = np.floor(rate * sizes + 1e-9).astype(np.int64)
         edits = np.minimum(edits, np.maximum((sizes + 1) // Q - 1, 0))     # the bound stays at least 1
+        need = sizes + 1 - Q * (edits + 1)
+        item_edits = np.zeros(len(bounds), np.int64)
+        np.maximum.at(item_edits, owner, edits)
+        item_need = np.full(len(bounds), np.iinfo(np.int64).max)
+        np.minimum.at(item_need, owner, need)
         hashes = [gram_hashes(p) for p in points]
         flat = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
-        seg = np.repeat(np.arange(len(points)), [len(h) for h in hashes])
-        place = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else np.empty(0, np.int64)
+        place = np.concatenate([b + np.arange(len(h)) for b, h in zip(bounds, hashes)]) if hashes else np.empty(0, np.int64)
         order = np.argsort(flat, kind="stable")
         grams, first = np.unique(flat[order], return_index=True)
         seen = np.zeros(1 << _BITS, bool)
         seen[(grams >> np.uint64(64 - _BITS)).astype(np.int64)] = True
-        return cls(np.array(item, object), np.array(number, np.int64), points, edits, sizes + 1 - Q * (edits + 1),
-                   grams, np.append(first, len(flat)), seg[order], place[order], seen, short)
-
-    def bands(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(segment, band) of every diagonal band that holds enough shared q-grams."""
+        families = [f[np.argsort(begin[f], kind="stable")] for f in
+                    (np.flatnonzero(family == k) for k in np.unique(family))]
+        return cls(np.array(item, object), np.array(number, np.int64),
+                   np.concatenate(points) if points else np.empty(0, "<u4"), begin, sizes, edits, need, families,
+                   np.array(bounds, np.int64), item_edits, item_need, grams, np.append(first, len(flat)), place[order],
+                   seen, short)
+
+    @property
+    def points(self) -> list[np.ndarray]:
+        """Characters of each segment."""
+        return [self.flat[b:b + n] for b, n in zip(self.begin, self.sizes)]
+
+    def shared(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``points``, place in the items) of shared q-grams where an item has enough for a match."""
         none = np.empty(0, np.int64), np.empty(0, np.int64)
         if not len(self.grams) or len(points) < Q:
             return none
@@ -123,19 +163,43 @@ class Index:
         if not len(at):
             return none
         entry = np.repeat(self.first[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        seg = self.segment[entry]
-        diagonal = np.repeat(at, n) - self.place[entry] + SEGMENT           # not negative
-        band = diagonal // (self.edits[seg] + 1)
+        at, place = np.repeat(at, n), self.place[entry]
+        owner = np.searchsorted(self.bounds, place, "right") - 1
+        diagonal = at - place + len(self.flat)                              # not negative
+        # a match's diagonals, 2 e + 1 at most, lie in two bands side by side
+        span = len(points) + len(self.flat) + 2
+        key, row, count = np.unique(owner * span + diagonal // (2 * (self.item_edits[owner] + 1)),
+                                    return_inverse=True, return_counts=True)
+        both = count.copy()
+        beside = np.flatnonzero(np.diff(key) == 1)
+        both[beside] += count[beside + 1]
+        both[beside + 1] = np.maximum(both[beside + 1], count[beside] + count[beside + 1])
+        keep = (both >= self.item_need[key // span])[row]
+        return at[keep], place[keep]
+
+    def bands(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(segment, band) of every diagonal band that holds enough shared q-grams."""
+        at, place = self.shared(points)
+        segments, bands = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         span = len(points) + 2 * SEGMENT + 2
-        key = np.concatenate([seg * span + band + 1, seg * span + band])    # each lies in two bands
-        key, count = np.unique(key, return_counts=True)
-        key = key[count >= self.need[key // span]]
-        return key // span, key % span
+        for family in self.families:
+            k = np.searchsorted(self.begin[family], place, "right") - 1
+            seg = family[k]
+            inside = (k >= 0) & (place + Q <= self.begin[seg] + self.sizes[seg])
+            seg = seg[inside]
+            diagonal = at[inside] - place[inside] + self.begin[seg] + SEGMENT       # not negative
+            band = diagonal // (self.edits[seg] + 1)
+            key = np.concatenate([seg * span + band + 1, seg * span + band])        # each lies in two bands
+            key, count = np.unique(key, return_counts=True)
+            key = key[count >= self.need[key // span]]
+            segments.append(key // span)
+            bands.append(key % span)
+        return np.concatenate(segments), np.concatenate(bands)
 
     def regions(self, points: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """(segment, start, length, edits) of verified matches in ``points``."""
         seg, band = self.bands(points)
-        sizes = np.array([len(self.points[s]) for s in seg], np.int64)
+        sizes = self.sizes[seg]
         for n in np.unique(sizes):   # equally long segments allow equally many edits
             rows = np.flatnonzero(sizes == n)
             for at in range(0, len(rows), 512):
@@ -143,7 +207,7 @@ class Index:
                 e = int(self.edits[seg[part[0]]])
                 # band b holds the diagonals (b - 1)(e + 1) .. (b + 1)(e + 1) - 1
                 low = (band[part] - 1) * (e + 1) - SEGMENT
-                patterns = np.stack([self.points[s] for s in seg[part]])
+                patterns = self.flat[self.begin[seg[part]][:, None] + np.arange(n)]
                 for row, found in aligned(patterns, points, low, 2 * (e + 1), e):
                     yield int(seg[part[row]]), *found
 

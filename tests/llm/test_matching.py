@@ -179,6 +179,26 @@ def test_edited_passages_equal_brute_force():
             assert edits_within(pattern, found) == want
 
 
+def test_passages_from_every_place_of_an_item_are_found():
+    rng = random.Random(12)
+    items = [(i, leaks.normalized(sentence(rng, "en", 90))[:n]) for i, n in enumerate((81, 100, 128, 130, 233, 256, 300))]
+    index = leaks.Index.of(items)
+    host = leaks.normalized(sentence(rng, "de", 40))
+    shortest = leaks.WINDOW + leaks.STRIDE - 1
+    for item, text in items:
+        for length in (shortest, 110, 150, 200, 250):
+            rows = [host[:100] + " " + text[at:at + length] + " " + host[100:] for at in range(len(text) - length + 1)]
+            found = {i for i, m in leaks.text_matches(index, rows) if m[0] == item}
+            assert found == set(range(len(rows))), (item, length)
+    text, rows = items[4][1], []
+    for at in range(0, len(text) - shortest + 1, 7):      # with five edits
+        passage = list(text[at:at + shortest])
+        for k in rng.sample(range(len(passage)), 5):
+            passage[k] = "q" if k % 2 else passage[k] + "x"
+        rows.append(host[:100] + " " + "".join(passage) + " " + host[100:])
+    assert {i for i, m in leaks.text_matches(index, rows) if m[0] == 4} == set(range(len(rows)))
+
+
 def test_contaminated_documents(spark, corpus, monkeypatch):
     monkeypatch.setattr(leaks, "SLICE", 300)
     docs, _ = corpus
