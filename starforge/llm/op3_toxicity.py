@@ -2,9 +2,10 @@
 
 **Lexicon.** Words and word stems that mark toxic rows are learned from the distinct texts of
 labelled rows: an entry is a word, or a stem of at least ``MIN_STEM`` letters, found in enough toxic
-rows and far more often there than in clean ones.  Entries are taken by evidence, each only if
-it explains toxic rows that hold fewer than ``EXPLAINED`` entries so far; so the chance words of
-copied toxic texts, which their real marks explain, stay out.
+rows and far more often there than in clean ones.  Entries are taken by evidence.  A weak one is
+taken only if it explains toxic rows that hold fewer than ``EXPLAINED`` entries so far; so the chance
+words of copied toxic texts, which their real marks explain, stay out.  A mark in almost no clean row
+with at least ``STRONG`` of the mean evidence of the entries beside it is always taken.
 
 **Matching.** The entries form a trie.  Levenshtein automata of all entries run over it
 together: a state is the set of (trie node, edits so far) still alive, and the transitions
@@ -45,6 +46,7 @@ from starforge.llm.common import WORD, id_remainder, staged
 MIN_STEM, MAX_STEM = 4, 8
 CONTEXT = 8
 EXPLAINED = 2
+STRONG, ALMOST_NONE = 0.25, 0.01
 # FIXED VALUES: quotation marks, and words that report or address, in the languages at hand.
 QUOTES = re.compile("[\"“”„«»‹›]")
 REPORTING = frozenset("said says wrote called calling quote quoted term word meaning sagte sagt schrieb nannte genannt "
@@ -225,7 +227,7 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int, min_ratio: floa
     A candidate is ``min_ratio`` times as frequent in toxic rows, and the log-likelihood ratio of
     the difference reaches ``min_evidence``.  Of entries that continue each other the one with most
     evidence is kept, a longer one besides only if it is far more telling, a shorter one only if
-    it is found in clearly more toxic rows.
+    it is found in clearly more toxic rows.  Weak candidates have to explain ``support`` rows anew.
     """
     support = max(3, math.ceil(0.01 * n_toxic))
     # bounded: a candidate is in at least 1 % of the toxic rows of a bounded sample
@@ -251,16 +253,21 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int, min_ratio: floa
         for e in held:
             holders[e].append(row)
     kept: list[str] = []
-    explained: Counter = Counter()
+    beside: list[list[float]] = [[] for _ in range(n_toxic)]     # evidence of the entries kept so far in each row
     for e in strong:
         word = e.rstrip("*")
         shorter = [k for k in kept if k.endswith("*") and word.startswith(k[:-1])]
         longer = [k for k in kept if e.endswith("*") and k.startswith(word)]
-        new = sum(explained[row] < EXPLAINED for row in holders[e])
-        if new >= support and all(ratio(e) >= 3 * ratio(k) for k in shorter) \
+        others = [beside[row] for row in holders[e] if len(beside[row]) >= EXPLAINED]
+        new = len(holders[e]) - len(others) >= support
+        if not new and clean.get(e, 0) <= ALMOST_NONE * toxic[e]:
+            by = [x for row in others for x in row]
+            new = strength[e] >= STRONG * math.fsum(by) / len(by)
+        if new and all(ratio(e) >= 3 * ratio(k) for k in shorter) \
                 and all(toxic[e] >= 1.3 * toxic[k] for k in longer):
             kept.append(e)
-            explained.update(holders[e])
+            for row in holders[e]:
+                beside[row].append(strength[e])
     return [(e.rstrip("*"), e.endswith("*"), min(5.0, math.log(ratio(e)))) for e in kept]
 
 

@@ -10,6 +10,8 @@ from starforge.llm import op2_quality_resampling as quality
 from starforge.llm import op3_toxicity as toxicity
 from starforge.llm import op6_language_id as language
 
+from .conftest import sentence
+
 
 def distance(a, b):
     row = list(range(len(b) + 1))
@@ -82,6 +84,26 @@ def test_toxicity_odd_input(spark, odd_documents, no_documents, corpus):
     assert kept.columns == odd_documents.columns
 
 
+def test_strong_marks_beside_others_are_kept(spark):
+    """A mark that nearly always occurs beside two stronger ones, and chance words of near copies of a toxic text."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        words = sentence(rng, "en", 40).split()
+        if i % 4 == 0:
+            marks = ["blockhead", "scoundrel"] + ["nitwit"] * (i % 8 == 0) if i != 8 else ["nitwit"]
+            words[5:5] = marks + (["quizzaciously"] if 40 <= i < 64 else [])
+        rows.append((" ".join(words), int(i % 4 == 0)))
+    sample = spark.createDataFrame(rows, "text string, toxic int")
+    words = {letters for letters, _, _ in toxicity.learn_lexicon(sample, 100, 300)}
+    assert {"blockhead", "scoundrel", "nitwit"} <= words and not any(w.startswith("quiz") for w in words)
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)] + [(1000, "what a nitwit you are"), (1001, "a note")],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    score = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, labels).collect()}
+    assert score[1000] > 0.5 > score[1001]
+
+
 def test_newton_fit_converges():
     model = toxicity.ToxicityModel([("aaaa", False, 2.0), ("bbbb", False, 2.0)])
     a, b = model.index[(0, 0)], model.index[(1, 0)]
