@@ -161,11 +161,23 @@ def signature_table(docs: DataFrame, counts: bool = False, bands: int = BANDS, r
                                                     np.concatenate(weights), n, k), bands, rows)
                 column = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()),
                                                   pa.array(lists.ravel(), pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[here:at], pa.int64()), pa.array(fps, pa.binary()), column],
-                                                 ["doc_id", "fp", "bands"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[here:at], pa.int64()), batch.column(2).slice(here, n),
+                                                  pa.array(fps, pa.binary()), column],
+                                                 ["doc_id", "text_hash", "fp", "bands"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")) \
-        .mapInArrow(run, "doc_id long, fp binary, bands array<long>")
+        .withColumn("text_hash", F.xxhash64("text")) \
+        .mapInArrow(run, "doc_id long, text_hash long, fp binary, bands array<long>")
+
+
+def with_texts(rows: DataFrame, node: str, nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """``rows`` with the text of their node ``node``: that of one of the rows it was taken from."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text")) \
+        .withColumn("_h", F.xxhash64("_text")).groupBy("_id", "_h").agg(F.first("_text").alias(text))
+    source = nodes.select(F.col("node").alias("_node"), F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"))
+    return rows.join(source, F.col(node) == F.col("_node")) \
+        .join(texts, (F.col("_doc") == F.col("_id")) & (F.col("_hash") == F.col("_h"))) \
+        .drop("_node", "_doc", "_hash", "_id", "_h")
 
 
 def similarity(a: tuple, b: tuple) -> float:
@@ -175,15 +187,14 @@ def similarity(a: tuple, b: tuple) -> float:
     return shared / (a[1].sum() + b[1].sum() - shared)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, threshold: float, counts: bool) -> DataFrame:
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float, counts: bool) -> DataFrame:
     """(a, b) of ``pairs`` (a, b) whose texts reach ``threshold``.
 
     The texts of both ends are joined one after the other; the smaller node, which may be in
     many pairs, last, so that its pairs come sorted by it.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"))
-    with_b = pairs.join(texts, F.col("b") == F.col("_id")).select("a", "b", F.col("_text").alias("text_b"))
-    both = with_b.join(texts, F.col("a") == F.col("_id")).select("a", "b", "text_b", F.col("_text").alias("text_a"))
+    with_b = with_texts(pairs, "b", nodes, docs, "text_b")
+    both = with_texts(with_b, "a", nodes, docs, "text_a").select("a", "b", "text_b", "text_a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
@@ -252,13 +263,24 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, counts
     ``class_id`` is the smallest id reachable by links, ``kept`` whether it is the row's own.
     """
     table = staged(signature_table(docs, counts), "signatures")
+    # a text is one node, whatever ids hold it
     nodes = staged(table.where("fp is not null and doc_id is not null").groupBy("fp")
-                   .agg(F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands")), "nodes")
+                   .agg(F.min(F.struct("doc_id", "text_hash")).alias("_row"), F.first("bands").alias("bands"))
+                   .select("fp", F.col("_row.doc_id").alias("doc"), F.col("_row.text_hash").alias("text_hash"), "bands",
+                           F.monotonically_increasing_id().alias("node")), "nodes")
+    # ids whose rows have several texts, or texts with and without words, and links among their nodes
+    several = staged(table.where("doc_id is not null").groupBy("doc_id")
+                     .agg(F.min("fp").alias("_f"), F.max("fp").alias("_l"), F.count("fp").alias("_n"), F.count(F.lit(1)).alias("_m"))
+                     .where("_f != _l or _n between 1 and _m - 1").select("doc_id"), "several-texts")
+    held = staged(table.join(several, "doc_id").select("doc_id", "fp").distinct()
+                  .join(nodes.select("fp", "node"), "fp").select("doc_id", "node"), "several-nodes")
+    ties = held.join(held.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id") \
+        .where("node != a").select("a", F.col("node").alias("b"))
     entries = nodes.select("node", F.explode("bands").alias("band"))
     crowded = entries.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = staged(entries.join(crowded, "band"), "band-members")
     pairs = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = staged(verified(pairs, docs, threshold, counts), "leader-links")
+    links = staged(verified(pairs, nodes, docs, threshold, counts).union(ties), "leader-links")
     roots = components(links, "a", "b")
 
     # bands that still hold several components
@@ -268,9 +290,8 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, counts
     rest = staged(labelled.select("band", "node", "label").join(mixed.select("band", "_n"), "band"), "mixed-bands")
     if rest.take(1):
         blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
-        texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
-        known = rest.select("node").distinct().join(nodes.select("node", "bands"), "node") \
-            .join(texts, F.col("node") == F.col("_id")).drop("_id")
+        known = with_texts(rest.select("node").distinct(), "node", nodes, docs, "text") \
+            .join(nodes.select("node", "bands"), "node")
         spread = rest.join(known, "node") \
             .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")) \
             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))) \
@@ -280,11 +301,16 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, counts
         links = staged(links.union(more), "all-links")
         roots = components(links, "a", "b")
 
-    classes = nodes.select("fp", "node").join(roots.distinct(), "node", "left") \
-        .select("fp", F.coalesce("root", "node").alias("class_id"))
-    # documents whose rows have several texts take the smallest of their classes
-    joined = table.select("doc_id", "fp").join(classes, "fp", "left") \
-        .withColumn("class_id", F.coalesce("class_id", F.col("doc_id")))
+    rooted = nodes.select("node", "doc").join(roots.distinct(), "node")
+    least = rooted.groupBy("root").agg(F.min("doc").alias("least"))
+    merged = staged(rooted.join(least, "root").select("node", "least"), "merged-nodes")
+    classes = nodes.select("fp", "node", "doc").join(merged, "node", "left") \
+        .select("fp", F.coalesce("least", "doc").alias("class_id"))
+    # rows without words of ids that have others
+    own = held.join(nodes.select("node", "doc"), "node").join(merged, "node", "left") \
+        .groupBy("doc_id").agg(F.min(F.coalesce("least", "doc")).alias("own"))
+    joined = table.select("doc_id", "fp").join(classes, "fp", "left").join(own, "doc_id", "left") \
+        .withColumn("class_id", F.coalesce("class_id", "own", "doc_id"))
     return joined.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id")) \
         .withColumn("kept", F.col("doc_id").isNull() | (F.col("doc_id") == F.col("class_id")))
 

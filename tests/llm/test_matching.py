@@ -91,6 +91,28 @@ def test_bands_with_several_components_are_compared_whole(spark, monkeypatch):
     assert got == want
 
 
+def test_ids_with_several_texts_are_one_document(spark):
+    """An id with two texts in a band of several components, and ids linked by one of their texts only."""
+    rng = random.Random(9)
+    words, other = sentence(rng, "en", 60).split(), sentence(rng, "de", 60).split()
+    rows = []
+    for i in range(12):
+        copy = list(words)
+        for j in (2 * i, 2 * i + 1):
+            copy[(j * 5) % 60] = f"changed{i}"
+        rows.append((i, " ".join(copy)))
+    rows += [(5, " ".join(other)), (0, sentence(rng, "fr", 60)), (0, "")]
+    rows += [(50, " ".join(other)), (40, " ".join(["new", *other])), (40, sentence(rng, "fr", 50)), (40, None)]
+    docs = spark.createDataFrame(rows + rows[:3] * 3, "doc_id long, text string")
+    cache = dedup.WordHashes()
+    sets = [(i, dedup.weighted(dedup.shingles(t, cache), False)) for i, t in rows if t]
+    links = [(a, b) for k, (a, x) in enumerate(sets) for b, y in sets[:k] if a != b and dedup.similarity(x, y) >= 0.8]
+    want = union_find([i for i, _ in rows], links)
+    got = dedup.near_duplicate_classes(docs).collect()
+    assert len(got) == docs.count()
+    assert {(r["doc_id"], r["class_id"], r["kept"]) for r in got} == {(i, c, i == c) for i, c in want.items()}
+
+
 def test_one_of_each(odd_documents, no_documents):
     kept = dedup.one_of_each(odd_documents, dedup.near_duplicate_classes(odd_documents))
     assert kept.columns == odd_documents.columns
