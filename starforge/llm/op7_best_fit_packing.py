@@ -53,13 +53,15 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int, end_id:
 def pack_documents(docs: DataFrame, tokenizer_path: str, max_tokens: int = 4096, max_documents: int = 4096,
                    max_attention: int | None = None, rule: str = "norm", with_ids: bool = False) -> DataFrame:
     """Pieces of all ``docs`` with ``sequence_id`` and ``offset``."""
-    pieces = staged(token_pieces(docs, tokenizer_path, max_tokens, with_ids=with_ids), "pieces")
+    pieces = token_pieces(docs, tokenizer_path, max_tokens, with_ids=with_ids)
+    if with_ids:    # ids and pieces may repeat or be null: a key of the staged row
+        pieces = pieces.withColumn("_row", F.monotonically_increasing_id())
+    pieces = staged(pieces, "pieces")
     # at most max_tokens rows
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     runs = vector_best_fit(histogram, Limits(max_tokens, max_documents, max_attention or max_tokens ** 2), rule)
     narrow = pieces.drop("ids")
     placed = apply_plan(narrow, runs, ["ids_crc32", "doc_id", "piece"], "pieces-ranked")
     if with_ids:
-        placed = placed.join(pieces.select("doc_id", "piece", "ids").dropDuplicates(["doc_id", "piece"]),
-                             ["doc_id", "piece"])
+        placed = placed.join(pieces.select("_row", "ids"), "_row").drop("_row")
     return placed

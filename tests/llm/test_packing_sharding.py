@@ -185,3 +185,12 @@ def test_sharding_is_stable(corpus):
     first = {r["doc_id"]: (r["shard"], r["slot"]) for r in shard_documents(docs, 5).collect()}
     again = {r["doc_id"]: (r["shard"], r["slot"]) for r in shard_documents(docs.repartition(3), 5).collect()}
     assert first == again
+
+
+def test_packed_ids_of_null_and_repeated_rows(spark):
+    rows = [(1, "one text of an id"), (1, "another, longer text of the same id " * 9), (1, "one text of an id"),
+            (None, "a text without an id"), (None, None), (2, "word")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    with_ids = pack_documents(docs, WORD_FILE, 16, with_ids=True).collect()
+    assert len(with_ids) == pack_documents(docs, WORD_FILE, 16).count()
+    assert all(len(r["ids"]) == 4 * r["length"] and zlib.crc32(r["ids"]) == r["ids_crc32"] for r in with_ids)
