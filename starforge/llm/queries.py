@@ -70,6 +70,27 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_differencing_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from starforge.llm.op11_differencing_packing import pack_evenly
+    return pack_evenly(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"),
+                       public_tokenizers.PATTERN)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm.op12_spelling_variants import group_variants
+    return group_variants(read_table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starforge.llm.op13_fill_in_middle import fill_in_middle, restored_text
+    rows = fill_in_middle(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(restored_text(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"))
+
+
 def queries() -> dict:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
@@ -82,8 +103,42 @@ def queries() -> dict:
         "op8_token_output": op8_token_output,
         "op9_decontamination": op9_decontamination,
         "op10_html_extraction": op10_html_extraction,
+        "op11_differencing_packing": op11_differencing_packing,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }
 
 
+# Token lists are cut by list slices; the four numbers come from the hex digits of the id's hash.
+OP13_SQL = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS x, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+),
+cut AS (
+  SELECT doc_id, x, regexp_extract_all(x, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+         CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+         CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+  FROM drawn
+),
+bounds AS (
+  SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+         greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+         CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR h3 % 100 >= 50
+              THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut
+),
+parts AS (
+  SELECT doc_id, n, form, x, array_to_string(units[1:a], '') AS p, array_to_string(units[a + 1:b], '') AS m,
+         array_to_string(units[b + 1:n], '') AS s
+  FROM bounds
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(x) AS restored_sha256
+FROM parts"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_fill_in_middle": OP13_SQL}
