@@ -1,13 +1,16 @@
 """Scalar text functions with Python/pandas/PostgreSQL semantics, as Spark expressions.
 
-Everything here returns a ``Column`` built from ``pyspark.sql.functions``; it
-stays inside whole-stage codegen (regex and JSON parsing are JVM-side).
+Everything here is built from ``pyspark.sql.functions`` and stays in the JVM, but for the
+exact reading of unusual literals (``literals``).
 """
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starforge.functions.dates import mixed_timestamp
+from starforge.functions.literals import exact_groups, exact_list
+
 # Python's str.strip() removes every char with str.isspace(): Unicode
 # White_Space plus the four information separators U+001C..U+001F.
 _PY_WS = r"[\s\x1c-\x1f]"
@@ -17,21 +20,6 @@ _STRIP_RE = rf"(?U)^{_PY_WS}+|{_PY_WS}+$"
 # cast also accepts suffixes such as '1.0d', hence this guard.
 _NUMBER_RE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
-# Accepted timestamp layouts, tried in this order (month-first before day-first).
-# FIXED VALUES: the order decides ambiguous dates such as 02/03/2023.
-TIMESTAMP_FORMATS = [
-    "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy",
-    "M/d/yyyy h:mm:ss a", "M/d/yyyy h:mm a",
-    "d/M/yyyy H:mm:ss", "d/M/yyyy H:mm", "d/M/yyyy",
-    "M/d/yy", "d/M/yy", "M-d-yyyy", "d-M-yyyy", "yyyyMMdd",
-    "yyyy-MM-dd h:mm:ss a", "yyyy/M/d H:mm:ss", "yyyy/M/d",
-    "MMM d yyyy", "MMM d, yyyy", "MMM d, yyyy H:mm", "MMM d, yyyy H:mm:ss", "d MMM yyyy",
-]
-
-# The general parser is asked for four-digit years only: it would also read a bare time as
-# today's date and longer digit runs as years.
-_GENERAL_DATE_RE = r"^\s*\d{4}(-\d{1,2}(-\d{1,2}([ T].*)?)?)?\s*$"
-
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -69,20 +57,8 @@ def lenient_number(c) -> Column:
 
 
 def lenient_timestamp(c) -> Column:
-    """Mixed-format timestamp text -> TIMESTAMP_NTZ, month first, failure -> NULL."""
-    c = _c(c)
-    slash, dash = c.contains("/"), c.contains("-")
-    named, compact = c.rlike("[A-Za-z]{3}"), c.rlike(r"^\d{8}$")
-
-    def parsed(layout: str) -> Column:
-        # asked only for texts with the layout's separator: each failed attempt is costly
-        likely = slash if "/" in layout else dash if "-" in layout else named if "MMM" in layout else compact
-        t = F.when(likely, F.try_to_timestamp(c, F.lit(layout)))
-        # two-digit years 69 to 99 are of the last century, as in strptime
-        return F.when(F.year(t) >= 2069, t - F.make_interval(F.lit(100))).otherwise(t) if layout.endswith("/yy") else t
-
-    tries = [F.when(c.rlike(_GENERAL_DATE_RE), F.try_to_timestamp(c))] + [parsed(f) for f in TIMESTAMP_FORMATS]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    """Mixed-format timestamp text -> TIMESTAMP_NTZ, month first, failure -> NULL (see ``dates``)."""
+    return mixed_timestamp(_c(c), py_strip)
 
 
 def city_of(raw_location) -> Column:
@@ -92,77 +68,75 @@ def city_of(raw_location) -> Column:
 
 # ---- list / dict literal text -> nested columns ----------------------------
 
-# Python literals, as possessive patterns (no backtracking into a long text).
-_STR = r"""(?:'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+")"""
-_ATOM = rf"(?:{_STR}|[+-]?[0-9][0-9_.eE+-]*+|None|True|False)"
-_LIST = rf"\[\s*+(?:{_ATOM}\s*+(?:,\s*+{_ATOM}\s*+)*+,?\s*+)?\]"
-_VALUE = rf"(?:{_LIST}|{_ATOM}|\{{(?:{_STR}|[^'\"{{}}])*+\}})"
-_ENTRY = rf"{_STR}\s*+:\s*+{_VALUE}\s*+"
-_LIST_RE = rf"(?s)^\s*+{_LIST}\s*+$"
-_DICT_RE = rf"(?s)^\s*+\{{\s*+(?:{_ENTRY}(?:,\s*+{_ENTRY})*+,?\s*+)?\}}\s*+$"
-
+# Plain literals: quoted strings without escapes or control characters, in lists, and lists in a dictionary.
+# They are JSON but for the quotes.  Possessive patterns: no backtracking into a long text.
+_STR = r"""(?:'[^'\\\x00-\x1f]*+'|"[^"\\\x00-\x1f]*+")[ \t]*+"""
+_LIST = rf"\[[ \t]*+(?:{_STR}(?:,[ \t]*+{_STR})*+)?\][ \t]*+"
+_ENTRY = rf"{_STR}:[ \t]*+{_LIST}"
+_LIST_RE = rf"^[ \t]*+{_LIST}$"
+_DICT_RE = rf"^[ \t]*+\{{[ \t]*+(?:{_ENTRY}(?:,[ \t]*+{_ENTRY})*+)?\}}[ \t]*+$"
 
-def _literal_to_json(c) -> Column:
-    """Bring Python literal text closer to JSON: None -> null, True/False -> text, no trailing
-    comma, ``\\xNN`` escapes -> ``\\u00NN``.  Quoted strings are stepped over, not edited."""
-    c = F.regexp_replace(_c(c), rf"(?s)\G((?:{_STR}|[^'\"N])*+)None", "$1null")
-    c = F.regexp_replace(c, rf"(?s)\G((?:{_STR}|[^'\"TF])*+)(True|False)", '$1"$2"')
-    c = F.regexp_replace(c, rf"(?s)\G((?:{_STR}|[^'\",]|,(?!\s*+[\]}}]))*+),(?=\s*+[\]}}])", "$1")
-    return F.regexp_replace(c, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+_GROUPS_TYPE = "array<struct<category:string,skills:array<string>>>"
 
 
-def _from_literal(c, schema: str, shape: str) -> Column:
-    """from_json on text that is a literal of the given shape as a whole: as is, else with the
-    literal fix-ups (the first parse wins whenever it succeeds and the regexes are skipped)."""
+def plain_list(c) -> Column:
+    """``"['a', 'b']"`` -> array<string>; NULL for any text that is no plain list."""
     c = _c(c)
-    return F.when(c.rlike(shape), F.coalesce(F.from_json(c, schema), F.from_json(_literal_to_json(c), schema)))
+    return F.when(c.rlike(_LIST_RE), F.from_json(c, "array<string>"))
 
 
-def parse_skill_list(c) -> Column:
-    """``"['a', 'b']"`` -> array<string>; blank, 'nan', malformed or non-list -> []."""
-    return F.coalesce(_from_literal(c, "array<string>", _LIST_RE), F.array().cast("array<string>"))
+def plain_groups(c) -> Column:
+    """``"{'cat': ['a'], ...}"`` -> array<struct<category, skills>> in key order; NULL for any text that is no
+    plain dictionary of lists, or repeats a key."""
+    def entries(m: Column) -> Column:
+        unique = F.size(F.array_distinct(F.map_keys(m))) == F.size(m)
+        return F.when(unique, F.map_entries(m).cast(_GROUPS_TYPE))
 
+    c = _c(c)
+    m = F.from_json(F.when(c.rlike(_DICT_RE), c), "map<string,array<string>>")
+    return F.element_at(F.transform(F.array(m), entries), 1)
 
-_GROUPS_TYPE = "array<struct<category:string,skills:array<string>>>"
 
+def left_over(c, read: Column) -> Column:
+    """The text ``c`` if it is not blank or ``nan`` and the built-in reading gave NULL; else NULL."""
+    c = _c(c)
+    return F.when(read.isNull() & ~c.rlike(r"^\s*(nan)?\s*$"), c)
 
-def _dedup_entries(entries: Column) -> Column:
-    """Python dict semantics for duplicated keys: first position, last value."""
-    keys = F.transform(entries, lambda e: e["key"])
-    picked = F.filter(
-        F.transform(entries, lambda e, i: F.struct(
-            e["key"].alias("key"),
-            F.element_at(F.filter(entries, lambda y: y["key"] == e["key"]), -1)["value"].alias("value"),
-            (i + 1).alias("pos"))),
-        lambda s: F.array_position(keys, s["key"]) == s["pos"])
-    return F.transform(picked, lambda s: F.struct(s["key"].alias("key"), s["value"].alias("value")))
 
+def finished_list(read: Column, text: Column | None) -> Column:
+    """``read``, or what the exact step makes of ``text``, or an empty list."""
+    exact = [] if text is None else [exact_list()(text)]
+    return F.coalesce(read, *exact, F.array().cast("array<string>"))
 
-def _unique_keys(entries: Column) -> Column:
-    return F.size(F.array_distinct(F.transform(entries, lambda e: e["key"]))) == F.size(entries)
 
+def finished_groups(read: Column, text: Column | None) -> Column:
+    """``read``, or what the exact step makes of ``text``, or no groups."""
+    exact = []
+    if text is not None:
+        pair = exact_groups()(text)
+        exact = [F.arrays_zip(pair["category"], pair["skills"]).cast(_GROUPS_TYPE)]
+    return F.coalesce(read, *exact, F.array().cast(_GROUPS_TYPE))
 
-def parse_skill_groups(c) -> Column:
-    """``"{'cat': ['a'], ...}"`` -> array<struct<category, skills>> in key order.
 
-    A duplicated key keeps its first position and its last value (Python dict
-    semantics); entries whose value is not a list are skipped; malformed or
-    non-dict text gives [].
+def with_literals(df: DataFrame, lists: dict | None = None, groups: dict | None = None, exact: bool = True) -> DataFrame:
+    """Add parsed columns (new name -> text column).
 
-    Fast path (compiled, no lambdas): one JSON parse as map<string,
-    array<string>> with unique keys and no null value.  Anything else takes
-    the per-entry path.
+    Lists: blank, ``nan``, malformed or other text gives [].  Groups: a repeated key keeps its first position and
+    its last value; entries whose value is no list are skipped; malformed or other text gives [].  Plain texts are
+    read by built-in functions; only the others reach the Python step, and none do without ``exact``, for tables known
+    to hold none.
     """
-    m = _from_literal(c, "map<string,array<string>>", _DICT_RE)
-    clean = (m.isNotNull() & (F.size(F.array_distinct(F.map_keys(m))) == F.size(m))
-             & F.flatten(F.map_values(m)).isNotNull())
-    fast = F.map_entries(m).cast(_GROUPS_TYPE)
-    slow = F.transform(F.map_entries(_from_literal(c, "map<string,string>", _DICT_RE)), lambda e: F.struct(
-        e["key"].alias("key"), F.from_json(e["value"], "array<string>").alias("value")))
-    entries = F.coalesce(F.map_entries(m), slow)
-    entries = F.when(_unique_keys(entries), entries).otherwise(_dedup_entries(entries))
-    general = F.filter(entries, lambda g: g["value"].isNotNull()).cast(_GROUPS_TYPE)
-    return F.coalesce(F.when(clean, fast).otherwise(general), F.array().cast(_GROUPS_TYPE))
+    lists, groups = lists or {}, groups or {}
+    read = df.withColumns({f"_plain_{new}": plain_list(old) for new, old in lists.items()}
+                          | {f"_plain_{new}": plain_groups(old) for new, old in groups.items()})
+
+    def finished(finish, new: str, old: str) -> Column:
+        plain = F.col(f"_plain_{new}")
+        return finish(plain, left_over(old, plain) if exact else None)
+
+    return read.withColumns({new: finished(finished_list, new, old) for new, old in lists.items()}
+                            | {new: finished(finished_groups, new, old) for new, old in groups.items()}) \
+        .drop(*[f"_plain_{new}" for new in (*lists, *groups)])
 
 
 # ---- CSV line encoding / decoding --------------------------------------------

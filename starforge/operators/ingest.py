@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 
 from starforge import schemas
 from starforge.functions.text import (
-    lenient_number, lenient_timestamp, parse_skill_groups, parse_skill_list,
-    py_strip, strict_true, unwrap_excel,
+    lenient_number, lenient_timestamp, py_strip, strict_true, unwrap_excel, with_literals,
 )
 from starforge.operators.keys import POS_BITS, exclusive_prefix_sum, partition_of
 from starforge.operators.quality import ValidationError, failure_count_columns, failures_of
@@ -199,10 +198,9 @@ def lost_counts() -> list:
                   + F.when(lost_literal("job_type_skills", "{}"), 1).otherwise(0)).alias("lost_literals")]
 
 
-def with_parsed_skills(df: DataFrame) -> DataFrame:
+def with_parsed_skills(df: DataFrame, exact: bool = True) -> DataFrame:
     """List and dict literal text -> nested columns."""
-    return (df.withColumn("job_skills_parsed", parse_skill_list("job_skills"))
-              .withColumn("job_type_skills_parsed", parse_skill_groups("job_type_skills")))
+    return with_literals(df, {"job_skills_parsed": "job_skills"}, {"job_type_skills_parsed": "job_type_skills"}, exact)
 
 
 def load_time(now: str | None) -> "F.Column":

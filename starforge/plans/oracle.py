@@ -221,26 +221,35 @@ ORACLE_TAILS = {
     "reject_preview": """SELECT line_number, fields_expected, left(raw_content, 120) AS content
                          FROM raw_jobs_rejected ORDER BY bucket, line_number LIMIT 20""",
     "parse_skill_list": """
-        SELECT job_id AS raw_id, CAST(r - 1 + (job_id % 4 = 2)::INTEGER AS INTEGER) AS pos, name AS skill
-        FROM vitems WHERE job_id % 4 <> 1
-        UNION ALL SELECT raw_id, 0, 'None, x' FROM raw_jobs WHERE raw_id % 4 = 2""",
+        SELECT job_id AS raw_id, CAST(r - 1 + CASE job_id % 8 WHEN 2 THEN 1 WHEN 3 THEN 1 WHEN 6 THEN 2 ELSE 0 END AS INTEGER) AS pos,
+               name AS skill
+        FROM vitems WHERE job_id % 8 <> 1
+        UNION ALL SELECT raw_id, 0, 'None, x' FROM raw_jobs WHERE raw_id % 8 = 2
+        UNION ALL SELECT raw_id, 0, 'joined' FROM raw_jobs WHERE raw_id % 8 = 3
+        UNION ALL SELECT raw_id, 0, 'café' FROM raw_jobs WHERE raw_id % 8 = 6
+        UNION ALL SELECT raw_id, 1, '(''p'', 1)' FROM raw_jobs WHERE raw_id % 8 = 6""",
     "parse_skill_dict": """
         SELECT job_id AS raw_id,
-               CAST(dense_rank() OVER (PARTITION BY job_id ORDER BY first_r) - 1 AS INTEGER) AS cat_pos,
+               CAST(dense_rank() OVER (PARTITION BY job_id ORDER BY first_r) - 1
+                    + (job_id % 8 IN (3, 5))::INTEGER AS INTEGER) AS cat_pos,
                ptype AS category,
                CAST(row_number() OVER (PARTITION BY job_id, ptype ORDER BY r) - 1 AS INTEGER) AS skill_pos,
                name AS skill
-        FROM vitems WHERE job_id % 4 <> 1""",
+        FROM vitems WHERE job_id % 8 <> 1
+        UNION ALL SELECT raw_id, 0, '7', 0, 'seven' FROM raw_jobs WHERE raw_id % 8 = 3
+        UNION ALL SELECT raw_id, 0, '7', 1, '7' FROM raw_jobs WHERE raw_id % 8 = 3
+        UNION ALL SELECT raw_id, 0, 'again', 0, 'last' FROM raw_jobs WHERE raw_id % 8 = 5""",
     "lenient_timestamp": """
-        SELECT o_orderkey, CASE
-            WHEN o_orderkey % 14 IN (5, 12, 13) THEN NULL
-            WHEN o_orderkey % 14 IN (6, 10) AND day(o_orderdate) <= 12
+        SELECT o_orderkey, CAST(CASE
+            WHEN layout IN (5, 12, 13) THEN NULL
+            WHEN layout IN (6, 10, 21) AND day(o_orderdate) <= 12
                  THEN make_timestamp(year(o_orderdate), day(o_orderdate), month(o_orderdate), 0, 0, 0)
-            WHEN o_orderkey % 14 = 7
-                 THEN make_timestamp(CASE WHEN year(o_orderdate) % 100 < 69 THEN 2000 ELSE 1900 END
-                                     + year(o_orderdate) % 100, month(o_orderdate), day(o_orderdate), 0, 0, 0)
-            ELSE o_orderdate END AS parsed
-        FROM orders""",
+            WHEN layout IN (15, 16, 17, 18, 23, 25) THEN date_trunc('minute', timed)
+            WHEN layout IN (22, 26) THEN timed
+            WHEN layout IN (27, 28) THEN date_trunc('month', o_orderdate)
+            WHEN layout = 29 THEN date_trunc('quarter', o_orderdate)
+            ELSE o_orderdate END AS TIMESTAMP) AS parsed
+        FROM (SELECT *, o_orderkey % 30 AS layout, o_orderdate + to_seconds(o_orderkey * 37 % 86400) AS timed FROM orders)""",
     "lenient_number": """
         SELECT o_orderkey, CASE WHEN o_orderkey % 5 IN (2, 4) THEN NULL
                ELSE CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS DOUBLE) END AS parsed

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from starforge import schemas
 from starforge.functions.text import (
-    lenient_number, lenient_timestamp, parse_skill_groups, parse_skill_list, py_strip, strict_true,
+    lenient_number, lenient_timestamp, py_strip, strict_true, with_literals,
 )
 from starforge.operators import checks
 from starforge.operators.ingest import reject_preview as _reject_preview
@@ -128,37 +128,57 @@ def q_reject_preview(spark, sf_dir):
 
 
 def q_parse_skill_list(spark, sf_dir):
-    """Lists as loaded; every fourth with text after the end (no list), every fourth with a
-    quoted ``None`` put in front."""
+    """Lists as loaded, and by row: text after the end (no list), a quoted ``None`` in front, joined strings, a
+    comment at the end, escapes and a nested tuple in front."""
     raw, k, t = _t(spark, sf_dir)["raw_jobs"], F.col("raw_id"), F.col("job_skills")
-    text = (F.when(k % 4 == 1, F.concat(t, F.lit("]")))
-             .when(k % 4 == 2, F.concat(F.lit("['None, x', "), F.substring(t, F.lit(2), F.length(t)))).otherwise(t))
-    return raw.select("raw_id", F.posexplode(parse_skill_list(text)).alias("pos", "skill"))
+    rest = F.substring(t, F.lit(2), F.length(t))
+    text = (F.when(k % 8 == 1, F.concat(t, F.lit("]")))
+             .when(k % 8 == 2, F.concat(F.lit("['None, x', "), rest))
+             .when(k % 8 == 3, F.concat(F.lit("['jo' \"ined\", "), rest))
+             .when(k % 8 == 5, F.concat(t, F.lit("  # a comment")))
+             .when(k % 8 == 6, F.concat(F.lit("['caf\\xe9', ('p', 1), "), rest)).otherwise(t))
+    lists = with_literals(raw.select("raw_id", text.alias("text")), lists={"skills": "text"})
+    return lists.select("raw_id", F.posexplode("skills").alias("pos", "skill"))
 
 
 def q_parse_skill_dict(spark, sf_dir):
-    """Dictionaries as loaded; every fourth with text after the end, every fourth with values that
-    are no lists put in front."""
+    """Dictionaries as loaded, and by row: text after the end (no dictionary), values that are no lists in front, a key
+    that is no string in front, a key repeated at the end."""
     raw, k, t = _t(spark, sf_dir)["raw_jobs"], F.col("raw_id"), F.col("job_type_skills")
-    text = (F.when(k % 4 == 1, F.concat(t, F.lit(" junk")))
-             .when(k % 4 == 2, F.concat(F.lit("{'n': 5, 'm': None, 'd': {'a': ['b']}, "), F.substring(t, F.lit(2), F.length(t))))
+    rest = F.substring(t, F.lit(2), F.length(t))
+    text = (F.when(k % 8 == 1, F.concat(t, F.lit(" junk")))
+             .when(k % 8 == 2, F.concat(F.lit("{'n': 5, 'm': None, 'd': {'a': ['b']}, 't': ('x',), "), rest))
+             .when(k % 8 == 3, F.concat(F.lit("{7: ['seven', 7], "), rest))
+             .when(k % 8 == 5, F.concat(F.lit("{'again': ['first'], "), F.left(rest, F.length(rest) - 1),
+                                        F.when(F.length(rest) > 1, ", ").otherwise(""), F.lit("'again': ['last']}")))
              .otherwise(t))
-    g = raw.select("raw_id", F.posexplode(parse_skill_groups(text)).alias("cat_pos", "grp"))
+    g = with_literals(raw.select("raw_id", text.alias("text")), groups={"groups": "text"})
+    g = g.select("raw_id", F.posexplode("groups").alias("cat_pos", "grp"))
     return g.select("raw_id", "cat_pos", F.col("grp.category").alias("category"),
                     F.posexplode("grp.skills").alias("skill_pos", "skill"))
 
 
 # ---- scalar functions on text derived from the orders table --------------------
 
+# Layouts of the date texts; the SQL beside them repeats what each is read as.
+DATE_LAYOUTS = [
+    "yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm:ss", "MMM d yyyy", "M/d/yyyy h:mm:ss a", "yyyy-MM-dd", "yyyy-'13-01'", "d/M/yyyy", "M/d/yy",
+    "MMM d, yyyy H:mm", "yyyyMMdd", "dd-MM-yyyy", "MM-dd-yyyy", "HH:mm", "'1'yyyy"]
+# These are written with a time of day.
+TIMED_LAYOUTS = [
+    "MMMM d, yyyy", "M/d/yy H:mm", "M-d-yyyy H:mm", "d MMM yyyy H:mm", "yyyy/MM/dd HH:mm", "' 'M/d/yyyy' '", "yyyy.MM.dd", "dd.MM.yyyy",
+    "yyyyMMdd'T'HHmmss", "EEEE, MMMM d, yyyy 'at' h:mm a", "d'th of' MMMM yyyy", "H:mm d-MMM-yyyy", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy MMM",
+    "M/yyyy", "yyyy'Q'q"]
+
+
 def q_lenient_timestamp(spark, sf_dir):
     o = _orders(spark, sf_dir)
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
-    layouts = ["yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm:ss", "MMM d yyyy", "M/d/yyyy h:mm:ss a", "yyyy-MM-dd",
-               "yyyy-'13-01'", "d/M/yyyy", "M/d/yy", "MMM d, yyyy H:mm", "yyyyMMdd", "dd-MM-yyyy", "MM-dd-yyyy",
-               "HH:mm", "'1'yyyy"]
+    timed = d + F.make_interval(secs=k * 37 % 86400)
+    n = len(DATE_LAYOUTS) + len(TIMED_LAYOUTS)
     text = F.lit(None).cast("string")
-    for i, layout in enumerate(layouts):
-        text = F.when(k % len(layouts) == i, F.date_format(d, layout)).otherwise(text)
+    for i, layout in enumerate(DATE_LAYOUTS + TIMED_LAYOUTS):
+        text = F.when(k % n == i, F.date_format(d if i < len(DATE_LAYOUTS) else timed, layout)).otherwise(text)
     return o.select("o_orderkey", lenient_timestamp(text).alias("parsed"))
 
 

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from starforge.functions.text import parse_skill_groups, parse_skill_list, percent_text, py_strip, ratio_round
+from starforge.functions.text import percent_text, py_strip, ratio_round, with_literals
 
 printable = st.text(alphabet=st.characters(
     blacklist_categories=("Cc", "Cf", "Cs", "Co", "Cn", "Zl", "Zp", "Zs"), whitelist_characters=" "), max_size=10)
@@ -14,21 +14,23 @@ any_text = st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_siz
 
 
 @settings(max_examples=10, deadline=None)
-@given(st.lists(st.lists(printable, max_size=5), min_size=1, max_size=20))
+@given(st.lists(st.lists(st.one_of(printable, any_text), max_size=5), min_size=1, max_size=20))
 def test_list_literals_match_literal_eval(spark, lists):
     texts = [repr(x) for x in lists]
     df = spark.createDataFrame([(t,) for t in texts], "v string")
-    got = [r[0] for r in df.select(parse_skill_list("v")).collect()]
+    got = [r["r"] for r in with_literals(df, lists={"r": "v"}).collect()]
     assert got == [ast.literal_eval(t) for t in texts]
 
 
 @settings(max_examples=10, deadline=None)
-@given(st.lists(st.dictionaries(printable, st.lists(printable, max_size=3), max_size=4), min_size=1, max_size=20))
+@given(st.lists(st.dictionaries(st.one_of(printable, any_text, st.integers()),
+                                st.one_of(st.lists(st.one_of(printable, any_text), max_size=3), st.none(), st.tuples(printable)),
+                                max_size=4), min_size=1, max_size=20))
 def test_dict_literals_match_literal_eval(spark, dicts):
     texts = [repr(d) for d in dicts]
     df = spark.createDataFrame([(t,) for t in texts], "v string")
-    got = [[(g["category"], g["skills"]) for g in r[0]] for r in df.select(parse_skill_groups("v")).collect()]
-    assert got == [list(ast.literal_eval(t).items()) for t in texts]
+    got = [[(g["category"], g["skills"]) for g in r["r"]] for r in with_literals(df, groups={"r": "v"}).collect()]
+    assert got == [[(str(k), v) for k, v in d.items() if isinstance(v, list)] for d in dicts]
 
 
 @settings(max_examples=10, deadline=None)

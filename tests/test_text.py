@@ -9,8 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starforge.functions.text import (
-    excel_line, lenient_number, lenient_timestamp, money_text, parse_skill_groups, parse_skill_list,
-    percent_text, py_strip, strict_true,
+    excel_line, left_over, lenient_number, lenient_timestamp, money_text, percent_text, plain_groups, plain_list, py_strip,
+    strict_true, with_literals,
 )
 from starforge.operators.ingest import classify
 from tests.conftest import fields, line as csv_line
@@ -23,8 +23,8 @@ def _one(spark, expr, value, dtype="string"):
 def python_list(text):
     """What ast.literal_eval makes of it: the list with items as text, else []."""
     try:
-        value = ast.literal_eval(text.strip())
-    except (ValueError, SyntaxError):
+        value = ast.literal_eval(text)
+    except (ValueError, SyntaxError, MemoryError, RecursionError):
         return []
     return [None if v is None else str(v) for v in value] if isinstance(value, list) else []
 
@@ -32,30 +32,53 @@ def python_list(text):
 LISTS = ["['rust']", "['go', \"c\"]", "[]", "[ ]", " ['go'] ", "['a',]", "['don\\'t']", "[None]", "['a, None, b', None]",
          "['C,]', 'x',]", "['caf\\xe9']", "['back\\\\slash']", "['a', True, False, 3, -2.5]", "['N', 'None', 'True']",
          "['a']]", "['a'] x", "['a',,'b']", "['a'", "'a'", "('a', 'b')", "{'a': ['b']}", "None", "nan", "", "a b",
-         "['" + "y" * 30000 + "']", "[" + "'z', " * 3000 + "'z']"]
+         "['" + "y" * 30000 + "']", "[" + "'z', " * 3000 + "'z']",
+         # only the exact step reads these
+         "['a' 'b']", "['a', 'b'] # c", "['a', ('x', 1), ['n'], {'k': 2}]", "[u'a', r'b\\d', b'c']", "['\\N{BULLET}', '\\U0001F600']",
+         "['tab\there']", "[1e3, 0x1F, 1_000, 2j]", "['a'\t,\t'b']", "\t['a']", "['a'] + ['b']", "[x]", "[" * 3000,
+         "[" * 90 + "]" * 90, "['''tri'ple''']", "[...]", "[-1, +2]", "['a'; 'b']", " ['a']"]
+DICTS = ["{'x': ['go']}", "{'x': ['go'], 'y': ['c', 'd'], 'z': []}", "{'b': ['2'], 'a': ['1'], 'b': ['3']}",
+         "{'p': ['a']} junk", "{'p': ['a']}}", "{'a': None, 'b': ['x',]}", "{'a': 'x, None', 'b': ['y', None]}",
+         "{'a': {'n': ['z']}, 'b': ['y']}", "{'k': True, 'c': ['caf\\xe9']}", "{'a': 4, 'b': ['q']}", "{}", "{ }",
+         "['x']", "{x}", "nan", "", "{'a': ('x',), 'b': ['z']}", "{1: ['x'], None: ['n'], (1, 2): ['t']}", "{'a': ['x'] } # c",
+         "{'a': ['x' 'y']}", "{['a']: ['x']}", "{'a': ['x'], **{}}", "{'a'}", "{'a': [['n'], 1, None]}",
+         "{1: ['a'], True: ['b'], 1.0: ['c']}"]
 
 
-class TestParsers:
+def text_of(value):
+    return value if value is None or isinstance(value, str) else str(value)
+
+
+class TestLiterals:
     def test_lists_as_literal_eval(self, spark):
         df = spark.createDataFrame(list(enumerate(LISTS)), "i int, v string")
-        for r in df.select("v", parse_skill_list("v").alias("r")).collect():
+        for r in with_literals(df, lists={"r": "v"}).collect():
             assert r["r"] == python_list(r["v"]), r["v"][:60]
-        assert _one(spark, parse_skill_list, None) == []
 
     def test_dicts_as_literal_eval(self, spark):
-        texts = ["{'x': ['go']}", "{'x': ['go'], 'y': ['c', 'd'], 'z': []}", "{'b': ['2'], 'a': ['1'], 'b': ['3']}",
-                 "{'p': ['a']} junk", "{'p': ['a']}}", "{'a': None, 'b': ['x',]}", "{'a': 'x, None', 'b': ['y', None]}",
-                 "{'a': {'n': ['z']}, 'b': ['y']}", "{'k': True, 'c': ['caf\\xe9']}", "{'a': 4, 'b': ['q']}", "{}", "{ }",
-                 "['x']", "{x}", "nan", ""]
-        df = spark.createDataFrame(list(enumerate(texts)), "i int, v string")
-        for r in df.select("v", parse_skill_groups("v").alias("r")).collect():
+        df = spark.createDataFrame(list(enumerate(DICTS)), "i int, v string")
+        for r in with_literals(df, groups={"r": "v"}).collect():
             try:
-                value = ast.literal_eval(r["v"].strip())
-            except (ValueError, SyntaxError):
+                value = ast.literal_eval(r["v"])
+            except (ValueError, SyntaxError, TypeError):
                 value = None
-            want = [(k, v) for k, v in value.items() if isinstance(v, list)] if isinstance(value, dict) else []
+            want = [(text_of(k), [text_of(i) for i in v]) for k, v in value.items() if isinstance(v, list)] \
+                if isinstance(value, dict) else []
             assert [(g["category"], g["skills"]) for g in r["r"]] == want, r["v"]
-        assert _one(spark, parse_skill_groups, None) == []
+
+    def test_null_and_no_rows(self, spark):
+        df = spark.createDataFrame([(None,)], "v string")
+        assert with_literals(df, {"l": "v"}, {"g": "v"}).first()[1:] == ([], [])
+        assert with_literals(df.limit(0), {"l": "v"}, {"g": "v"}).collect() == []
+
+    def test_only_left_over_texts_reach_python(self, spark):
+        """The step's input is NULL for plain and blank texts, and without ``exact`` there is no step."""
+        texts = ["['a']", "{'a': ['b']}", " ", "nan", "['a',]"]
+        df = spark.createDataFrame([(t,) for t in texts], "v string")
+        got = df.select(left_over("v", plain_list("v")).alias("l"), left_over("v", plain_groups("v")).alias("g")).collect()
+        assert [r["l"] for r in got] == [None, texts[1], None, None, texts[4]]
+        assert [r["g"] for r in got] == [texts[0], None, None, None, texts[4]]
+        assert "Python" not in with_literals(df, {"l": "v"}, {"g": "v"}, exact=False)._jdf.queryExecution().toString()
 
 
 def _parse(spark, lines):
