@@ -73,16 +73,18 @@ def city_of(raw_location) -> Column:
 _STR = r"""(?:'[^'\\\x00-\x1f]*+'|"[^"\\\x00-\x1f]*+")[ \t]*+"""
 _LIST = rf"\[[ \t]*+(?:{_STR}(?:,[ \t]*+{_STR})*+)?\][ \t]*+"
 _ENTRY = rf"{_STR}:[ \t]*+{_LIST}"
-_LIST_RE = rf"^[ \t]*+{_LIST}$"
+_LAST_COMMA = r",[ \t]*+\][ \t]*+$"
+_LIST_RE = rf"^[ \t]*+{_LIST}$|^[ \t]*+\[[ \t]*+{_STR}(?:,[ \t]*+{_STR})*+{_LAST_COMMA}"
 _DICT_RE = rf"^[ \t]*+\{{[ \t]*+(?:{_ENTRY}(?:,[ \t]*+{_ENTRY})*+)?\}}[ \t]*+$"
 
 _GROUPS_TYPE = "array<struct<category:string,skills:array<string>>>"
 
 
 def plain_list(c) -> Column:
-    """``"['a', 'b']"`` -> array<string>; NULL for any text that is no plain list."""
+    """``"['a', 'b']"`` -> array<string>; NULL for any text that is no plain list (a last comma is fine)."""
     c = _c(c)
-    return F.when(c.rlike(_LIST_RE), F.from_json(c, "array<string>"))
+    text = F.when(c.rlike(_LAST_COMMA), F.regexp_replace(c, _LAST_COMMA, "]")).otherwise(c)
+    return F.when(c.rlike(_LIST_RE), F.from_json(text, "array<string>"))
 
 
 def plain_groups(c) -> Column:

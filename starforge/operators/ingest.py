@@ -1,20 +1,21 @@
 """Read the spreadsheet-exported postings CSV: route, number, type, validate, load.
 
-Plan (every pass is a DataFrame job; nothing funnels through one task):
-
-* pass 1 - per-split statistics: scan text, classify every line (blank / good /
-  bad), hash-aggregate per (file, split): line count, first position, good and
-  bad counts, hash of the first line (the header check).  One row per split;
-  running sums over those few rows give each split's line offset (per file)
-  and good/bad-row offsets (global, file order).
-* pass 2 - valid rows: scan, keep good rows and number them in their scan
-  partition, then join the split offsets; type the 17 fields; write
-  ``raw_jobs`` while observing validation-failure counts.
-* pass 3 - rejects: same scan, bad rows, write ``raw_jobs_rejected``.
-
-Rows are numbered before the join, so the ids do not depend on how Spark joins
-the offsets.  Positions come from ``monotonically_increasing_id`` on the same file
-listing and the same pinned split size in every pass, so they agree between passes.
+The text is read and parsed once.  Plan (every pass is a DataFrame job; nothing funnels through one task):
+
+* staging - scan the text, classify every line (blank / good / bad), type the 17 fields of good
+  lines and keep the text of bad ones; written as one table in line order.
+* statistics - a scan of the staged table's narrow columns, hash-aggregated per text split and staged split:
+  line count, first position, good and bad counts, hash of the first line (the header check).  One row per
+  pair of splits; running sums over those few rows give each one's line offset (per file) and good/bad-row
+  offsets (global, file order).
+* valid rows - scan the staged table, keep good rows and number them in their scan partition, then join the
+  offsets; write ``raw_jobs`` while observing validation-failure counts.  Literals that the built-in reading left
+  over are read here by the exact step; without any there is no Python in the plan.
+* rejects - same scan, bad rows, write ``raw_jobs_rejected``.
+
+Rows are numbered before the join, so the ids do not depend on how Spark joins the offsets.  A text position
+is a ``monotonically_increasing_id`` of the staging scan, stored with the line; a staged position is one of the
+staged scans, which see the same files with the same pinned split size, so they agree.
 """
 from __future__ import annotations
 
@@ -25,11 +26,12 @@ from pyspark.sql import functions as F
 
 from starforge import schemas
 from starforge.functions.text import (
-    lenient_number, lenient_timestamp, py_strip, strict_true, unwrap_excel, with_literals,
+    finished_groups, finished_list, left_over, lenient_number, lenient_timestamp, plain_groups, plain_list, py_strip, strict_true,
+    unwrap_excel, with_literals,
 )
 from starforge.operators.keys import POS_BITS, exclusive_prefix_sum, partition_of
 from starforge.operators.quality import ValidationError, failure_count_columns, failures_of
-from starforge.session import conf_override, scratch_path
+from starforge.session import conf_override, hadoop_fs, scratch_path
 from starforge.sources.lines import read_lines
 
 _FIELD_SCHEMA = ", ".join(f"c{i} string" for i in range(schemas.EXPECTED_COLS)) + ", _bad string"
@@ -71,85 +73,91 @@ def read_classified(spark: SparkSession, path) -> DataFrame:
     return with_ok(read_lines(spark, path, derive=line_checks))
 
 
-def split_counts(classified: DataFrame) -> DataFrame:
-    """One row per (file, split): line count, first position, good and bad counts,
-    hash of the first line.
+SPLIT = ["_file", "_block", "_sfile", "_sblock"]
 
-    Only fixed-width values are aggregated (counts, first position, flags of
+
+def split_counts(staged: DataFrame) -> DataFrame:
+    """One row per text split (_file, _block) and staged split (_sfile, _sblock): line count, first positions, good
+    and bad counts, hash of the first line.
+
+    Only fixed-width values are aggregated (counts, first positions, flags of
     the first line), so Spark uses a hash aggregate with no sort of the lines.
     """
-    per_split = classified.groupBy("_file", "_block").agg(
+    per_split = staged.groupBy(*SPLIT).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min("_pos").alias("_pos0"),
+        F.min("_spos").alias("_spos0"),
         F.count_if("_ok").alias("_ok_all"),
         F.min_by("_ok", "_pos").alias("_first_ok"),
-        F.min_by(F.xxhash64("value"), "_pos").alias("_first_hash"),
-        F.count_if(~F.col("_ok") & ~F.col("_blank")).alias("_bad_all"),
-        F.min_by(~F.col("_ok") & ~F.col("_blank"), "_pos").alias("_first_bad"),
+        F.min_by("_hash", "_pos").alias("_first_hash"),
+        F.count_if("_bad").alias("_bad_all"),
+        F.min_by("_bad", "_pos").alias("_first_bad"),
+        F.count_if("_left").alias("_left_all"),
     )
-    # The first line of each file (block 0) is its header, never a data row.
-    is_head_split = F.col("_block") == 0
-    head_ok = F.when(is_head_split & F.col("_first_ok"), 1).otherwise(0)
-    head_bad = F.when(is_head_split & F.col("_first_bad"), 1).otherwise(0)
-    return per_split.select(
-        "_file", "_block", "_n", "_pos0", "_ok_all", "_bad_all",
+    # The first line of each file (in block 0) is its header, never a data row.
+    heads = per_split.where("_block = 0").groupBy(F.col("_file").alias("_hfile")).agg(F.min("_pos0").alias("_head_pos"))
+    marked = per_split.join(heads, (F.col("_file") == F.col("_hfile")) & (F.col("_pos0") == F.col("_head_pos")), "left")
+    is_head = F.col("_head_pos").isNotNull()
+    head_ok = F.when(is_head & F.col("_first_ok"), 1).otherwise(0)
+    head_bad = F.when(is_head & F.col("_first_bad"), 1).otherwise(0)
+    return marked.select(
+        *SPLIT, "_n", "_pos0", "_spos0", "_ok_all", "_bad_all", "_left_all", "_head_pos",
         head_ok.alias("_head_ok"), head_bad.alias("_head_bad"),
         (F.col("_ok_all") - head_ok).alias("_ng"), (F.col("_bad_all") - head_bad).alias("_nb"),
-        F.when(is_head_split, F.col("_first_hash")).alias("_header_hash"))
+        F.when(is_head, F.col("_first_hash")).alias("_header_hash"))
 
 
-def file_key(file) -> "F.Column":
-    """Fixed-width key of a file path, for the join with the split offsets."""
-    return F.xxhash64(file)
+def file_key() -> "F.Column":
+    """Fixed-width key of the two files of a row, for the join with the split offsets."""
+    return F.xxhash64("_file", "_sfile")
 
 
 def split_offsets(counts: DataFrame) -> DataFrame:
-    """Per split: line offset within its file, and what to add to the number that
-    ``monotonically_increasing_id`` gives a good / bad row of the split, in a pass that
+    """Per row of ``split_counts``: line offset within the text file, and what to add to the number that
+    ``monotonically_increasing_id`` gives a good / bad row of the staged split, in a pass that
     keeps only those rows (header lines included), to get its id.
 
     The global running sums are distributed prefix sums; the per-file line
     offset is the global prefix minus the prefix at the file's first split, so
     even one huge file is not funnelled through a single task.
     """
-    g = exclusive_prefix_sum(counts, ["_file", "_block"], ["_n", "_ng", "_nb"], prefix="_before")
+    g = exclusive_prefix_sum(counts, ["_file", "_block", "_sblock", "_sfile"], ["_n", "_ng", "_nb"], prefix="_before")
     starts = g.groupBy("_file").agg(F.min("_before_n").alias("_file_start"))
     g = g.join(starts, "_file")
-    part = partition_of(F.col("_pos0"))
+    part = partition_of(F.col("_spos0"))
     base = F.shiftleft(part, POS_BITS)
     # splits sharing one scan partition: a handful (small files packed together)
-    w = Window.partitionBy(part).orderBy("_pos0").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(part).orderBy("_spos0").rowsBetween(Window.unboundedPreceding, -1)
     good_pos0 = base + F.coalesce(F.sum("_ok_all").over(w), F.lit(0))
     bad_pos0 = base + F.coalesce(F.sum("_bad_all").over(w), F.lit(0))
     return g.select(
-        "_file", file_key("_file").alias("_fkey"), "_block", "_pos0", "_header_hash",
+        "_file", file_key().alias("_fkey"), F.col("_block").alias("_oblock"), F.col("_sblock").alias("_osblock"),
+        "_head_pos", "_header_hash", "_left_all",
         (F.col("_before_n") - F.col("_file_start") - F.col("_pos0") + 1).alias("_line_shift"),
         (F.col("_before_ng") - good_pos0 - F.col("_head_ok") + 1).alias("_good_shift"),
         (F.col("_before_nb") - bad_pos0 - F.col("_head_bad") + 1).alias("_bad_shift"),
     )
 
 
-# One row of offsets: key, block, first position and three shifts, 8 bytes each.
-OFFSET_ROW_BYTES = 48
+# One row of offsets: key, two blocks, header position and three shifts, 8 bytes each.
+OFFSET_ROW_BYTES = 56
 # Offsets are broadcast up to this size; beyond it Spark joins them by shuffle, with the same result.
 BROADCAST_OFFSET_BYTES = 64 << 20
 
 
-def _header_line(spark: SparkSession, stats: DataFrame, path) -> str:
-    """Every file's first line must be the same header.
-
-    The statistics carry a 64-bit hash of each file's first line, so only the
-    first line of one file is read to get the header text itself.
-    """
-    heads = stats.where(F.col("_block") == 0)
-    hashes = [r[0] for r in heads.select("_header_hash").distinct().limit(2).collect()]
-    if not hashes:
+def _header_line(spark: SparkSession, path) -> str:
+    """The first line of one file (tasks run until one is found)."""
+    # the first line that a task meets in a first split is the first one of that file
+    first = read_lines(spark, path).where(F.col("_block") == 0).select("value").limit(1).first()
+    if first is None:
         raise HeaderError(f"no lines in {path!r}")
-    if len(hashes) > 1:
+    return first[0]
+
+
+def _one_header(stats: DataFrame, path) -> None:
+    """Every file must have the same first line, by its 64-bit hash."""
+    if stats.select("_header_hash").where("_header_hash is not null").distinct().limit(2).count() > 1:
         raise HeaderError(f"files under {path!r} do not share one header line")
-    first_file = heads.agg(F.min("_file")).first()[0]
-    # only this file is listed, and tasks run until one line of its first split is found
-    return read_lines(spark, first_file).where(F.col("_block") == 0).select("value").limit(1).first()[0]
 
 
 def _header_names(header_line: str) -> list:
@@ -179,23 +187,42 @@ def typed_columns(header: list) -> list:
 
 
 def lost_columns(header: list) -> list:
-    """Texts of the coerced fields, kept beside their typed columns until ``lost_counts`` has seen them."""
+    """How many non-empty dates and numbers of a line became NULL (after ``typed_columns``)."""
     pos = {name: i for i, name in enumerate(header)}
-    return [F.col(f"_rec.c{pos[name]}").alias(f"_text_{name}") for name in ("job_posted_date", *schemas.NUMBER_COLUMNS)]
-
 
-def lost_counts() -> list:
-    """Aggregates for ``observe``: non-empty dates, numbers and literals that became NULL or empty."""
     def lost(name: str) -> F.Column:
-        return F.col(name).isNull() & (py_strip(f"_text_{name}") != "")
+        return F.when(F.col(name).isNull() & (py_strip(f"_rec.c{pos[name]}") != ""), 1).otherwise(0)
+
+    return [lost("job_posted_date").alias("_lost_dates"),
+            sum((lost(c) for c in schemas.NUMBER_COLUMNS), F.lit(0)).alias("_lost_numbers")]
+
+
+def staged_lines(spark: SparkSession, path, header: list, out: str) -> DataFrame:
+    """The classified lines of ``path``, typed, written to ``out``; read back with staged positions.
+
+    Good lines have their typed fields and plain literals, bad ones their first characters.
+    """
+    bad = ~F.col("_ok") & ~F.col("_blank")
+    lines = read_classified(spark, path).select("*", *typed_columns(header))
+    literals = {"_plain_list": plain_list("job_skills"), "_plain_groups": plain_groups("job_type_skills")}
+    lines = lines.withColumns({c: F.when(F.col("_ok"), read) for c, read in literals.items()})
+    left = left_over("job_skills", F.col("_plain_list")).isNotNull() | left_over("job_type_skills", F.col("_plain_groups")).isNotNull()
+    lines.select(
+        "_file", "_block", "_pos", "_ok", bad.alias("_bad"), (F.col("_ok") & left).alias("_left"),
+        F.when(F.col("_block") == 0, F.xxhash64("value")).alias("_hash"),
+        F.when(bad, F.substring("value", 1, schemas.REJECT_CONTENT_CHARS)).alias("_content"),
+        *schemas.CSV_COLUMNS, *literals, *lost_columns(header)).write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out).select(
+        "*", F.col("_metadata.file_path").alias("_sfile"), F.col("_metadata.file_block_start").alias("_sblock"),
+        F.monotonically_increasing_id().alias("_spos"))
+
 
-    def lost_literal(name: str, empty: str) -> F.Column:
-        return (F.size(f"{name}_parsed") == 0) & ~F.col(name).rlike(rf"^\s*(\{empty[0]}\s*\{empty[1]}|nan)?\s*$")
+def lost_literals() -> F.Column:
+    """Aggregate: non-empty literals that became empty."""
+    def lost(name: str, empty: str) -> F.Column:
+        return F.when((F.size(f"{name}_parsed") == 0) & ~F.col(name).rlike(rf"^\s*(\{empty[0]}\s*\{empty[1]}|nan)?\s*$"), 1).otherwise(0)
 
-    return [F.count_if(lost("job_posted_date")).alias("lost_dates"),
-            F.sum(sum((F.when(lost(c), 1).otherwise(0) for c in schemas.NUMBER_COLUMNS), F.lit(0))).alias("lost_numbers"),
-            F.sum(F.when(lost_literal("job_skills", "[]"), 1).otherwise(0)
-                  + F.when(lost_literal("job_type_skills", "{}"), 1).otherwise(0)).alias("lost_literals")]
+    return F.sum(lost("job_skills", "[]") + lost("job_type_skills", "{}")).alias("lost_literals")
 
 
 def with_parsed_skills(df: DataFrame, exact: bool = True) -> DataFrame:
@@ -221,17 +248,17 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
     out_dir = out_dir or scratch_path(spark, "ingest")
     pinned = {"spark.sql.files.minPartitionNum": str(spark.sparkContext.defaultParallelism)}
     with conf_override(spark, pinned):
-        # Three passes read the same file listing with the same pinned split
-        # size, so every line gets the same (file, split, position) in each pass
-        # (filters on the split columns do not prune splits).
-        classified = read_classified(spark, path)
-        split_counts(classified).write.mode("overwrite").parquet(f"{out_dir}/_split_counts")
+        # The staged scans read the same file listing with the same pinned split size, so every line gets the
+        # same (file, split, position) in each (filters on the split columns do not prune splits).
+        header = _header_names(_header_line(spark, path))
+        lines = staged_lines(spark, path, header, f"{out_dir}/_lines")
+        split_counts(lines).write.mode("overwrite").parquet(f"{out_dir}/_split_counts")
         stats_path = f"{out_dir}/_split_stats"
         split_offsets(spark.read.parquet(f"{out_dir}/_split_counts")).write.mode("overwrite").parquet(stats_path)
         stats = spark.read.parquet(stats_path)
-        n_splits = stats.count()
-        header = _header_names(_header_line(spark, stats, path))
-        offsets = stats.drop("_file", "_header_hash").withColumnRenamed("_block", "_oblock")
+        _one_header(stats, path)
+        n_splits, n_left = stats.agg(F.count(F.lit(1)), F.coalesce(F.sum("_left_all"), F.lit(0))).first()
+        offsets = stats.drop("_file", "_header_hash", "_left_all")
         if n_splits * OFFSET_ROW_BYTES <= BROADCAST_OFFSET_BYTES:
             offsets = F.broadcast(offsets)
         # One load instant per run, shared by both tables
@@ -240,24 +267,27 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
         def with_offsets(rows: DataFrame) -> DataFrame:
             """Numbered rows with their split's offsets, header lines left out."""
             numbered = rows.withColumn("_number", F.monotonically_increasing_id())
-            joined = numbered.join(offsets, (file_key("_file") == F.col("_fkey")) & (F.col("_block") == F.col("_oblock")))
-            return (joined.where((F.col("_block") != 0) | (F.col("_pos") != F.col("_pos0")))
+            joined = numbered.join(offsets, (file_key() == F.col("_fkey")) & (F.col("_block") == F.col("_oblock"))
+                                   & (F.col("_sblock") == F.col("_osblock")))
+            return (joined.where(F.col("_head_pos").isNull() | (F.col("_pos") != F.col("_head_pos")))
                           .withColumn("line_number", F.col("_pos") + F.col("_line_shift")))
 
         # ---- valid rows -> raw_jobs
-        good = with_offsets(classified.where(F.col("_ok")))
-        typed = good.select((F.col("_number") + F.col("_good_shift")).alias("raw_id"),
-                            F.col("_file").alias("source_file"), "line_number", *typed_columns(header),
-                            *lost_columns(header))
+        good = with_offsets(lines.where(F.col("_ok")))
+        text = {c: left_over(c, F.col(plain)) if n_left else None
+                for c, plain in (("job_skills", "_plain_list"), ("job_type_skills", "_plain_groups"))}
+        parsed = good.withColumns({"job_skills_parsed": finished_list(F.col("_plain_list"), text["job_skills"]),
+                                   "job_type_skills_parsed": finished_groups(F.col("_plain_groups"), text["job_type_skills"])})
         obs = Observation("raw_jobs")
-        parsed = with_parsed_skills(typed).observe(obs, F.count(F.lit(1)).alias("rows"), *failure_count_columns(),
-                                                   *lost_counts())
+        parsed = parsed.withColumn("raw_id", F.col("_number") + F.col("_good_shift")).observe(
+            obs, F.count(F.lit(1)).alias("rows"), *failure_count_columns(), F.sum("_lost_dates").alias("lost_dates"),
+            F.sum("_lost_numbers").alias("lost_numbers"), lost_literals())
         raw = parsed.select(
             "raw_id", *[c for c in schemas.CSV_COLUMNS if c not in ("job_skills", "job_type_skills")],
             # C11: the raw copy keeps a missing literal as the text '<NA>'
             F.coalesce("job_skills", F.lit(schemas.RAW_NA_TEXT)).alias("job_skills"),
             F.coalesce("job_type_skills", F.lit(schemas.RAW_NA_TEXT)).alias("job_type_skills"),
-            stamp.alias("ingested_at"), "source_file", "line_number",
+            stamp.alias("ingested_at"), F.col("_file").alias("source_file"), "line_number",
             # P6/P7 parsed once here and stored as nested columns
             "job_skills_parsed", "job_type_skills_parsed")
         raw_path = f"{out_dir}/raw_jobs"
@@ -265,19 +295,21 @@ def ingest(spark: SparkSession, path, out_dir: str | None = None, now: str | Non
         metrics = obs.get
 
         # ---- rejected rows -> raw_jobs_rejected
-        bad = with_offsets(classified.where(~F.col("_ok") & ~F.col("_blank")))
-        rej = bad.select(
+        rejects = with_offsets(lines.where(F.col("_bad")))
+        rej = rejects.select(
             (F.col("_number") + F.col("_bad_shift")).alias("rejected_id"),
             F.col("_file").alias("source_file"), F.col("line_number").cast("long").alias("line_number"),
             F.lit(None).cast("int").alias("fields_found"),
             F.lit(schemas.EXPECTED_COLS).cast("int").alias("fields_expected"),
-            F.substring("value", 1, schemas.REJECT_CONTENT_CHARS).alias("raw_content"),
+            F.col("_content").alias("raw_content"),
             stamp.alias("ingested_at"))
         obs_r = Observation("raw_jobs_rejected")
         rej = rej.observe(obs_r, F.count(F.lit(1)).alias("rows"))
         rej_path = f"{out_dir}/raw_jobs_rejected"
         rej.write.mode("overwrite").parquet(rej_path)
         rej_rows = obs_r.get["rows"]
+    fs, lines_path = hadoop_fs(spark, f"{out_dir}/_lines")
+    fs.delete(lines_path, True)         # as large as the input, and not needed any more
 
     raw_df = spark.read.parquet(raw_path)
     failures = int(metrics.get("failures", 0) or 0)

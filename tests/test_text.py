@@ -73,7 +73,7 @@ class TestLiterals:
 
     def test_only_left_over_texts_reach_python(self, spark):
         """The step's input is NULL for plain and blank texts, and without ``exact`` there is no step."""
-        texts = ["['a']", "{'a': ['b']}", " ", "nan", "['a',]"]
+        texts = ["['a', 'b',]", "{'a': ['b']}", " ", "nan", "['a' 'b']"]
         df = spark.createDataFrame([(t,) for t in texts], "v string")
         got = df.select(left_over("v", plain_list("v")).alias("l"), left_over("v", plain_groups("v")).alias("g")).collect()
         assert [r["l"] for r in got] == [None, texts[1], None, None, texts[4]]
