@@ -5,12 +5,18 @@ themselves).  A table set is published by one manifest, ``_tables-<number>``, th
 folder of every table: readers follow the newest manifest, so they see either the whole old set
 or the whole new one, whatever fails in between.  The folders of the published set and of the
 one before it are kept.
+
+Several runs may publish into one folder at a time.  A manifest is created only if its number is
+still free, in one step; a run that finds the number taken reads the manifest that took it and publishes on
+top of that, under the next number.  No run touches the folder of another that is not yet published.
 """
 from __future__ import annotations
 
 import json
+import logging
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +27,9 @@ from starforge.session import hadoop_fs
 LOAD_ORDER = ["dim_companies", "dim_locations", "dim_skills", "fact_jobs", "bridge_job_skills",
               "raw_jobs", "raw_jobs_rejected"]
 MANIFEST = "_tables-"
+PUBLISH_TRIES = 100
+
+log = logging.getLogger("starforge")
 
 
 def conform(df: DataFrame, schema) -> DataFrame:
@@ -54,51 +63,85 @@ def _manifests(spark: SparkSession, out_dir: str) -> list[tuple[int, str]]:
     return sorted((int(n[len(MANIFEST):]), n) for n in names if n.startswith(MANIFEST) and n[len(MANIFEST):].isdigit())
 
 
-def _read_manifest(spark: SparkSession, out_dir: str, name: str) -> dict:
+def _read_manifest(spark: SparkSession, out_dir: str, name: str) -> dict | None:
+    """The tables of a manifest; None if it is gone, or not yet whole (some stores show a file while it is written)."""
     fs, p = hadoop_fs(spark, f"{out_dir}/{name}")
+    if not fs.exists(p):
+        return None
     stream = fs.open(p)
     try:
         return json.loads(bytes(stream.readAllBytes()).decode("utf-8"))
+    except ValueError:
+        return None
     finally:
         stream.close()
 
 
+def _newest(spark: SparkSession, out_dir: str) -> tuple[int, dict]:
+    """The highest manifest number there is, and the tables of the newest whole manifest."""
+    found = _manifests(spark, out_dir)
+    for _, name in reversed(found):
+        tables = _read_manifest(spark, out_dir, name)
+        if tables is not None:
+            return found[-1][0], tables
+    return (found[-1][0] if found else 0), {}
+
+
 def published(spark: SparkSession, out_dir: str) -> dict:
     """Table name -> path of the published set (empty if nothing was published)."""
     out_dir = out_dir.rstrip("/")
-    found = _manifests(spark, out_dir)
-    return {t: f"{out_dir}/{rel}" for t, rel in _read_manifest(spark, out_dir, found[-1][1]).items()} if found else {}
+    return {t: f"{out_dir}/{rel}" for t, rel in _newest(spark, out_dir)[1].items()}
+
+
+def _create(spark: SparkSession, path: str, text: str) -> bool:
+    """Create the file ``path`` with ``text`` unless it exists, in one step; False if it does."""
+    fs, target = hadoop_fs(spark, path)
+    local = fs.getScheme() == "file"
+    # a local file system has no exclusive create through Hadoop: a whole file gets its second name by a link
+    written = hadoop_fs(spark, f"{path.rsplit('/', 1)[0]}/_new-{uuid.uuid4().hex[:12]}")[1] if local else target
+    try:
+        stream = fs.create(written, False)
+        stream.write(bytearray(text.encode("utf-8")))
+        stream.close()
+        if local:
+            files = spark.sparkContext._jvm.java.nio.file
+            names = [files.Paths.get(fs.makeQualified(p).toUri()) for p in (target, written)]
+            files.Files.createLink(*names)
+        return True
+    except Py4JJavaError as e:
+        if not fs.exists(target):
+            raise
+        log.info("%s is taken (%s)", path, e.java_exception.getClass().getSimpleName())
+        return False
+    finally:
+        if local:
+            fs.delete(written, False)
 
 
-def publish(spark: SparkSession, out_dir: str, tables: dict) -> None:
-    """Make ``tables`` (name -> path under ``out_dir``) the published ones; others stay as they are."""
+def publish(spark: SparkSession, out_dir: str, tables: dict) -> int:
+    """Make ``tables`` (name -> path under ``out_dir``) the published ones; others stay as they are.  Returns the
+    number of the manifest."""
     out_dir = out_dir.rstrip("/")
-    found = _manifests(spark, out_dir)
-    current = {**published(spark, out_dir), **tables}
-    number = found[-1][0] + 1 if found else 1
-    text = json.dumps({t: path[len(out_dir) + 1:] for t, path in current.items()})
-    fs, staged = hadoop_fs(spark, f"{out_dir}/_new-{uuid.uuid4().hex[:12]}")
-    stream = fs.create(staged)
-    stream.write(bytearray(text.encode("utf-8")))
-    stream.close()
-    _, target = hadoop_fs(spark, f"{out_dir}/{MANIFEST}{number:08d}")
-    if fs.exists(target) or not fs.rename(staged, target):
-        fs.delete(staged, False)
-        raise OSError(f"could not publish {target}: another run was published meanwhile")
-    _remove_unreferenced(spark, out_dir)
+    ours = {t: path[len(out_dir) + 1:] for t, path in tables.items()}
+    for _ in range(PUBLISH_TRIES):
+        last, current = _newest(spark, out_dir)
+        if _create(spark, f"{out_dir}/{MANIFEST}{last + 1:08d}", json.dumps({**current, **ours})):
+            _remove_unreferenced(spark, out_dir)
+            return last + 1
+    raise OSError(f"could not publish into {out_dir}: {PUBLISH_TRIES} other runs were faster")
 
 
 def _remove_unreferenced(spark: SparkSession, out_dir: str) -> None:
-    """Drop manifests before the last two, and run folders that none of those two names."""
+    """Drop manifests before the last two, and the run folders that only those name."""
     found = _manifests(spark, out_dir)
-    kept: set = set()
-    for _, name in found[-2:]:
-        kept |= {rel.split("/")[0] for rel in _read_manifest(spark, out_dir, name).values()}
-    fs, p = hadoop_fs(spark, out_dir)
-    old = [name for _, name in found[:-2]]
-    old += [s.getPath().getName() for s in fs.listStatus(p)
-            if s.getPath().getName().startswith("run-") and s.getPath().getName() not in kept] if len(found) > 2 else []
-    for name in old:
+
+    def folders(manifests: list) -> set:
+        tables = [_read_manifest(spark, out_dir, name) or {} for _, name in manifests]
+        return {rel.split("/")[0] for t in tables for rel in t.values()}
+
+    old, kept = found[:-2], folders(found[-2:])
+    fs, _ = hadoop_fs(spark, out_dir)
+    for name in [f for f in folders(old) - kept if f.startswith("run-")] + [name for _, name in old]:
         fs.delete(hadoop_fs(spark, f"{out_dir}/{name}")[1], True)
 
 
