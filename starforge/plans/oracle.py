@@ -70,7 +70,8 @@ dt AS (SELECT k, '{{' || string_agg(t, ', ' ORDER BY first_r) || '}}' AS jts FRO
 postings AS (
   SELECT o.o_orderkey AS k,
     {_list(schemas.VALID_JOB_TITLES)}[(o.o_orderkey % 10) + 1] AS job_title_short,
-    'Sr "' || c.c_mktsegment || '", ' || o.o_orderpriority AS job_title,
+    'Sr "' || c.c_mktsegment || '", ' || o.o_orderpriority
+      || CASE WHEN o.o_orderkey % {P.BYTE_EVERY} = {P.BYTE_AT} THEN chr(65533) ELSE '' END AS job_title,
     CASE WHEN o.o_orderkey % 23 = 0 THEN NULL
          ELSE 'City' || CAST(o.o_custkey % 40 AS VARCHAR) || ', ST' END AS job_location,
     'via ' || c.c_mktsegment AS job_via,
@@ -88,10 +89,11 @@ postings AS (
       AS sh_text,
     CASE WHEN o.o_orderkey % 17 = 0 THEN NULL ELSE c.c_name END AS company_name,
     o.o_totalprice AS price,
-    coalesce(sk.js, '[]') AS job_skills,
-    coalesce(dt.jts, '{{}}') AS job_type_skills,
+    CASE WHEN o.o_orderkey % {P.MISSING_EVERY} <> {P.MISSING_AT} THEN coalesce(sk.js, '[]') END AS job_skills,
+    CASE WHEN o.o_orderkey % {P.MISSING_EVERY} <> {P.MISSING_AT} THEN coalesce(dt.jts, '{{}}') END AS job_type_skills,
     o.o_orderkey // {P.POSTINGS_PER_FILE} AS bucket,
-    CASE WHEN o.o_orderkey % {P.BLANK_EVERY} = {P.BLANK_AT} THEN 1 ELSE 0 END AS blank_after,
+    CASE WHEN o.o_orderkey % {P.BLANK_EVERY} = {P.BLANK_AT} THEN 1 ELSE 0 END
+      + CASE WHEN o.o_orderkey % {P.BARE_EVERY} = {P.BARE_AT} THEN 1 ELSE 0 END AS blank_after,
     o.o_orderkey % {P.BROKEN_EVERY} = {P.BROKEN_AT} AS broken
   FROM orders o
   JOIN customer c ON o.o_custkey = c.c_custkey
@@ -114,7 +116,9 @@ valid AS (
 raw_jobs AS (
   SELECT job_id AS raw_id, job_title_short, job_title, job_location, job_via, job_schedule_type,
          job_work_from_home, search_location, job_posted_date, job_no_degree_mention, job_health_insurance,
-         job_country, salary_rate, salary_year_avg, salary_hour_avg, company_name, job_skills, job_type_skills,
+         job_country, salary_rate, salary_year_avg, salary_hour_avg, company_name,
+         coalesce(job_skills, '{schemas.RAW_NA_TEXT}') AS job_skills,
+         coalesce(job_type_skills, '{schemas.RAW_NA_TEXT}') AS job_type_skills,
          TIMESTAMP '{LOAD_STAMP}' AS ingested_at, line_number
   FROM valid
 ),
@@ -138,6 +142,7 @@ dim_locations AS (
 vitems AS (
   SELECT v.job_id, i.name, i.ptype, i.r, c.first_r
   FROM valid v JOIN items i ON i.k = v.k JOIN cat_first c ON c.k = i.k AND c.ptype = i.ptype
+  WHERE v.job_skills IS NOT NULL
 ),
 dim_skills AS (
   SELECT row_number() OVER (ORDER BY skill_name) AS skill_id, skill_name, skill_category
@@ -165,8 +170,8 @@ _COUNTS = "\n  UNION ALL ".join(f"SELECT '{t}' AS tabla, CAST(count(*) AS BIGINT
                                for t, _ in schemas.TABLE_LABELS)
 
 
-def _key_checks_sql() -> str:
-    """G1-G5 written directly in SQL (violation counts)."""
+def _key_checks_sql(prefix: str = "") -> str:
+    """G1-G5 written directly in SQL (violation counts) over the tables with ``prefix``."""
     parts = []
     for tbl, keys in [("raw_jobs", ["raw_id"]), ("raw_jobs_rejected", ["rejected_id"]),
                       ("dim_companies", ["company_id"]), ("dim_locations", ["location_id"]),
@@ -176,26 +181,79 @@ def _key_checks_sql() -> str:
         nn = " AND ".join(f"{k} IS NOT NULL" for k in keys)
         anynull = " OR ".join(f"{k} IS NULL" for k in keys)
         parts.append(f"SELECT 'pk_unique:{tbl}' AS \"check\", CAST(count(*) AS BIGINT) AS violations FROM "
-                     f"(SELECT {ks} FROM {tbl} WHERE {nn} GROUP BY {ks} HAVING count(*) > 1)")
-        parts.append(f"SELECT 'pk_not_null:{tbl}', CAST(count(*) FILTER (WHERE {anynull}) AS BIGINT) FROM {tbl}")
+                     f"(SELECT {ks} FROM {prefix}{tbl} WHERE {nn} GROUP BY {ks} HAVING count(*) > 1)")
+        parts.append(f"SELECT 'pk_not_null:{tbl}', CAST(count(*) FILTER (WHERE {anynull}) AS BIGINT) FROM {prefix}{tbl}")
     uniq = [("dim_companies", "company_name", "unique:dim_companies.company_name"),
             ("dim_locations", "raw_location, country", "unique:dim_locations.raw_location_country"),
             ("dim_skills", "skill_name", "unique:dim_skills.skill_name")]
     for tbl, ks, name in uniq:
         nn = " AND ".join(f"{k.strip()} IS NOT NULL" for k in ks.split(","))
         parts.append(f"SELECT '{name}', CAST(count(*) AS BIGINT) FROM "
-                     f"(SELECT {ks} FROM {tbl} WHERE {nn} GROUP BY {ks} HAVING count(*) > 1)")
+                     f"(SELECT {ks} FROM {prefix}{tbl} WHERE {nn} GROUP BY {ks} HAVING count(*) > 1)")
     fks = [("fact_jobs", "company_id", "dim_companies", "company_id", "fk:fact_jobs.company_id"),
            ("fact_jobs", "location_id", "dim_locations", "location_id", "fk:fact_jobs.location_id"),
            ("bridge_job_skills", "job_id", "fact_jobs", "job_id", "fk:bridge_job_skills.job_id"),
            ("bridge_job_skills", "skill_id", "dim_skills", "skill_id", "fk:bridge_job_skills.skill_id")]
     for c, fk, p, pk, name in fks:
-        parts.append(f"SELECT '{name}', CAST(count(*) AS BIGINT) FROM {c} ch WHERE ch.{fk} IS NOT NULL "
-                     f"AND NOT EXISTS (SELECT 1 FROM {p} pa WHERE pa.{pk} = ch.{fk})")
+        parts.append(f"SELECT '{name}', CAST(count(*) AS BIGINT) FROM {prefix}{c} ch WHERE ch.{fk} IS NOT NULL "
+                     f"AND NOT EXISTS (SELECT 1 FROM {prefix}{p} pa WHERE pa.{pk} = ch.{fk})")
     for tbl, col, name in [("dim_companies", "company_name", "not_null:dim_companies.company_name"),
                            ("dim_skills", "skill_name", "not_null:dim_skills.skill_name"),
                            ("raw_jobs_rejected", "line_number", "not_null:raw_jobs_rejected.line_number")]:
-        parts.append(f"SELECT '{name}', CAST(count(*) FILTER (WHERE {col} IS NULL) AS BIGINT) FROM {tbl}")
+        parts.append(f"SELECT '{name}', CAST(count(*) FILTER (WHERE {col} IS NULL) AS BIGINT) FROM {prefix}{tbl}")
+    return "\nUNION ALL ".join(parts)
+
+
+
+# The damage of ``plans.damage``, written again.
+DAMAGED = """
+, d1 AS (
+  SELECT * FROM dim_companies UNION ALL SELECT * FROM dim_companies WHERE company_id % 97 = 3
+), bad_dim_companies AS (
+  SELECT company_id, CASE WHEN company_id % 89 = 0 THEN 'The same name' WHEN company_id % 101 = 5 THEN NULL ELSE company_name END AS company_name
+  FROM d1
+), bad_dim_locations AS (
+  SELECT location_id, raw_location, country FROM dim_locations
+  UNION ALL SELECT location_id + 1000000000, raw_location, country FROM dim_locations WHERE location_id % 71 = 2
+  UNION ALL SELECT location_id, raw_location, NULL FROM dim_locations WHERE location_id % 73 = 4
+), d2 AS (
+  SELECT CASE WHEN skill_id % 31 <> 6 THEN skill_id END AS skill_id, skill_name FROM dim_skills
+), bad_dim_skills AS (
+  SELECT skill_id, CASE WHEN skill_id % 23 = 2 THEN 'one skill' WHEN skill_id % 29 = 1 THEN NULL ELSE skill_name END AS skill_name FROM d2
+), d3 AS (
+  SELECT job_id, CASE WHEN job_id % 53 = 0 THEN company_id + 1000000000 ELSE company_id END AS company_id,
+         CASE WHEN job_id % 59 = 0 THEN -location_id ELSE location_id END AS location_id FROM fact_jobs
+), bad_fact_jobs AS (
+  SELECT CASE WHEN job_id % 67 <> 2 THEN job_id END AS job_id, company_id, location_id
+  FROM (SELECT * FROM d3 UNION ALL SELECT * FROM d3 WHERE job_id % 61 = 1)
+), d4 AS (
+  SELECT * FROM bridge_job_skills UNION ALL SELECT * FROM bridge_job_skills WHERE (job_id + skill_id) % 61 = 0
+), d5 AS (
+  SELECT * FROM d4 UNION ALL SELECT * FROM d4 WHERE job_id % 3 = 0 AND skill_id % 7 = 1
+), bad_bridge_job_skills AS (
+  SELECT CASE WHEN job_id % 43 <> 9 THEN job_id END AS job_id,
+         CASE WHEN job_id % 47 = 7 THEN skill_id + 1000000000 ELSE skill_id END AS skill_id FROM d5
+), bad_raw_jobs AS (
+  SELECT CASE WHEN raw_id % 79 <> 3 THEN raw_id END AS raw_id
+  FROM (SELECT raw_id FROM raw_jobs UNION ALL SELECT raw_id FROM raw_jobs WHERE raw_id % 83 = 1)
+), bad_raw_jobs_rejected AS (
+  SELECT rejected_id, CASE WHEN rejected_id % 7 <> 0 THEN line_number END AS line_number
+  FROM (SELECT rejected_id, line_number FROM raw_jobs_rejected
+        UNION ALL SELECT rejected_id, line_number FROM raw_jobs_rejected WHERE rejected_id % 5 = 0)
+)
+"""
+
+
+def _profile_sql() -> str:
+    """Declared columns of every table, with the rows and NULLs of the rebuilt ones."""
+    parts = []
+    # columns that the rebuilt tables do not have; they hold no NULL
+    extra = {"source_file", "job_skills_parsed", "job_type_skills_parsed"}
+    for table, schema in schemas.TABLE_SCHEMAS.items():
+        for i, f in enumerate(schema.fields):
+            nulls = "0" if f.name in extra else f"count(*) - count({f.name})"
+            parts.append(f"SELECT '{table}' AS tabla, {i + 1} AS posicion, '{f.name}' AS columna, '{f.dataType.simpleString()}' AS tipo, "
+                         f"count(*) AS filas, CAST({nulls} AS BIGINT) AS nulos, false AS viola_not_null FROM {table}")
     return "\nUNION ALL ".join(parts)
 
 
@@ -224,10 +282,10 @@ ORACLE_TAILS = {
         SELECT job_id AS raw_id, CAST(r - 1 + CASE job_id % 8 WHEN 2 THEN 1 WHEN 3 THEN 1 WHEN 6 THEN 2 ELSE 0 END AS INTEGER) AS pos,
                name AS skill
         FROM vitems WHERE job_id % 8 <> 1
-        UNION ALL SELECT raw_id, 0, 'None, x' FROM raw_jobs WHERE raw_id % 8 = 2
-        UNION ALL SELECT raw_id, 0, 'joined' FROM raw_jobs WHERE raw_id % 8 = 3
-        UNION ALL SELECT raw_id, 0, 'café' FROM raw_jobs WHERE raw_id % 8 = 6
-        UNION ALL SELECT raw_id, 1, '(''p'', 1)' FROM raw_jobs WHERE raw_id % 8 = 6""",
+        UNION ALL SELECT raw_id, 0, 'None, x' FROM raw_jobs WHERE raw_id % 8 = 2 AND job_skills <> '<NA>'
+        UNION ALL SELECT raw_id, 0, 'joined' FROM raw_jobs WHERE raw_id % 8 = 3 AND job_skills <> '<NA>'
+        UNION ALL SELECT raw_id, 0, 'café' FROM raw_jobs WHERE raw_id % 8 = 6 AND job_skills <> '<NA>'
+        UNION ALL SELECT raw_id, 1, '(''p'', 1)' FROM raw_jobs WHERE raw_id % 8 = 6 AND job_skills <> '<NA>'""",
     "parse_skill_dict": """
         SELECT job_id AS raw_id,
                CAST(dense_rank() OVER (PARTITION BY job_id ORDER BY first_r) - 1
@@ -236,9 +294,9 @@ ORACLE_TAILS = {
                CAST(row_number() OVER (PARTITION BY job_id, ptype ORDER BY r) - 1 AS INTEGER) AS skill_pos,
                name AS skill
         FROM vitems WHERE job_id % 8 <> 1
-        UNION ALL SELECT raw_id, 0, '7', 0, 'seven' FROM raw_jobs WHERE raw_id % 8 = 3
-        UNION ALL SELECT raw_id, 0, '7', 1, '7' FROM raw_jobs WHERE raw_id % 8 = 3
-        UNION ALL SELECT raw_id, 0, 'again', 0, 'last' FROM raw_jobs WHERE raw_id % 8 = 5""",
+        UNION ALL SELECT raw_id, 0, '7', 0, 'seven' FROM raw_jobs WHERE raw_id % 8 = 3 AND job_skills <> '<NA>'
+        UNION ALL SELECT raw_id, 0, '7', 1, '7' FROM raw_jobs WHERE raw_id % 8 = 3 AND job_skills <> '<NA>'
+        UNION ALL SELECT raw_id, 0, 'again', 0, 'last' FROM raw_jobs WHERE raw_id % 8 = 5 AND job_skills <> '<NA>'""",
     "lenient_timestamp": """
         SELECT o_orderkey, CAST(CASE
             WHEN layout IN (5, 12, 13) THEN NULL
@@ -288,6 +346,22 @@ ORACLE_TAILS = {
         SELECT count(*) AS habilidades_huerfanas FROM bridge_job_skills
         WHERE skill_id NOT IN (SELECT skill_id FROM dim_skills)""",
     "key_checks": _key_checks_sql(),
+    "key_checks_damaged": DAMAGED + _key_checks_sql("bad_"),
+    "duplicate_pairs_damaged": DAMAGED + """
+        SELECT count(*) AS pares_duplicados
+        FROM (SELECT job_id, skill_id FROM bad_bridge_job_skills GROUP BY job_id, skill_id HAVING count(*) > 1)""",
+    "orphan_skills_damaged": DAMAGED + """
+        SELECT count(*) AS habilidades_huerfanas FROM bad_bridge_job_skills b
+        WHERE NOT EXISTS (SELECT 1 FROM bad_dim_skills s WHERE s.skill_id = b.skill_id)""",
+    "column_profile": _profile_sql(),
+    "ads_by_category": """
+        SELECT s.skill_category AS categoria, count(DISTINCT b.job_id) AS avisos_distintos,
+               count(DISTINCT b.skill_id) AS habilidades_usadas, count(b.job_id) AS veces_mencionada
+        FROM bridge_job_skills b JOIN dim_skills s ON s.skill_id = b.skill_id
+        GROUP BY s.skill_category ORDER BY avisos_distintos DESC, categoria""",
+    "empty_input": """
+        SELECT 'raw_jobs' AS tabla, 0 AS filas, 'no valid rows' AS resultado
+        UNION ALL SELECT 'raw_jobs_rejected', count(*), 'no valid rows' FROM postings""",
     "skills_per_ad": """
         SELECT min(n) AS minimo_habilidades, max(n) AS maximo_habilidades,
                CAST(((sum(n) * 20 + count(*)) // (2 * count(*))) AS DOUBLE) / 10 AS promedio_habilidades,
@@ -354,7 +428,9 @@ ORACLE_TAILS = {
                                             INTERVAL 1 DAY)) AS d FROM fact_jobs)""",
     "dim_flags": """
         SELECT CAST(w * 4 + d * 2 + h + 1 AS INTEGER) AS flag_id, w = 1 AS work_from_home,
-               d = 1 AS no_degree_mention, h = 1 AS health_insurance
+               d = 1 AS no_degree_mention, h = 1 AS health_insurance,
+               (SELECT count(*) FROM fact_jobs f WHERE f.work_from_home = (w = 1) AND f.no_degree_mention = (d = 1)
+                AND f.health_insurance = (h = 1)) AS avisos
         FROM range(2) a(w), range(2) b(d), range(2) c(h)""",
     "fact_analytic": """
         SELECT job_id, CAST(strftime(posted_date, '%Y%m%d') AS INTEGER) AS date_id,

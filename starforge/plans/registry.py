@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import threading
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,15 +23,14 @@ from starforge.functions.text import (
 from starforge.operators import checks
 from starforge.operators.ingest import reject_preview as _reject_preview
 from starforge.operators.ingest import typed_from_raw
-from starforge.operators.quality import failures_of
-from starforge.operators.star import (
-    build_dim_date, build_dim_flags, build_fact_analytic, build_fact_jobs, location_lookup, with_job_id,
-)
+from starforge.operators.quality import EmptyInputError, failures_of
+from starforge.operators.star import build_dim_date, build_fact_analytic, build_fact_jobs, location_lookup, with_job_id
 from starforge.plans import reports
+from starforge.plans.damage import damaged
 from starforge.plans.run import run
 from starforge.session import scratch_path
 from starforge.sources.postings import postings, write_postings_csv
-from starforge.sources.store import read_tables
+from starforge.sources.store import published, read_tables
 
 # FIXED VALUES of the registry runs.
 LOAD_STAMP = "2024-01-01 08:00:00"   # ingested_at of the registry loads
@@ -223,22 +223,39 @@ def _report(fn, **kw):
     return lambda spark, sf_dir: fn(_t(spark, sf_dir), **kw)
 
 
+def _damaged_report(fn):
+    return lambda spark, sf_dir: fn(damaged(_t(spark, sf_dir)))
+
+
 def q_reload_counts(spark, sf_dir):
-    """The counts returned by a second load of the same text and by a rebuild from its raw table."""
-    out = f"{scratch_path(spark, 'reload')}/tables"
-    csv_path = model(spark, sf_dir).csv_path
-    loads = [("first", run(spark, csv_path, out, now=LOAD_STAMP)), ("second", run(spark, csv_path, out, now=LOAD_STAMP)),
-             ("rebuilt", run(spark, None, out, load_raw=False))]
+    """The counts returned by a second load, of the same text at another path, and by a rebuild of the
+    star from its raw table."""
+    root = scratch_path(spark, "reload")
+    out = f"{root}/tables"
+    moved = write_postings_csv(postings(spark, sf_dir), f"{root}/another place/csv")
+    loads = [("first", run(spark, model(spark, sf_dir).csv_path, out, now=LOAD_STAMP)),
+             ("second", run(spark, moved, out, now=LOAD_STAMP)), ("rebuilt", run(spark, None, out, load_raw=False))]
     return spark.createDataFrame([(load, t, n) for load, counts in loads for t, n in counts.items()],
                                  "carga string, tabla string, filas long")
 
 
-def q_dim_date(spark, sf_dir):
-    return build_dim_date(_t(spark, sf_dir)["fact_jobs"])
+def q_empty_input(spark, sf_dir):
+    """a load whose lines are all cut short raises, builds no star, and publishes the raw tables with its rejects."""
+    root = scratch_path(spark, "empty")
+    csv_path = write_postings_csv(postings(spark, sf_dir), f"{root}/csv", broken=True)
+    try:
+        run(spark, csv_path, f"{root}/tables", now=LOAD_STAMP)
+        outcome = "loaded"
+    except EmptyInputError:
+        outcome = "no valid rows"
+    paths = published(spark, f"{root}/tables")
+    parts = [spark.read.parquet(path).agg(F.count(F.lit(1)).alias("filas")).select(F.lit(name).alias("tabla"), "filas")
+             for name, path in paths.items()]
+    return reduce(DataFrame.unionByName, parts).withColumn("resultado", F.lit(outcome))
 
 
-def q_dim_flags(spark, sf_dir):
-    return build_dim_flags(_t(spark, sf_dir)["fact_jobs"])
+def q_dim_date(spark, sf_dir):
+    return build_dim_date(_t(spark, sf_dir)["fact_jobs"])
 
 
 def q_fact_analytic(spark, sf_dir):
@@ -274,6 +291,12 @@ def queries() -> dict:
         "duplicate_pairs": _report(checks.duplicate_pairs),
         "orphan_skills": _report(checks.orphan_skills),
         "key_checks": _report(checks.key_checks),
+        "key_checks_damaged": _damaged_report(checks.key_checks),
+        "duplicate_pairs_damaged": _damaged_report(checks.duplicate_pairs),
+        "orphan_skills_damaged": _damaged_report(checks.orphan_skills),
+        "column_profile": _report(reports.column_profile),
+        "ads_by_category": _report(reports.ads_by_category),
+        "empty_input": q_empty_input,
         "skills_per_ad": _report(reports.skills_per_ad),
         "top_skills": _report(reports.top_skills),
         "salary_by_title": _report(reports.salary_by_title),
@@ -287,6 +310,6 @@ def queries() -> dict:
         "ads_for_skill": _report(reports.ads_for_skill, skill_name=SKILL_OF_INTEREST),
         "salary_by_skill": _report(reports.salary_by_skill),
         "dim_date": q_dim_date,
-        "dim_flags": q_dim_flags,
+        "dim_flags": _report(reports.flag_counts),
         "fact_analytic": q_fact_analytic,
     }

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from starforge import schemas
 from starforge.functions.text import money_text, percent_text, ratio_round
-
+from starforge.operators.joins import broadcast_if_small
+from starforge.operators.star import build_dim_flags, build_fact_analytic
 
 
 def _count(df: DataFrame) -> F.Column:
@@ -107,9 +108,8 @@ def skills_by_category(t: dict) -> DataFrame:
     """Distinct skills and mentions per category, share of all bridge rows."""
     s, b = t["dim_skills"], t["bridge_job_skills"]
     per = b.groupBy("skill_id").agg(F.count("job_id").alias("_n"))
-    # a skill is one dimension row, so rows of the dimension count distinct skills
     g = s.join(per, "skill_id", "left").groupBy(F.col("skill_category").alias("categoria")).agg(
-        F.count("skill_id").alias("habilidades_distintas"),
+        F.count_distinct("skill_id").alias("habilidades_distintas"),
         F.sum(F.coalesce("_n", F.lit(0))).alias("veces_mencionada"))
     return (g.withColumn("_total", _count(b))
              .select("categoria", "habilidades_distintas", "veces_mencionada",
@@ -117,6 +117,46 @@ def skills_by_category(t: dict) -> DataFrame:
              .orderBy(F.desc("veces_mencionada"), "categoria"))
 
 
+def ads_by_category(t: dict) -> DataFrame:
+    """Distinct postings and distinct skills beside the mentions, per category.
+
+    The bridge is first reduced to one row per (category, posting) with its mentions, map-side and then by a
+    shuffle on both; only these partial counts meet by category, so a category that holds most rows is no
+    hot key.  Distinct skills come from the bridge grouped by skill.
+    """
+    skills = t["dim_skills"].select("skill_id", F.col("skill_category").alias("categoria"))
+    bridge = t["bridge_job_skills"]
+    per_ad = bridge.join(broadcast_if_small(skills), "skill_id").groupBy("categoria", "job_id").agg(F.count(F.lit(1)).alias("_n"))
+    ads = per_ad.groupBy("categoria").agg(F.count("job_id").alias("avisos_distintos"), F.sum("_n").alias("veces_mencionada"))
+    used = (bridge.groupBy("skill_id").agg(F.count(F.lit(1)).alias("_n")).join(skills, "skill_id")
+                  .groupBy("categoria").agg(F.count_distinct("skill_id").alias("habilidades_usadas")))
+    return (ads.join(used, "categoria").select("categoria", "avisos_distintos", "habilidades_usadas", "veces_mencionada")
+               .orderBy(F.desc("avisos_distintos"), "categoria"))
+
+
+def flag_counts(t: dict) -> DataFrame:
+    """M2: the eight flag combinations with the postings of each (0 where there are none)."""
+    flags = build_dim_flags(t["fact_jobs"])
+    per = build_fact_analytic(t["fact_jobs"]).groupBy("flag_id").agg(F.sum("job_count").alias("avisos"))
+    return flags.join(per, "flag_id", "left").withColumn("avisos", F.coalesce("avisos", F.lit(0)).cast("long"))
+
+
+def column_profile(t: dict) -> DataFrame:
+    """The columns of every stored table as its files hold them - position, name, type - with the number of
+    rows, of NULLs, and whether a column declared NOT NULL holds any."""
+    parts = []
+    for name, declared in schemas.TABLE_SCHEMAS.items():
+        df = t[name]
+        nulls = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(f.name).isNull()).alias(f.name) for f in df.schema])
+        required = {f.name for f in declared.fields if not f.nullable}
+        columns = [F.struct(F.lit(i + 1).alias("posicion"), F.lit(f.name).alias("columna"), F.lit(f.dataType.simpleString()).alias("tipo"),
+                            F.col("_rows").alias("filas"), F.col(f.name).alias("nulos"),
+                            (F.lit(f.name in required) & (F.col(f.name) > 0)).alias("viola_not_null"))
+                   for i, f in enumerate(df.schema)]
+        parts.append(nulls.select(F.lit(name).alias("tabla"), F.explode(F.array(*columns)).alias("c")).select("tabla", "c.*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def reject_count(t: dict) -> DataFrame:
     """R11a."""
     return t["raw_jobs_rejected"].agg(F.count(F.lit(1)).alias("filas_con_problemas"))

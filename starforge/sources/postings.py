@@ -13,7 +13,8 @@ One posting per order (row order = o_orderkey):
 ``write_postings_csv`` then writes it as spreadsheet-style CSV text (every line
 wrapped in quotes, inner quotes doubled), one header per file, a bounded
 number of postings per file; some lines are deliberately broken (too few
-fields), some followed by whitespace-only lines, some ended by CRLF.
+fields), some followed by whitespace-only lines, some ended by CRLF or a bare CR, some with
+empty skill fields, some with a byte that is not UTF-8.
 """
 from __future__ import annotations
 
@@ -30,6 +31,9 @@ BLANK_EVERY, BLANK_AT = 13, 5        # o_orderkey % 13 = 5 -> a '   ' line follo
 CRLF_EVERY, CRLF_AT = 11, 3          # o_orderkey % 11 = 3 -> line ends with CRLF
 DQ_EVERY, DQ_AT = 19, 4              # o_orderkey % 19 = 4 -> skills list in "..." with a trailing comma
 BROKEN_FIELDS = 15
+MISSING_EVERY, MISSING_AT = 31, 8    # o_orderkey % 31 = 8 -> both skill fields are empty
+BYTE_EVERY, BYTE_AT = 37, 11         # o_orderkey % 37 = 11 -> the title ends in a byte that is no UTF-8
+BARE_EVERY, BARE_AT = 41, 17         # o_orderkey % 41 = 17 -> a bare CR and a blank line follow
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,8 +108,8 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(status != "P", F.col("o_totalprice")).alias("salary_year_avg"),
         F.when(status == "P", F.col("o_totalprice") / 1000).alias("salary_hour_avg"),
         F.when(k % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("c_name")).alias("company_name"),
-        skills_text(F.col("items"), k % DQ_EVERY == DQ_AT).alias("job_skills"),
-        type_skills_text(F.col("items")).alias("job_type_skills"),
+        F.when(k % MISSING_EVERY != MISSING_AT, skills_text(F.col("items"), k % DQ_EVERY == DQ_AT)).alias("job_skills"),
+        F.when(k % MISSING_EVERY != MISSING_AT, type_skills_text(F.col("items"))).alias("job_type_skills"),
     )
 
 
@@ -118,6 +122,9 @@ def _field_texts(p: DataFrame) -> list:
             out.append(b(name))
         elif name == "job_posted_date":
             out.append(F.date_format(name, "yyyy-MM-dd HH:mm:ss"))
+        elif name == "job_title":
+            bad_byte = F.unhex(F.lit("FF")).cast("string")
+            out.append(F.when(F.col("_row") % BYTE_EVERY == BYTE_AT, F.concat(name, bad_byte)).otherwise(F.col(name)))
         elif name == "salary_year_avg":
             out.append(F.col(name).cast("decimal(18,2)").cast("string"))
         elif name == "salary_hour_avg":
@@ -127,20 +134,21 @@ def _field_texts(p: DataFrame) -> list:
     return out
 
 
-def posting_lines(p: DataFrame) -> DataFrame:
-    """One text value per posting (may hold an extra physical line), with file bucket."""
+def posting_lines(p: DataFrame, broken: bool = False) -> DataFrame:
+    """One text value per posting (may hold an extra physical line), with file bucket; all cut short if ``broken``."""
     fields = _field_texts(p)
     k = F.col("_row")
-    line = F.when(k % BROKEN_EVERY == BROKEN_AT, excel_line(fields[:BROKEN_FIELDS])).otherwise(excel_line(fields))
+    line = F.when(F.lit(broken) | (k % BROKEN_EVERY == BROKEN_AT), excel_line(fields[:BROKEN_FIELDS])).otherwise(excel_line(fields))
+    line = F.when(k % BARE_EVERY == BARE_AT, F.concat(line, F.lit("\r  "))).otherwise(line)
     line = F.when(k % CRLF_EVERY == CRLF_AT, F.concat(line, F.lit("\r"))).otherwise(line)
     line = F.when(k % BLANK_EVERY == BLANK_AT, F.concat(line, F.lit("\n   "))).otherwise(line)
     bucket = F.lpad(F.floor(k / POSTINGS_PER_FILE).cast("string"), 8, "0")
     return p.select(bucket.alias("bucket"), k.alias("_k"), line.alias("value"))
 
 
-def write_postings_csv(p: DataFrame, path: str) -> str:
+def write_postings_csv(p: DataFrame, path: str, broken: bool = False) -> str:
     """Write postings as CSV text files under ``path`` (one header per file)."""
-    lines = posting_lines(p)
+    lines = posting_lines(p, broken)
     header = ",".join(schemas.CSV_COLUMNS)
     heads = lines.select("bucket").distinct().select(
         "bucket", F.lit(-1).cast("long").alias("_k"), F.lit(header).alias("value"))
