@@ -6,8 +6,8 @@ in the region and one of k coordinates.  Darts depend on the element alone, so t
 an element share its darts up to the smaller weight.  The earliest dart of each coordinate is the
 signature: two signatures agree in a coordinate with probability equal to the weighted Jaccard
 similarity.  Ranks are drawn in growing intervals until a text's coordinates are all filled, so
-a text costs about k log k darts however long it is.  With ``counts`` an element weighs its number
-of occurrences, otherwise 1.
+a text costs about k log k darts however long it is.  With ``counts`` (the default) an element weighs its
+number of occurrences, otherwise 1.
 
 **Classes.** Texts with the same words are one node.  Nodes that agree in all rows of a band are
 candidates.  A band's nodes are first verified against its smallest node; verified links merge
@@ -16,9 +16,15 @@ node, in blocks of bounded size, skipping pairs already in one component, each p
 band they share.  Every candidate pair is so verified or already linked through others: no
 pair is capped or sampled, and no group's pairs are listed.
 
-Verification is exact: Jaccard similarity of the shingle sets (of the multisets with ``counts``) at
-least ``threshold``.  With 32 bands of 6 rows a pair at similarity 0.8 is missed with probability
-6e-5.
+**Similarity.** A word of a text is shared if a five-word shingle around it occurs in the other text.  The similarity
+of two texts is the shared part of their words, of the text with the smaller one; a link takes ``threshold`` (0.8).
+A changed word costs five shingles but only itself, so copies with every tenth word changed still link, while the
+Jaccard similarity of their shingles is about 0.4.  The bands are laid out for that: 40 bands of 3 rows miss a pair at
+Jaccard similarity 0.4 with probability 0.07, at 0.5 with 0.005, at 0.8 with 1e-12.  Verification is exact.
+
+**Hot keys.** Texts that very many rows hold, and bands and leaders of very many nodes (more than ``HOT``), are
+joined by broadcast of these few (their number is bounded by the rows divided by ``HOT``, and checked in bytes) or
+dealt into parts, so that no task gets all rows of one.
 
 Defined results: a text of 1 to 4 words is a single shingle; a text without words (null, empty) is
 like no other; rows of one id are one document, linked by any of their texts; a null id
@@ -37,11 +43,14 @@ from pyspark.sql import functions as F
 
 from starforge.llm.common import WORD, WordHashes, hash_words, mix64, staged
 from starforge.llm.components import components
+from starforge.operators.joins import broadcast_if_small
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 32, 6
+BANDS, ROWS = 40, 3
 BLOCK = 256
+# A text, band or leader of more rows than this is hot.
+HOT = 512
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F], np.uint64)
 _MOST_CELLS = 64
@@ -135,7 +144,7 @@ def band_hashes(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mix64(out + np.arange(bands, dtype=np.uint64)).view(np.int64)
 
 
-def signature_table(docs: DataFrame, counts: bool = False, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def signature_table(docs: DataFrame, counts: bool = True, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, fp, bands): ``fp`` is a hash of the word sequence; both null without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,33 +189,50 @@ def with_texts(rows: DataFrame, node: str, nodes: DataFrame, docs: DataFrame, te
         .drop("_node", "_doc", "_hash", "_id", "_h")
 
 
-def similarity(a: tuple, b: tuple) -> float:
-    """Weighted Jaccard similarity of two (distinct elements, weights)."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    shared = np.minimum(a[1][i], b[1][j]).sum()
-    return shared / (a[1].sum() + b[1].sum() - shared)
+def shared_part(own: np.ndarray, other: np.ndarray) -> float:
+    """Share of the words behind the shingles ``own`` that lie in a shingle of ``other``."""
+    hit = np.isin(own, other)
+    if len(own) == 1:
+        return float(hit[0])
+    edges = np.zeros(len(own) + SHINGLE, np.int64)
+    np.add.at(edges, np.flatnonzero(hit), 1)
+    np.add.at(edges, np.flatnonzero(hit) + SHINGLE, -1)
+    return float((np.cumsum(edges)[:-1] > 0).mean())
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """The smaller shared part of two texts, by their shingles."""
+    return min(shared_part(a, b), shared_part(b, a))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float, counts: bool) -> DataFrame:
-    """(a, b) of ``pairs`` (a, b) whose texts reach ``threshold``.
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) of distinct ``pairs`` (a, b) whose texts reach ``threshold``.
 
     The texts of both ends are joined one after the other; the smaller node, which may be in
-    many pairs, last, so that its pairs come sorted by it.
+    many pairs, last, so that its pairs come sorted by it.  Pairs of a hot node are dealt into parts, each of which
+    gets a copy of its text.
     """
-    with_b = with_texts(pairs, "b", nodes, docs, "text_b")
-    both = with_texts(with_b, "a", nodes, docs, "text_a").select("a", "b", "text_b", "text_a")
+    sizes = staged(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HOT).cast("int").alias("parts")), "leader-sizes")
+    hot = broadcast_if_small(sizes.where("parts > 1"))
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = pairs.join(hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), parts).cast("int").alias("part"))
+    leaders = with_texts(sizes, "a", nodes, docs, "text_a").select(
+        F.col("a").alias("_a"), "text_a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("_part"))
+    with_b = with_texts(dealt, "b", nodes, docs, "text_b")
+    both = with_b.join(leaders, (F.col("a") == F.col("_a")) & (F.col("part") == F.col("_part"))) \
+        .select("a", "b", "text_b", "text_a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
-        last, last_set = None, None
+        last, last_shingles = None, None
         for batch in batches:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             keep = []
             for i, (text_b, text_a) in enumerate(zip(batch.column(2), batch.column(3))):
                 text_a = text_a.as_py()
                 if text_a != last:
-                    last, last_set = text_a, weighted(shingles(text_a, cache), counts)
-                keep.append(similarity(last_set, weighted(shingles(text_b.as_py(), cache), counts)) >= threshold)
+                    last, last_shingles = text_a, shingles(text_a, cache)
+                keep.append(similarity(last_shingles, shingles(text_b.as_py(), cache)) >= threshold)
             rows = np.flatnonzero(keep)
             yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in rows], pa.int64()),
                                               pa.array([b[i] for i in rows], pa.int64())], ["a", "b"])
@@ -214,7 +240,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: flo
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
-def block_links(rows: pd.DataFrame, threshold: float, counts: bool) -> pd.DataFrame:
+def block_links(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """Links among the nodes of one block pair, as a forest of (a, b).
 
     Compares nodes of different components that are in the block pair's two blocks, in the
@@ -224,14 +250,14 @@ def block_links(rows: pd.DataFrame, threshold: float, counts: bool) -> pd.DataFr
     cache = WordHashes()
     bands = np.stack(rows["bands"].to_numpy())
     node, label, block = (rows[c].to_numpy() for c in ("node", "label", "block"))
-    sets: dict[int, tuple] = {}
+    known: dict[int, np.ndarray] = {}
     texts = rows["text"].to_list()
     place = int(np.flatnonzero((bands == rows["band"].iloc[0]).all(axis=0))[0])
 
-    def set_of(i: int) -> tuple:
-        if i not in sets:
-            sets[i] = weighted(shingles(texts[i], cache), counts)
-        return sets[i]
+    def shingles_of(i: int) -> np.ndarray:
+        if i not in known:
+            known[i] = shingles(texts[i], cache)
+        return known[i]
 
     root = list(range(len(rows)))
     by_label: dict = {}
@@ -251,13 +277,20 @@ def block_links(rows: pd.DataFrame, threshold: float, counts: bool) -> pd.DataFr
         earlier = (bands[others, :place] == bands[i, :place]).any(axis=1) if place else np.zeros(len(others), bool)
         for j in others[~earlier]:
             r, s = find(i), find(j)
-            if r != s and similarity(set_of(i), set_of(j)) >= threshold:
+            if r != s and similarity(shingles_of(i), shingles_of(j)) >= threshold:
                 root[s] = r
                 links.append((node[i], node[j]))
     return pd.DataFrame(links, columns=["a", "b"])
 
 
-def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, counts: bool = False) -> DataFrame:
+def join_hot(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table`` (unique in ``key``); rows of the keys of ``hot`` stay where they are."""
+    hot = broadcast_if_small(hot.select(key))
+    few = broadcast_if_small(table.join(hot, key, "left_semi"))
+    return rows.join(few, key).unionByName(rows.join(hot, key, "left_anti").join(table, key, how), allowMissingColumns=True)
+
+
+def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, counts: bool = True) -> DataFrame:
     """(doc_id, class_id, kept), one row per row of ``docs`` (doc_id, text).
 
     ``class_id`` is the smallest id reachable by links, ``kept`` whether it is the row's own.
@@ -265,8 +298,9 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, counts
     table = staged(signature_table(docs, counts), "signatures")
     # a text is one node, whatever ids hold it
     nodes = staged(table.where("fp is not null and doc_id is not null").groupBy("fp")
-                   .agg(F.min(F.struct("doc_id", "text_hash")).alias("_row"), F.first("bands").alias("bands"))
-                   .select("fp", F.col("_row.doc_id").alias("doc"), F.col("_row.text_hash").alias("text_hash"), "bands",
+                   .agg(F.min(F.struct("doc_id", "text_hash")).alias("_row"), F.first("bands").alias("bands"),
+                        F.count(F.lit(1)).alias("rows"))
+                   .select("fp", F.col("_row.doc_id").alias("doc"), F.col("_row.text_hash").alias("text_hash"), "bands", "rows",
                            F.monotonically_increasing_id().alias("node")), "nodes")
     # ids whose rows have several texts, or texts with and without words, and links among their nodes
     several = staged(table.where("doc_id is not null").groupBy("doc_id")
@@ -277,10 +311,11 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, counts
     ties = held.join(held.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id") \
         .where("node != a").select("a", F.col("node").alias("b"))
     entries = nodes.select("node", F.explode("bands").alias("band"))
-    crowded = entries.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = staged(entries.join(crowded, "band"), "band-members")
-    pairs = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = staged(verified(pairs, nodes, docs, threshold, counts).union(ties), "leader-links")
+    crowded = staged(entries.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1"),
+                     "crowded-bands")
+    members = staged(join_hot(entries, crowded, "band", crowded.where(F.col("n") > HOT)), "band-members")
+    pairs = staged(members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    links = staged(verified(pairs, nodes, docs, threshold).union(ties), "leader-links")
     roots = components(links, "a", "b")
 
     # bands that still hold several components
@@ -297,7 +332,7 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, counts
             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))) \
             .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
         more = spread.groupBy("band", "lo", "hi").applyInPandas(
-            lambda rows: block_links(rows, threshold, counts), "a long, b long")
+            lambda rows: block_links(rows, threshold), "a long, b long")
         links = staged(links.union(more), "all-links")
         roots = components(links, "a", "b")
 
@@ -309,7 +344,10 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, counts
     # rows without words of ids that have others
     own = held.join(nodes.select("node", "doc"), "node").join(merged, "node", "left") \
         .groupBy("doc_id").agg(F.min(F.coalesce("least", "doc")).alias("own"))
-    joined = table.select("doc_id", "fp").join(classes, "fp", "left").join(own, "doc_id", "left") \
+    texts = join_hot(table.where("fp is not null").select("doc_id", "fp"), staged(classes, "classes"), "fp",
+                     nodes.where(F.col("rows") > HOT), "left")
+    without = table.where("fp is null").select("doc_id", "fp").withColumn("class_id", F.lit(None).cast("long"))
+    joined = texts.unionByName(without).join(broadcast_if_small(staged(own, "own-classes")), "doc_id", "left") \
         .withColumn("class_id", F.coalesce("class_id", "own", "doc_id"))
     return joined.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id")) \
         .withColumn("kept", F.col("doc_id").isNull() | (F.col("doc_id") == F.col("class_id")))

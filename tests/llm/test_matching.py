@@ -51,13 +51,73 @@ def test_signatures_estimate_weighted_jaccard(n):
     assert abs((s[0] == s[1]).mean() - true) < 4.5 * (max(true * (1 - true), 0.01) / k) ** 0.5
 
 
-def brute_classes(docs, threshold, counts):
-    cache = dedup.WordHashes()
-    rows = [r for r in docs.collect() if r["doc_id"] is not None]
-    sets = [(r["doc_id"], dedup.weighted(dedup.shingles(r["text"], cache), counts)) for r in rows]
-    links = [(a, b) for i, (a, x) in enumerate(sets) for b, y in sets[:i]
-             if a != b and len(x[0]) and len(y[0]) and dedup.similarity(x, y) >= threshold]
-    return union_find({a for a, _ in sets}, links)
+def shared_words(a, b):
+    """Share of the words of ``a`` in a five-word run that ``b`` has too; texts of under five words are one run."""
+    runs = {tuple(b[j:j + 5]) for j in range(max(len(b) - 4, 1))}
+    if len(a) < 5:
+        return float(tuple(a) in runs)
+    covered = set()
+    for j in range(len(a) - 4):
+        if tuple(a[j:j + 5]) in runs:
+            covered.update(range(j, j + 5))
+    return len(covered) / len(a)
+
+
+def alike(a, b, threshold=0.8):
+    a, b = (dedup.WORD.findall((t or "").lower()) for t in (a, b))
+    return bool(a and b) and min(shared_words(a, b), shared_words(b, a)) >= threshold
+
+
+def brute_classes(rows, threshold=0.8):
+    rows = [(i, t) for i, t in rows if i is not None]
+    links = [(a, b) for k, (a, x) in enumerate(rows) for b, y in rows[:k] if a != b and (x == y and x or alike(x, y, threshold))]
+    links = [(a, b) for a, b in links if any(dedup.WORD.search(t or "") for i, t in rows if i == a)]
+    return union_find({a for a, _ in rows}, links)
+
+
+def test_similarity_as_counted_by_words():
+    rng = random.Random(2)
+    for _ in range(300):
+        a = [rng.choice("abc") for _ in range(rng.randint(1, 30))]
+        b = list(a) if rng.random() < 0.8 else [rng.choice("abc") for _ in range(rng.randint(1, 30))]
+        for _ in range(rng.randint(0, 3)):
+            b[rng.randrange(len(b))] = rng.choice("xyz")
+        x, y = (dedup.shingles(" ".join(t), dedup.WordHashes()) for t in (a, b))
+        assert dedup.similarity(x, y) == pytest.approx(min(shared_words(a, b), shared_words(b, a)))
+
+
+def test_recall_of_copies_with_changed_words(spark):
+    """Copies with 2, 5 and 8 % of their words changed are found, texts that share a third of their words are not."""
+    rng = random.Random(4)
+    rows, pairs = [], []
+    for i in range(150):
+        words = sentence(rng, "en", rng.randint(60, 400)).split()
+        copy = [f"new{rng.randrange(10 ** 6)}" if rng.random() < (0.02, 0.05, 0.08)[i % 3] else w for w in words]
+        third = words[:len(words) // 3] + sentence(rng, "de", len(words)).split()
+        rows += [(3 * i, " ".join(words)), (3 * i + 1, " ".join(copy)), (3 * i + 2, " ".join(third))]
+        pairs.append((3 * i, 3 * i + 1))
+    got = {r["doc_id"]: r["class_id"] for r in dedup.near_duplicate_classes(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    texts = dict(rows)
+    near = [(a, b) for a, b in pairs if alike(texts[a], texts[b])]
+    assert len(near) > 130 and sum(got[a] == got[b] for a, b in near) / len(near) >= 0.98
+    assert all(got[3 * i + 2] == 3 * i + 2 for i in range(150))
+
+
+def test_hot_texts_bands_and_leaders_are_dealt_out(spark, monkeypatch):
+    """With a low limit for hot keys the classes are the same, whatever rows share a text, a band or a leader."""
+    rng = random.Random(6)
+    base = sentence(rng, "en", 80).split()
+    rows = [(i, " ".join(base)) for i in range(30)] + [(i, None if i % 2 else "?!") for i in range(30, 60)]
+    for i in range(60, 90):
+        copy = list(base)
+        copy[i - 55] = f"w{i}"
+        rows.append((i, " ".join(copy)))
+    rows += [(90 + i, sentence(rng, "fr", 40)) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(dedup, "HOT", 3)
+    got = {r["doc_id"]: r["class_id"] for r in dedup.near_duplicate_classes(docs).collect()}
+    assert got == brute_classes(rows)
 
 
 @pytest.mark.parametrize("counts", [False, True])
@@ -65,7 +125,7 @@ def test_classes_equal_brute_force(corpus, odd_documents, counts):
     for docs in (corpus[0].select("doc_id", "text"), odd_documents):
         rows = dedup.near_duplicate_classes(docs, counts=counts).collect()
         assert len(rows) == docs.count()
-        want = brute_classes(docs, 0.8, counts)
+        want = brute_classes([(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()])
         for r in rows:
             if r["doc_id"] is None:
                 assert r["class_id"] is None and r["kept"]
@@ -77,16 +137,16 @@ def test_bands_with_several_components_are_compared_whole(spark, monkeypatch):
     """Copies that are near their original only: the smallest id is not the one they link to."""
     monkeypatch.setattr(dedup, "BLOCK", 4)
     rng = random.Random(9)
-    words = sentence(rng, "en", 60).split()
+    words = sentence(rng, "en", 200).split()
     rows = []
     for i in range(24):
         copy = list(words)
-        for j in (2 * i, 2 * i + 1):      # two words changed: near the original, not near each other
-            copy[(j * 5) % 60] = f"changed{i}"
+        for j in range(7 * i, 7 * i + 24):      # near the original, most not near each other
+            copy[j] = f"changed{i}x{j}"
         rows.append((i, " ".join(copy)))
     rows.append((99, " ".join(words)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    want = brute_classes(docs, 0.8, False)
+    want = brute_classes(rows)
     got = {r["doc_id"]: r["class_id"] for r in dedup.near_duplicate_classes(docs).collect()}
     assert got == want
 
@@ -94,20 +154,17 @@ def test_bands_with_several_components_are_compared_whole(spark, monkeypatch):
 def test_ids_with_several_texts_are_one_document(spark):
     """An id with two texts in a band of several components, and ids linked by one of their texts only."""
     rng = random.Random(9)
-    words, other = sentence(rng, "en", 60).split(), sentence(rng, "de", 60).split()
+    words, other = sentence(rng, "en", 200).split(), sentence(rng, "de", 60).split()
     rows = []
     for i in range(12):
         copy = list(words)
-        for j in (2 * i, 2 * i + 1):
-            copy[(j * 5) % 60] = f"changed{i}"
+        for j in range(14 * i, 14 * i + 24):
+            copy[j] = f"changed{i}x{j}"
         rows.append((i, " ".join(copy)))
     rows += [(5, " ".join(other)), (0, sentence(rng, "fr", 60)), (0, "")]
     rows += [(50, " ".join(other)), (40, " ".join(["new", *other])), (40, sentence(rng, "fr", 50)), (40, None)]
     docs = spark.createDataFrame(rows + rows[:3] * 3, "doc_id long, text string")
-    cache = dedup.WordHashes()
-    sets = [(i, dedup.weighted(dedup.shingles(t, cache), False)) for i, t in rows if t]
-    links = [(a, b) for k, (a, x) in enumerate(sets) for b, y in sets[:k] if a != b and dedup.similarity(x, y) >= 0.8]
-    want = union_find([i for i, _ in rows], links)
+    want = brute_classes(rows)
     got = dedup.near_duplicate_classes(docs).collect()
     assert len(got) == docs.count()
     assert {(r["doc_id"], r["class_id"], r["kept"]) for r in got} == {(i, c, i == c) for i, c in want.items()}
