@@ -5,11 +5,16 @@ and tags that belong to links (a menu has few characters per tag, nearly all lin
 The sum of its children's densities says how much text a node gathers; the node with the
 largest sum in the body is the article's container.  The smallest density on the path from
 the body to that node is the threshold: every other subtree at or above it adds its own
-largest-sum node.  A container inside an ``article`` or ``main`` element is widened to it.
+largest-sum node.  A container inside ``main`` is widened to the outermost one, so that a heading or
+further articles beside it stay; one inside ``article`` is widened to that, and other articles are added if they
+reach the threshold.
 
 Before that, subtrees that are no article text by their element, role or class name (menus,
 headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles) are cut,
-unless they hold the page's article (or, without one, its main heading) themselves.
+unless they hold the page's article (or, without one, its main heading) themselves.  Inside an ``article`` or
+``main`` a class name that only contains such a word beside others (``related-work``) decides nothing: the block
+goes if its density is under a quarter of the threshold or half of it is linked.  Lists of links inside them stay, too, unless they are
+side matter by name.
 
 Text: character references decoded, white space inside a block turned into one space, blocks
 trimmed and joined by one newline in page order; ``br`` counts as white space.
@@ -47,7 +52,15 @@ SIDE_NAMES = frozenset("ad ads adv advert advertisement advertisements advertisi
                        "share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription "
                        "tagcloud toolbar topbar trending".split())
 # Names that say so only when they are a whole class name.
-SIDE_WHOLE = frozenset("hidden invisible print tags widget widgets".split())
+SIDE_WHOLE = frozenset("hidden invisible tags widget widgets".split())
+# Words that say nothing beside a name: ``ad-box`` is an advert.
+PLAIN_WORDS = frozenset("area bar block body bottom box btn button buttons container content bottom group inner item items js left link "
+                        "links list main module outer page panel post right row section site slot text title top wrap "
+                        "wrapper".split())
+# Class names that density confirms.
+DOUBTFUL_WHOLE = frozenset({"print"})
+# A doubtful block is prose from this share of the threshold on (small blocks have lower densities).
+DOUBTFUL_SHARE = 0.25
 # An open element of the first kind ends when one of the second starts.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}}
@@ -58,18 +71,23 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "attrs", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "doubtful")
 
     def __init__(self, tag: str, attrs: dict, parent):
-        self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
+        self.tag, self.attrs, self.parent, self.children, self.doubtful = tag, attrs, parent, [], False
 
 
 class Dom(HTMLParser):
-    """A lenient tree of elements and texts, with the implied ends that matter for text."""
+    """A lenient tree of elements and texts, with the implied ends that matter for text.
+
+    The depths of the open elements of each name are kept, so that asking for one costs no walk.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", {}, None)
+        self.depth = 0
+        self.depths: dict[str, list[int]] = {}
 
     def handle_starttag(self, tag, attrs):
         if tag == "html" or tag == "body" and self._open("body"):
@@ -85,6 +103,8 @@ class Dom(HTMLParser):
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
+            self.depth += 1
+            self.depths.setdefault(tag, []).append(self.depth)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -97,18 +117,16 @@ class Dom(HTMLParser):
         self.at.children.append(data)
 
     def _open(self, tag, stop=frozenset()):
-        node = self.at
-        while node is not None and node.tag != tag:
-            if node.tag in stop:
-                return False
-            node = node.parent
-        return node is not None
+        """Whether an element of this name is open, with none of ``stop`` opened in it."""
+        own = self.depths.get(tag)
+        return bool(own) and all(not self.depths.get(name) or self.depths[name][-1] <= own[-1] for name in stop)
 
     def _end(self, tag):
-        node = self.at
-        while node.tag != tag:
-            node = node.parent
-        self.at = node.parent or node
+        last = self.depths[tag][-1]
+        while self.depth >= last:
+            self.depths[self.at.tag].pop()
+            self.at = self.at.parent
+            self.depth -= 1
 
 
 def elements(root: Node) -> list[Node]:
@@ -144,7 +162,21 @@ def is_side(node: Node) -> bool:
     names = {w.lower() for w in _NAME.findall(classes)} & SIDE_NAMES
     if names == {"header"} and inside(node.parent, ("article", "main")):
         return False
-    return bool(names or SIDE_WHOLE & set(classes.lower().split()))
+    return bool(names or (SIDE_WHOLE | DOUBTFUL_WHOLE) & set(classes.lower().split()))
+
+
+def is_doubtful(node: Node) -> bool:
+    """Whether only a part of a class name, beside words of content, says that a node is side matter."""
+    if node.tag in SIDE or "header" == node.tag or SIDE_ROLES & set(node.attrs.get("role", "").lower().split()):
+        return False
+    a = node.attrs
+    if "hidden" in a or a.get("aria-hidden") == "true" or _HIDDEN.search(a.get("style", "")):
+        return False
+    for name in (a.get("class", "") + " " + a.get("id", "")).split():
+        words = {w.lower() for w in _NAME.findall(name)}
+        if name.lower() in SIDE_WHOLE or words & SIDE_NAMES and not words - SIDE_NAMES - PLAIN_WORDS:
+            return False
+    return True
 
 
 def anchors(nodes: list[Node], side: set[int]) -> list[Node]:
@@ -170,6 +202,10 @@ def prune(root: Node) -> None:
         while up is not None and id(up) not in holds:
             holds.add(id(up))
             up = up.parent
+    within: set[int] = set()       # nodes in an article or main element
+    for n in nodes:
+        if n.parent is not None and (n.parent.tag in ("article", "main") or id(n.parent) in within):
+            within.add(id(n))
     stack = [(root, False)]
     while stack:
         node, in_comments = stack.pop()
@@ -177,8 +213,12 @@ def prune(root: Node) -> None:
         for c in node.children:
             if isinstance(c, Node):
                 comments = in_comments or "comment" in (c.attrs.get("class", "") + c.attrs.get("id", "")).lower()
-                if c.tag in NEVER_TEXT or (id(c) in side or c.tag == "form") and (id(c) not in holds or comments):
+                if c.tag in NEVER_TEXT or c.tag == "form" and (id(c) not in holds or comments):
                     continue
+                if id(c) in side and (id(c) not in holds or comments):
+                    if not (id(c) in within and is_doubtful(c)):
+                        continue
+                    c.doubtful = True
                 stack.append((c, comments))
             kept.append(c)
         node.children = kept
@@ -223,8 +263,8 @@ def is_link_list(n: Node) -> bool:
     return n.tag in ("ul", "ol", "div", "section", "table", "dl") and n.link_tags >= 3 and n.link_chars >= 0.9 * n.chars
 
 
-def containers(body: Node, nodes: list[Node]) -> set[int]:
-    """Ids of the nodes whose whole text is article text."""
+def containers(body: Node, nodes: list[Node]) -> tuple[set[int], float]:
+    """Ids of the nodes whose whole text is article text, and the density threshold."""
     best = max(nodes, key=lambda n: n.total)
     if not best.total:
         best = body
@@ -233,26 +273,28 @@ def containers(body: Node, nodes: list[Node]) -> set[int]:
         path.append(node.density)
         node = node.parent
     threshold = min([*path, body.density])
-    chosen, up = best, best
-    while up is not None:
-        if up.tag in ("article", "main"):
-            chosen = up
-            break
-        up = up.parent
+    around = [best, *_ancestors(best)]
+    chosen = next((n for tag in ("main", "article") for n in reversed(around) if n.tag == tag), best)
     marked = {id(chosen)}
-    if chosen.tag not in ("article", "main"):
-        # other dense subtrees beside the container
+    if chosen.tag != "main":
+        # other dense subtrees beside the container; beside an article only articles
+        holding = {id(n) for n in _ancestors(chosen)}
         stack = [c for c in body.children if isinstance(c, Node)]
         while stack:
             n = stack.pop()
             if id(n) in marked:
                 continue
-            around = any(x is n for x in _ancestors(chosen))
-            if not around and n.density >= threshold > 0:
-                marked.add(id(max(elements(n), key=lambda x: x.total) if n.total else n))
-            elif around:
+            if id(n) in holding:
                 stack.extend(c for c in n.children if isinstance(c, Node))
-    return marked
+            elif chosen.tag == "article":
+                if n.tag == "article":
+                    if n.density >= threshold > 0:
+                        marked.add(id(n))
+                else:
+                    stack.extend(c for c in n.children if isinstance(c, Node))
+            elif n.density >= threshold > 0:
+                marked.add(id(max(elements(n), key=lambda x: x.total) if n.total else n))
+    return marked, threshold
 
 
 def _ancestors(node: Node) -> Iterator[Node]:
@@ -261,7 +303,15 @@ def _ancestors(node: Node) -> Iterator[Node]:
         yield node
 
 
-def block_text(body: Node, marked: set[int]) -> str:
+def is_cut(node: Node, marked: set[int], threshold: float, by_density: bool) -> bool:
+    """Whether a block of the chosen text goes after all: doubtful ones by density and links, lists of links only from
+    a container that density alone has chosen."""
+    if node.doubtful and (node.density < DOUBTFUL_SHARE * threshold or node.link_chars >= 0.5 * node.chars):
+        return True
+    return by_density and is_link_list(node) and id(node) not in marked
+
+
+def block_text(body: Node, marked: set[int], threshold: float) -> str:
     """Texts under marked nodes, one line a block."""
     lines, words = [], []
 
@@ -271,9 +321,10 @@ def block_text(body: Node, marked: set[int]) -> str:
             lines.append(line)
         words.clear()
 
-    stack: list = [(body, id(body) in marked)]
+    # an element, whether its text counts, and whether no article or main element is around it
+    stack: list = [(body, id(body) in marked, True)]
     while stack:
-        item, on = stack.pop()
+        item, on, bare = stack.pop()
         if item is None:
             flush()
         elif isinstance(item, str):
@@ -283,12 +334,13 @@ def block_text(body: Node, marked: set[int]) -> str:
             words.append(" ")
         else:
             on = on or id(item) in marked
-            if on and is_link_list(item) and id(item) not in marked:
+            bare = bare and item.tag not in ("article", "main")
+            if on and is_cut(item, marked, threshold, bare):
                 continue
             if item.tag in BLOCK:
                 flush()
-                stack.append((None, on))
-            stack.extend((c, on) for c in reversed(item.children))
+                stack.append((None, on, bare))
+            stack.extend((c, on, bare) for c in reversed(item.children))
     flush()
     return "\n".join(lines)
 
@@ -304,7 +356,7 @@ def main_text(html: str | None) -> str:
     body = next((n for n in dom.root.children if isinstance(n, Node) and n.tag == "body"), dom.root)
     nodes = elements(body)
     measure(nodes, body)
-    return block_text(body, containers(body, nodes))
+    return block_text(body, *containers(body, nodes))
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
