@@ -42,7 +42,10 @@ SEGMENT = 128
 WINDOW = 64
 STRIDE = 16
 RATE = 0.08
-BLOCK_CHARS = 20_000_000
+# About 29 bytes a character in every Python worker: some 120 MB a block.
+BLOCK_CHARS = 4_000_000
+# Pairs of equal q-grams (a place in the text, one in the items) that are listed at a time.
+PAIRS = 2_000_000
 SLICE = 1_000_000
 BATCH = 400_000
 _BASE = 0x100000001B3
@@ -148,20 +151,23 @@ class Index:
         """Characters of each segment."""
         return [self.flat[b:b + n] for b, n in zip(self.begin, self.sizes)]
 
-    def shared(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place in ``points``, place in the items) of shared q-grams where an item has enough for a match."""
-        none = np.empty(0, np.int64), np.empty(0, np.int64)
+    def hits(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in ``points``, q-gram, number of its places in the items) of shared q-grams."""
         if not len(self.grams) or len(points) < Q:
-            return none
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
         h = gram_hashes(points)
         at = np.flatnonzero(self.seen[(h >> np.uint64(64 - _BITS)).astype(np.int64)])
         k = np.searchsorted(self.grams, h[at])
         k[k == len(self.grams)] = 0
         hit = self.grams[k] == h[at]
         at, k = at[hit], k[hit]
-        n = self.first[k + 1] - self.first[k]
+        return at, k, self.first[k + 1] - self.first[k]
+
+    def shared(self, points: np.ndarray, hits: tuple) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``points``, place in the items) of shared q-grams where an item has enough for a match."""
+        at, k, n = hits
         if not len(at):
-            return none
+            return np.empty(0, np.int64), np.empty(0, np.int64)
         entry = np.repeat(self.first[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         at, place = np.repeat(at, n), self.place[entry]
         owner = np.searchsorted(self.bounds, place, "right") - 1
@@ -177,9 +183,9 @@ class Index:
         keep = (both >= self.item_need[key // span])[row]
         return at[keep], place[keep]
 
-    def bands(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def bands(self, points: np.ndarray, hits: tuple) -> tuple[np.ndarray, np.ndarray]:
         """(segment, band) of every diagonal band that holds enough shared q-grams."""
-        at, place = self.shared(points)
+        at, place = self.shared(points, hits)
         segments, bands = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         span = len(points) + 2 * SEGMENT + 2
         for family in self.families:
@@ -197,8 +203,24 @@ class Index:
         return np.concatenate(segments), np.concatenate(bands)
 
     def regions(self, points: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(segment, start, length, edits) of verified matches in ``points``."""
-        seg, band = self.bands(points)
+        """(segment, start, length, edits) of verified matches in ``points``.
+
+        A text that shares very many q-grams with the items (repeated phrases on both sides) is searched in halves
+        that overlap by more than a match, so memory stays bounded; a match in the overlap comes twice.
+        """
+        parts = [(0, points)]
+        while parts:
+            first, part = parts.pop()
+            hits = self.hits(part)
+            if hits[2].sum() > PAIRS and len(part) > 8 * SEGMENT:
+                half = len(part) // 2
+                parts += [(first + half, part[half:]), (first, part[:half + 2 * SEGMENT])]
+                continue
+            for seg, start, length, edits in self.regions_of(part, hits):
+                yield seg, first + start, length, edits
+
+    def regions_of(self, points: np.ndarray, hits: tuple) -> Iterator[tuple[int, int, int, int]]:
+        seg, band = self.bands(points, hits)
         sizes = self.sizes[seg]
         for n in np.unique(sizes):   # equally long segments allow equally many edits
             rows = np.flatnonzero(sizes == n)
