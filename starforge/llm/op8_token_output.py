@@ -7,7 +7,8 @@ than a row are cut into full rows and a rest, and nothing is dropped, so the ids
 be put together again from its segments.
 
 A task works on buffers of ``buffer_tokens`` tokens; rows that are not full stay open for the
-next buffer, so memory is bounded and only the last rows of a task stay partly empty.
+next buffer.  Past ``open_rows`` of them the fullest are passed on, which are the least likely to take another
+piece; so a task holds one buffer and at most that many rows.
 Nothing is shuffled: a lost task is computed again from its input split, with the same rows
 and ids.
 
@@ -79,7 +80,7 @@ def pack_rows(pieces: list[tuple], capacity: int, tree: CapacityTree) -> Iterato
 
 
 def packed_rows(docs: DataFrame, rank_file: str, pattern: str, capacity: int = 2048, end_id: int = 50256,
-                buffer_tokens: int = 2_000_000) -> DataFrame:
+                buffer_tokens: int = 2_000_000, open_rows: int = 2048) -> DataFrame:
     """Matrix rows of ``docs`` (doc_id, text): one row of at most ``capacity`` ids each.
 
     ``input_ids`` are ``<u2`` ids, ``cu_seqlens`` the cumulative segment lengths from 0,
@@ -124,6 +125,7 @@ def packed_rows(docs: DataFrame, rank_file: str, pattern: str, capacity: int = 2
                 held += len(ids)
                 if held >= buffer_tokens:
                     done.extend(pack_rows(pieces, capacity, tree))
+                    done.extend(tree.pop_best(1)[1] for _ in range(tree.count[1] - open_rows))
                     pieces, held = [], 0
                     yield from drain(256)
         done.extend(pack_rows(pieces, capacity, tree))
