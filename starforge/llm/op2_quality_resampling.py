@@ -6,12 +6,12 @@ texts, give every text the log of its importance: the log-likelihood ratio of it
 Texts are then sampled without replacement by the Gumbel top-k trick: log-importance
 plus Gumbel noise drawn from a hash of the id, the ``keep_share`` largest keys are kept.
 
-The mean ratio per n-gram is counted as that of ``SAMPLE_NGRAMS`` n-grams, so that a text
-neither wins nor loses by its length.
+The ratio is that of the whole text (``weigh='sum'``).  With ``weigh='mean'`` a text counts as if it had
+``SAMPLE_NGRAMS`` n-grams of its mean ratio, so that length neither helps nor hurts; that is another
+distribution than the resampled one.
 
-The raw model counts every n-gram of every text; the target model those of labelled rows, at
-most ``max_rows`` of them (by a hash of the id).  The k of top-k is a share of all rows; ranks
-come from a distributed sort of (id, key).
+The raw model counts every n-gram of every text, the target model every n-gram of every labelled target
+row.  The k of top-k is a share of all rows; ranks come from a distributed sort of (id, key).
 
 Defined results: a text without n-grams (null, empty, white space) has no importance: its
 log_weight is null, its score 0, and it ranks last; without target rows all ratios are 0; repeated
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starforge.llm.common import WordHashes, hash_words, id_remainder, mix64, staged, with_global_index
+from starforge.operators.joins import broadcast_if_small
 
 BUCKETS = 1 << 14
 SAMPLE_NGRAMS = 100
@@ -82,7 +83,7 @@ def log_ratios(target: np.ndarray, raw: np.ndarray, prior: float = 1.0) -> np.nd
     return np.log(p_target / p_raw)
 
 
-def importance(docs: DataFrame, ratios: np.ndarray, columns: list[str]) -> DataFrame:
+def importance(docs: DataFrame, ratios: np.ndarray, columns: list[str], weigh: str = "sum") -> DataFrame:
     """``columns`` of every row of ``docs`` with ``log_weight`` (null without n-grams)."""
     schema = docs.select(*columns).schema.add("log_weight", "double")
 
@@ -92,28 +93,26 @@ def importance(docs: DataFrame, ratios: np.ndarray, columns: list[str]) -> DataF
             out = []
             for text in batch.column(len(columns)).to_pylist():
                 b = buckets_of(text, cache)
-                out.append(float(ratios[b].mean()) * SAMPLE_NGRAMS if len(b) else None)
+                scale = 1.0 if weigh == "sum" else SAMPLE_NGRAMS / max(len(b), 1)
+                out.append(float(ratios[b].sum()) * scale if len(b) else None)
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(columns)], pa.array(out, pa.float64())],
                                              [f.name for f in schema])
 
     return docs.select(*columns, F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
 
 
-def resample(docs: DataFrame, target_ids: DataFrame, keep_share: float, max_rows: int = 12_000,
-             seed: int = 23) -> DataFrame:
+def resample(docs: DataFrame, target_ids: DataFrame, keep_share: float, weigh: str = "sum", seed: int = 23) -> DataFrame:
     """(doc_id, log_weight, score, key, selected) for every row of ``docs`` (doc_id, text).
 
     ``target_ids`` (doc_id) names rows of the target corpus.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     target = target_ids.select(F.col("doc_id").cast("long").alias("_id")).where("_id is not null").distinct()
-    n = target.count()
-    u = F.pmod(F.xxhash64(F.lit(seed), "_id"), F.lit(1_000_000)) / 1_000_000
-    chosen = F.broadcast(target.where(u < min(1.0, max_rows / max(n, 1))))  # about max_rows ids at most
-    ratios = log_ratios(bucket_counts(docs.join(chosen, docs["doc_id"] == F.col("_id"), "left_semi")),
+    target = broadcast_if_small(staged(target, "target-ids"))
+    ratios = log_ratios(bucket_counts(docs.join(target, docs["doc_id"] == F.col("_id"), "left_semi")),
                         bucket_counts(docs))
     uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 11) + 0.5) / F.lit(2.0 ** 53)
-    keyed = staged(importance(docs, ratios, ["doc_id"])
+    keyed = staged(importance(docs, ratios, ["doc_id"], weigh)
                    .withColumn("key", F.col("log_weight") - F.log(-F.log(uniform))), "quality-keys")
     k = round(keep_share * keyed.count())
     ranked = with_global_index(keyed.withColumn("_last", -F.coalesce(F.col("key"), F.lit(float("-inf")))),
@@ -123,7 +122,7 @@ def resample(docs: DataFrame, target_ids: DataFrame, keep_share: float, max_rows
 
 
 def resample_labelled(docs: DataFrame, labels: DataFrame, margin: float = 0.02, held_out: int = 0,
-                      modulus: int = 5) -> DataFrame:
+                      modulus: int = 5, weigh: str = "sum") -> DataFrame:
     """Target: rows labelled good quality outside the held-out fold.
 
     The kept share is the share of good rows among those labels plus ``margin``, so that noise
@@ -132,5 +131,5 @@ def resample_labelled(docs: DataFrame, labels: DataFrame, margin: float = 0.02,
     known = labels.where((id_remainder(F.col("doc_id"), modulus) != held_out) & F.col("quality").isin(0, 1))
     share = known.agg(F.avg("quality")).first()[0]
     keep = 1.0 if share is None else min(1.0, share + margin)
-    return resample(docs, known.where("quality = 1"), keep) \
+    return resample(docs, known.where("quality = 1"), keep, weigh) \
         .withColumn("held_out", id_remainder(F.col("doc_id"), modulus) == held_out)

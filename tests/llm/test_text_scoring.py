@@ -200,7 +200,7 @@ def test_quality_prefers_the_target(spark):
     ratios = quality.log_ratios(target, raw)
     for r in rows[:20]:
         b = quality.buckets_of(dict(docs)[r["doc_id"]], cache)
-        assert r["log_weight"] == pytest.approx(ratios[b].mean() * quality.SAMPLE_NGRAMS)
+        assert r["log_weight"] == pytest.approx(ratios[b].sum())
 
 
 def test_quality_odd_input(spark, odd_documents, no_documents):

@@ -180,7 +180,7 @@ def misspelled_docs():
 def test_variants_equal_brute_force(spark, misspelled_docs, monkeypatch, every, ratio, hot):
     monkeypatch.setattr(op12, "HOT", hot)      # with 3, shared reduced words are dealt into parts
     docs = spark.createDataFrame(misspelled_docs, "doc_id long, text string").repartition(5)
-    got = got_variants(op12.group_variants(docs, every=every, ratio=ratio, symbols=2 if hot == 3 else op12.SYMBOLS))
+    got = got_variants(op12.group_variants(docs, every=every, ratio=ratio, symbols=2 if hot == 3 else None))
     assert got == variants_by_brute_force(misspelled_docs, every=every, ratio=ratio)
     assert sum(v[0] is not None for v in got.values()) >= 10
 
@@ -204,6 +204,10 @@ def test_neighbourhood_holds_every_edit(word, symbols, data):
         assert int(op12.reduced_keys(codes(other), symbols)[0]) in keys
 
 
+def test_symbols_grow_with_the_vocabulary():
+    assert [op12.symbols_for(n, 6) for n in (0, 4096, 4097, 500_000, 7_000_000)] == [4, 4, 5, 9, 14]
+
+
 def test_variants_odd_input(odd_documents, no_documents):
     rows = [(r["doc_id"], r["text"]) for r in odd_documents.select("doc_id", "text").collect()]
     assert got_variants(op12.group_variants(odd_documents, min_count=1)) == variants_by_brute_force(rows, min_count=1)
