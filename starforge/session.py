@@ -2,9 +2,11 @@
 from __future__ import annotations
 
 import contextlib
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -58,6 +60,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/starforge/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session's application, once.
+
+    Workers import its modules by name; without this they find them only where the package is installed or
+    on their path.  The archive is written to the shared scratch folder, from which Spark hands it out.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, files in os.walk(root):
+            for name in sorted(f for f in files if f.endswith(".py")):
+                path = os.path.join(folder, name)
+                archive.write(path, os.path.join("starforge", os.path.relpath(path, root)))
+    fs, target = hadoop_fs(spark, f"{scratch_path(spark, 'package')}/starforge.zip")
+    stream = fs.create(target, False)
+    stream.write(bytearray(buffer.getvalue()))
+    stream.close()
+    spark.sparkContext.addPyFile(str(fs.makeQualified(target).toString()))
+    _SHIPPED.add(app)
+
+
 @contextlib.contextmanager
 def conf_override(spark: SparkSession, values: dict[str, str]):
     """Temporarily set session confs (restored afterwards)."""
