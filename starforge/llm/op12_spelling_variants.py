@@ -3,8 +3,10 @@
 **Words.** Maximal runs of letters of all texts are counted; the counting is a hash aggregation
 with partial sums, so a frequent word costs no task more than one row of each other.
 
-**Near pairs.** Letters are hashed to ``symbols`` symbols, which shortens the alphabet and keeps edits: two
-words at one edit have reduced words that are equal or at one edit.  Every word generates the
+**Near pairs.** Letters are hashed to a few symbols, which shortens the alphabet and keeps edits: two
+words at one edit have reduced words that are equal or at one edit.  The number of symbols is the root of the
+vocabulary's size of the order of the shortest word (``symbols_for``), so that there are at least as many reduced words as
+words and a neighbour meets few words however large the vocabulary; the result does not depend on it.  Every word generates the
 full one-edit neighbourhood of its reduced word (itself, deletions, replacements, insertions), as
 64-bit polynomial hashes that an edit changes in constant time.  The neighbourhoods are joined with
 the reduced words of the whole vocabulary, and each match is verified on the original strings.  A
@@ -34,7 +36,7 @@ from starforge.operators.joins import broadcast_if_small
 
 LETTERS = "A-Za-zÀ-ÿ"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SYMBOLS = 6
+LEAST_SYMBOLS = 4
 # Words of one reduced word in one part of the join.
 HOT = 1024
 # Numbers of a batch of neighbourhoods.
@@ -73,6 +75,14 @@ def symbols_of(codes: np.ndarray, symbols: int) -> np.ndarray:
     return mix64(codes.astype(np.uint64)) % np.uint64(symbols) + np.uint64(1)
 
 
+def symbols_for(words: int, min_length: int) -> int:
+    """Symbols with which the reduced words of the least length are as many as ``words``."""
+    symbols = LEAST_SYMBOLS
+    while symbols ** min_length < words:
+        symbols += 1
+    return symbols
+
+
 def _powers(n: int) -> np.ndarray:
     out = np.full(n, _BASE, np.uint64)
     out[0] = 1
@@ -120,7 +130,7 @@ def _by_length(words: list[str], cells: int) -> Iterator[tuple[pa.Array, np.ndar
             yield pa.array(rows, pa.int64()), codes.reshape(len(rows), length)
 
 
-def with_reduced_key(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
+def with_reduced_key(words: DataFrame, symbols: int) -> DataFrame:
     """(id, word, n, key) of the vocabulary ``words`` (id, word, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +142,7 @@ def with_reduced_key(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     return words.select("id", "word", "n").mapInArrow(run, "id long, word string, n long, key long")
 
 
-def with_neighbours(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
+def with_neighbours(words: DataFrame, symbols: int) -> DataFrame:
     """(id, key) of the neighbourhoods of ``words`` (id, word), every key once a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +158,7 @@ def with_neighbours(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     return words.select("id", "word").mapInArrow(run, "id long, key long")
 
 
-def near_pairs(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
+def near_pairs(words: DataFrame, symbols: int) -> DataFrame:
     """(id, near, near_n): the words at exactly one edit from each of ``words`` (id, word, n), from both sides."""
     vocabulary = staged(with_reduced_key(words, symbols), "reduced-words")
     hot = vocabulary.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / HOT).cast("int").alias("parts")).where("parts > 1")
@@ -178,10 +188,11 @@ def followed(forms: DataFrame) -> DataFrame:
 
 
 def group_variants(docs: DataFrame, min_length: int = 6, min_count: int = 5, every: int = 199, ratio: int = 5,
-                   symbols: int = SYMBOLS) -> DataFrame:
+                   symbols: int | None = None) -> DataFrame:
     """(word, form, root, n, n_near, form_n): every word of ``docs`` (doc_id, text) with its form and root."""
     counts = staged(word_counts(docs, min_length, min_count, every)
                     .withColumn("id", F.monotonically_increasing_id()), "word-counts")
+    symbols = symbols or symbols_for(counts.count(), max(min_length, 1))
     best = near_pairs(counts, symbols).groupBy("id").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("_n"), "near")).alias("_best"))
     form_n = -F.col("_best._n")
