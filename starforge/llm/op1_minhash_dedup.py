@@ -11,16 +11,18 @@ number of occurrences, otherwise 1.
 
 **Classes.** Texts with the same words are one node.  Nodes that agree in all rows of a band are
 candidates.  A band's nodes are first verified against its smallest node; verified links merge
-nodes into components.  Bands that still hold several components are then compared node by
-node, in blocks of bounded size, skipping pairs already in one component, each pair in the first
-band they share.  Every candidate pair is so verified or already linked through others: no
+nodes into components.  Bands that still hold several components get ``LEADERS`` more leaders, the smallest nodes
+by other hashes, which joins what the first one was not near to.  In bands that hold several components even
+then, every node outside the band's largest component is compared with all nodes of others, in blocks of bounded size, each
+pair in the first band they share.  Every candidate pair is so verified or already linked through others: no
 pair is capped or sampled, and no group's pairs are listed.
 
 **Similarity.** A word of a text is shared if a five-word shingle around it occurs in the other text.  The similarity
 of two texts is the shared part of their words, of the text with the smaller one; a link takes ``threshold`` (0.8).
 A changed word costs five shingles but only itself, so copies with every tenth word changed still link, while the
-Jaccard similarity of their shingles is about 0.4.  The bands are laid out for that: 40 bands of 3 rows miss a pair at
-Jaccard similarity 0.4 with probability 0.07, at 0.5 with 0.005, at 0.8 with 1e-12.  Verification is exact.
+Jaccard similarity of their shingles is about 0.45.  The bands are laid out for that: 48 bands of 4 rows miss a pair at
+Jaccard similarity 0.45 with probability 0.13, at 0.5 with 0.05, at 0.6 with 0.001, at 0.8 with 1e-11; fewer rows would
+make candidates of all texts that share a common passage.  Verification is exact.
 
 **Hot keys.** Texts that very many rows hold, and bands and leaders of very many nodes (more than ``HOT``), are
 joined by broadcast of these few (their number is bounded by the rows divided by ``HOT``, and checked in bytes) or
@@ -47,7 +49,8 @@ from starforge.operators.joins import broadcast_if_small
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 40, 3
+BANDS, ROWS = 48, 4
+LEADERS = 4
 BLOCK = 256
 # A text, band or leader of more rows than this is hot.
 HOT = 512
@@ -156,7 +159,7 @@ def signature_table(docs: DataFrame, counts: bool = True, bands: int = BANDS, ro
             while at < len(texts):
                 fps, elements, weights, owners, here = [], [], [], [], at
                 size = 0
-                while at < len(texts) and size < 300_000 and at - here < 4000:
+                while at < len(texts) and size < 150_000 and at - here < 2000:
                     all_shingles = shingles(texts[at], cache)
                     fps.append(xxhash.xxh3_128_digest(all_shingles.tobytes()) if len(all_shingles) else None)
                     e, w = weighted(all_shingles, True) if counts else (all_shingles, np.ones(len(all_shingles)))
@@ -241,44 +244,42 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: flo
 
 
 def block_links(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Links among the nodes of one block pair, as a forest of (a, b).
+    """Links among the nodes of one block of a band, as a forest of (a, b).
 
-    Compares nodes of different components that are in the block pair's two blocks, in the
-    first band that both share.
+    Compares the band's ``seeker`` nodes with the block's own ones where components differ and no earlier
+    band holds both; two seekers meet in the block of the larger one.
     """
-    left, right = rows["lo"].iloc[0], rows["hi"].iloc[0]
     cache = WordHashes()
     bands = np.stack(rows["bands"].to_numpy())
-    node, label, block = (rows[c].to_numpy() for c in ("node", "label", "block"))
-    known: dict[int, np.ndarray] = {}
+    node, label, seeker = (rows[c].to_numpy() for c in ("node", "label", "seeker"))
+    own = np.flatnonzero(~seeker)
     texts = rows["text"].to_list()
     place = int(np.flatnonzero((bands == rows["band"].iloc[0]).all(axis=0))[0])
+    outside = set(node[seeker].tolist())
+    known: dict[int, np.ndarray] = {}
 
     def shingles_of(i: int) -> np.ndarray:
-        if i not in known:
-            known[i] = shingles(texts[i], cache)
-        return known[i]
+        if node[i] not in known:
+            known[node[i]] = shingles(texts[i], cache)
+        return known[node[i]]
 
-    root = list(range(len(rows)))
-    by_label: dict = {}
-    for i, l in enumerate(label):
-        root[i] = by_label.setdefault(l, i)
+    root: dict = {}
 
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
 
     links = []
-    for i in np.flatnonzero(block == left):
-        others = np.flatnonzero((block == right) & (np.arange(len(rows)) > i)) if left == right \
-            else np.flatnonzero(block == right)
-        earlier = (bands[others, :place] == bands[i, :place]).any(axis=1) if place else np.zeros(len(others), bool)
-        for j in others[~earlier]:
-            r, s = find(i), find(j)
-            if r != s and similarity(shingles_of(i), shingles_of(j)) >= threshold:
-                root[s] = r
+    for i in np.flatnonzero(seeker):
+        earlier = (bands[own, :place] == bands[i, :place]).any(axis=1) if place else np.zeros(len(own), bool)
+        for j in own[~earlier & (label[own] != label[i])]:
+            if node[j] in outside and node[j] < node[i]:
+                continue
+            r, t = find(label[i]), find(label[j])
+            if r != t and similarity(shingles_of(i), shingles_of(j)) >= threshold:
+                root[t] = r
                 links.append((node[i], node[j]))
     return pd.DataFrame(links, columns=["a", "b"])
 
@@ -318,20 +319,35 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, counts
     links = staged(verified(pairs, nodes, docs, threshold).union(ties), "leader-links")
     roots = components(links, "a", "b")
 
-    # bands that still hold several components
-    labelled = members.join(roots.distinct(), "node", "left").withColumn("label", F.coalesce("root", "node"))
-    mixed = labelled.groupBy("band").agg(F.min("label").alias("_l"), F.max("label").alias("_h"),
-                                         F.count(F.lit(1)).alias("_n")).where("_l != _h and _n > 2")
-    rest = staged(labelled.select("band", "node", "label").join(mixed.select("band", "_n"), "band"), "mixed-bands")
+    def mixed_bands() -> DataFrame:
+        """(band, node, label) of bands that still hold several components."""
+        labelled = members.select("band", "node").join(roots.distinct(), "node", "left") \
+            .withColumn("label", F.coalesce("root", "node")).drop("root")
+        mixed = labelled.groupBy("band").agg(F.min("label").alias("_l"), F.max("label").alias("_h"),
+                                             F.count(F.lit(1)).alias("_n")).where("_l != _h and _n > 2")
+        return staged(labelled.join(mixed.select("band"), "band"), "mixed-bands")
+
+    rest = mixed_bands()
     if rest.take(1):
-        blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
+        ahead = [F.min(F.struct(F.xxhash64(F.lit(s), "node").alias("h"), "node", "label")) for s in range(LEADERS)]
+        leaders = rest.groupBy("band").agg(F.array(*ahead).alias("l")).select("band", F.explode("l").alias("l"))
+        pairs = rest.join(leaders, "band").where(F.col("label") != F.col("l.label")) \
+            .select(F.least("node", "l.node").alias("a"), F.greatest("node", "l.node").alias("b")).distinct()
+        links = staged(links.union(verified(staged(pairs, "more-pairs"), nodes, docs, threshold)), "more-links")
+        roots = components(links, "a", "b")
+        rest = mixed_bands()
+    if rest.take(1):
+        sizes = rest.groupBy("band", "label").agg(F.count(F.lit(1)).alias("_m")).groupBy("band").agg(
+            F.max(F.struct("_m", "label")).alias("_top"), F.sum("_m").alias("_n"))
         known = with_texts(rest.select("node").distinct(), "node", nodes, docs, "text") \
             .join(nodes.select("node", "bands"), "node")
-        spread = rest.join(known, "node") \
-            .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")) \
-            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))) \
-            .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
-        more = spread.groupBy("band", "lo", "hi").applyInPandas(
+        blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
+        dealt = rest.join(sizes, "band").join(known, "node")
+        columns = ["band", "block", "node", "label", "seeker", "bands", "text"]
+        own = dealt.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("seeker", F.lit(False))
+        seekers = dealt.where(F.col("label") != F.col("_top.label")) \
+            .withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("seeker", F.lit(True))
+        more = own.select(*columns).union(seekers.select(*columns)).groupBy("band", "block").applyInPandas(
             lambda rows: block_links(rows, threshold), "a long, b long")
         links = staged(links.union(more), "all-links")
         roots = components(links, "a", "b")

@@ -36,7 +36,7 @@ _LETTERS = _byte_letters()
 class WordTokenIds(dict):
     """White-space chunk -> its ids as little-endian integers; forgets all past ``limit`` chunks."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 250_000):
         from tokenizers import Tokenizer
         super().__init__()
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit

@@ -99,8 +99,10 @@ def test_recall_of_copies_with_changed_words(spark):
     got = {r["doc_id"]: r["class_id"] for r in dedup.near_duplicate_classes(
         spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
     texts = dict(rows)
-    near = [(a, b) for a, b in pairs if alike(texts[a], texts[b])]
-    assert len(near) > 130 and sum(got[a] == got[b] for a, b in near) / len(near) >= 0.98
+    # the bands' stated chance to miss a pair is 0.001 at 5 % (Jaccard similarity 0.63) and 0.05 at 8 % (0.5)
+    for rate, least in ((0, 1.0), (1, 0.98), (2, 0.9)):
+        near = [(a, b) for i, (a, b) in enumerate(pairs) if i % 3 == rate and alike(texts[a], texts[b])]
+        assert len(near) > 40 and sum(got[a] == got[b] for a, b in near) / len(near) >= least
     assert all(got[3 * i + 2] == 3 * i + 2 for i in range(150))
 
 
