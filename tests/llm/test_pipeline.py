@@ -43,8 +43,7 @@ def test_pipeline_equals_brute_force(spark, tables):
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     insults = re.compile("blockhead|scoundrel|nitwit", re.I)
     kept = {i: t for i, t in texts.items() if t and re.search(r"[^\W\d_]", t) and not insults.search(t)}
-    frame = spark.createDataFrame(list(kept.items()), "doc_id long, text string")
-    classes = brute_classes(frame, 0.8, False)
+    classes = brute_classes(list(kept.items()))
     kept = {i: t for i, t in kept.items() if classes[i] == i}
     kept = {i: t for i, t in kept.items() if not any(item in t for _, item in items)}
     encode = WordTokenIds(tokenizer_file("word_bpe_49k.json"))
@@ -78,5 +77,5 @@ def test_stages_take_odd_and_empty_tables(spark, tables, odd_documents, no_docum
 
 def test_registry_holds_every_operator():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert op7_best_fit_packing.PIECE_SCHEMA.startswith("doc_id long, piece int")
