@@ -253,25 +253,47 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: flo
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
+class SharedParts:
+    """Shared parts of several texts, by their shingles, in one other text at a time."""
+
+    def __init__(self, texts: list[np.ndarray]):
+        self.vocabulary, self.codes = np.unique(np.concatenate(texts), return_inverse=True)
+        sizes = np.array([len(t) for t in texts])
+        self.words = sizes + SHINGLE - 1
+        self.first = np.cumsum(self.words) - self.words
+        # the word at which each shingle begins, all texts one after the other
+        self.place = np.arange(sizes.sum()) + np.repeat(np.arange(len(texts)) * (SHINGLE - 1), sizes)
+
+    def within(self, other: np.ndarray) -> np.ndarray:
+        """``shared_part`` of every text in ``other``."""
+        at = np.minimum(np.searchsorted(self.vocabulary, other), len(self.vocabulary) - 1)
+        held = np.zeros(len(self.vocabulary), bool)
+        held[at[self.vocabulary[at] == other]] = True
+        hit = self.place[held[self.codes]]
+        edges = np.zeros(int(self.words.sum()) + 1, np.int64)
+        edges[hit] += 1
+        edges[hit + SHINGLE] -= 1
+        return np.add.reduceat((np.cumsum(edges[:-1]) > 0).astype(np.int64), self.first) / self.words
+
+
 def block_links(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """Links among the nodes of one block of a band, as a forest of (a, b).
 
     Compares the band's ``seeker`` nodes with the block's own ones where components differ and no earlier
-    band holds both; two seekers meet in the block of the larger one.
+    band holds both; two seekers meet in the block of the larger one.  A seeker meets all own nodes in one pass, and
+    those with a large enough part in it are then compared the other way round.
     """
     cache = WordHashes()
     bands = np.stack(rows["bands"].to_numpy())
     node, label, seeker = (rows[c].to_numpy() for c in ("node", "label", "seeker"))
     own = np.flatnonzero(~seeker)
-    texts = rows["text"].to_list()
     place = int(np.flatnonzero((bands == rows["band"].iloc[0]).all(axis=0))[0])
-    outside = set(node[seeker].tolist())
-    known: dict[int, np.ndarray] = {}
-
-    def shingles_of(i: int) -> np.ndarray:
-        if node[i] not in known:
-            known[node[i]] = shingles(texts[i], cache)
-        return known[node[i]]
+    if not len(own):
+        return pd.DataFrame([], columns=["a", "b"])
+    texts = rows["text"].to_list()
+    own_shingles = [shingles(texts[j], cache) for j in own]
+    parts = SharedParts(own_shingles)
+    outside = np.isin(node[own], node[seeker])
 
     root: dict = {}
 
@@ -284,13 +306,15 @@ def block_links(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
     links = []
     for i in np.flatnonzero(seeker):
         earlier = (bands[own, :place] == bands[i, :place]).any(axis=1) if place else np.zeros(len(own), bool)
-        for j in own[~earlier & (label[own] != label[i])]:
-            if node[j] in outside and node[j] < node[i]:
-                continue
-            r, t = find(label[i]), find(label[j])
-            if r != t and similarity(shingles_of(i), shingles_of(j)) >= threshold:
+        open_ones = ~earlier & (label[own] != label[i]) & ~(outside & (node[own] < node[i]))
+        if not open_ones.any():
+            continue
+        mine = shingles(texts[i], cache)
+        for j in np.flatnonzero(open_ones & (parts.within(mine) >= threshold)):
+            r, t = find(label[i]), find(label[own[j]])
+            if r != t and shared_part(mine, own_shingles[j]) >= threshold:
                 root[t] = r
-                links.append((node[i], node[j]))
+                links.append((node[i], node[own[j]]))
     return pd.DataFrame(links, columns=["a", "b"])
 
 

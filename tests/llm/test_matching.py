@@ -86,6 +86,16 @@ def test_similarity_as_counted_by_words():
         assert dedup.similarity(x, y) == pytest.approx(min(shared_words(a, b), shared_words(b, a)))
 
 
+def test_shared_parts_of_many_texts_at_once():
+    rng = random.Random(3)
+    cache = dedup.WordHashes()
+    for _ in range(100):
+        texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(1, 40))) for _ in range(rng.randint(1, 12))]
+        known = [dedup.shingles(t, cache) for t in texts]
+        for other in (rng.choice(known), dedup.shingles(" ".join(rng.choice("abcx") for _ in range(30)), cache)):
+            assert dedup.SharedParts(known).within(other).tolist() == [dedup.shared_part(t, other) for t in known]
+
+
 def test_recall_of_copies_with_changed_words(spark):
     """Copies with 2, 5 and 8 % of their words changed are found, texts that share a third of their words are not."""
     rng = random.Random(4)
