@@ -254,26 +254,41 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: flo
 
 
 class SharedParts:
-    """Shared parts of several texts, by their shingles, in one other text at a time."""
+    """Shared parts of several texts, by their shingles, in one other text at a time.
+
+    The places of every shingle are kept together, so that another text costs the places of the shingles it shares,
+    not all words of the texts.
+    """
 
     def __init__(self, texts: list[np.ndarray]):
-        self.vocabulary, self.codes = np.unique(np.concatenate(texts), return_inverse=True)
+        self.vocabulary, codes = np.unique(np.concatenate(texts), return_inverse=True)
         sizes = np.array([len(t) for t in texts])
         self.words = sizes + SHINGLE - 1
-        self.first = np.cumsum(self.words) - self.words
+        text = np.repeat(np.arange(len(texts)), sizes)
         # the word at which each shingle begins, all texts one after the other
-        self.place = np.arange(sizes.sum()) + np.repeat(np.arange(len(texts)) * (SHINGLE - 1), sizes)
+        place = np.arange(len(text)) + text * (SHINGLE - 1)
+        self.text_at = np.repeat(np.arange(len(texts)), self.words)
+        self.places = place[np.argsort(codes, kind="stable")]
+        self.many = np.bincount(codes, minlength=len(self.vocabulary))
+        self.first = np.cumsum(self.many) - self.many
 
     def within(self, other: np.ndarray) -> np.ndarray:
         """``shared_part`` of every text in ``other``."""
         at = np.minimum(np.searchsorted(self.vocabulary, other), len(self.vocabulary) - 1)
-        held = np.zeros(len(self.vocabulary), bool)
-        held[at[self.vocabulary[at] == other]] = True
-        hit = self.place[held[self.codes]]
-        edges = np.zeros(int(self.words.sum()) + 1, np.int64)
-        edges[hit] += 1
-        edges[hit + SHINGLE] -= 1
-        return np.add.reduceat((np.cumsum(edges[:-1]) > 0).astype(np.int64), self.first) / self.words
+        held = np.unique(at[self.vocabulary[at] == other])
+        many = self.many[held]
+        if not len(held):
+            return np.zeros(len(self.words))
+        hit = self.places[np.arange(many.sum()) + np.repeat(self.first[held] - np.cumsum(many) + many, many)]
+        if 8 * len(hit) > len(self.text_at):     # many places are put in order by marking them
+            marks = np.zeros(len(self.text_at), bool)
+            marks[hit] = True
+            hit = np.flatnonzero(marks)
+        else:
+            hit = np.sort(hit)
+        # a shingle covers its words up to the next hit; the next text's first one is at least a shingle away
+        new = np.minimum(np.diff(hit, append=hit[-1] + SHINGLE), SHINGLE)
+        return np.bincount(self.text_at[hit], new, len(self.words)) / self.words
 
 
 def block_links(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
