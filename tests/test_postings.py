@@ -50,3 +50,16 @@ def test_lists_of_repeated_and_missing_order_keys(spark, sf_dir):
     assert len(rows) == 300
     assert [r["job_skills"] for r in rows if r["_row"] == 5] == ["['part 0', 'part 0', 'part 0']"] * 2
     assert [r["job_skills"] for r in rows if r["_row"] is None] == [None]
+
+
+def test_text_files_are_written_compressed_whole_and_in_order(spark, sf_dir, tmp_path, monkeypatch):
+    """One compressed file per bucket: its header, then its postings by key; Spark reads the same lines."""
+    monkeypatch.setattr(postings, "POSTINGS_PER_FILE", 100)
+    path = postings.write_postings_csv(postings.postings(spark, sf_dir).where("_row is not null"), f"{tmp_path}/csv")
+    files = sorted((tmp_path / "csv").glob("bucket=*/*.txt.gz"))
+    assert len(files) == 3 == sum(not f.name.startswith(".") for f in (tmp_path / "csv").glob("bucket=*/*"))
+    texts = [gzip.open(f, "rb").read().decode("utf-8", "replace") for f in files]
+    assert all(t.startswith("job_title_short,") for t in texts)
+    lines = [line for t in texts for line in t.splitlines()]
+    read = [r["value"] for r in spark.read.option("recursiveFileLookup", "true").text(path).collect()]
+    assert sorted(read) == sorted(lines) and sum("BUILDING" in line for line in lines) == 299
