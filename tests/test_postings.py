@@ -63,3 +63,24 @@ def test_text_files_are_written_compressed_whole_and_in_order(spark, sf_dir, tmp
     lines = [line for t in texts for line in t.splitlines()]
     read = [r["value"] for r in spark.read.option("recursiveFileLookup", "true").text(path).collect()]
     assert sorted(read) == sorted(lines) and sum("BUILDING" in line for line in lines) == 299
+
+
+def test_skill_texts_of_null_and_empty_names(spark):
+    """Names that are null are left out, empty ones are not; no lines give empty literals."""
+    lists = [(0, ["a", None, "b"]), (1, [None]), (2, [""]), (3, []), (4, None), (5, [None, "", "c"])]
+    df = spark.createDataFrame(lists, "k int, names array<string>").withColumn(
+        "items", F.transform("names", lambda n: F.struct(n.alias("p_name"), F.lit("T").alias("p_type"))))
+    rows = df.orderBy("k").select(postings.skills_text(F.col("items")), postings.skills_text(F.col("items"), F.col("k") >= 0),
+                                  postings.type_skills_text(F.col("items"))).collect()
+    assert [r[0] for r in rows] == ["['a', 'b']", "[]", "['']", "[]", "[]", "['', 'c']"]
+    assert [r[1] for r in rows] == ['["a", "b",]', "[,]", '["",]', "[,]", "[]", '["", "c",]']
+    assert [r[2] for r in rows] == ["{'T': ['a', 'b']}", "{'T': []}", "{'T': ['']}", "{}", "{}", "{'T': ['', 'c']}"]
+
+
+def test_each_text_of_a_line_is_made_once(spark, sf_dir):
+    """A line names columns, not the texts' expressions: the plan holds those of the skills once."""
+    p = postings.postings(spark, sf_dir)
+
+    def joins(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("array_join")
+    assert joins(p) > 0 and joins(postings.posting_lines(p)) == joins(p)
