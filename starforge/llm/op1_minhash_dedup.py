@@ -295,17 +295,19 @@ def block_links(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """Links among the nodes of one block of a band, as a forest of (a, b).
 
     Compares the band's ``seeker`` nodes with the block's own ones where components differ and no earlier
-    band holds both; two seekers meet in the block of the larger one.  A seeker meets all own nodes in one pass, and
-    those with a large enough part in it are then compared the other way round.
+    band (``bands`` has those of a node) holds both; two seekers meet in the block of the larger one.  A seeker meets all
+    own nodes in one pass, and those with a large enough part in it are then compared the other way round.
     """
     cache = WordHashes()
-    bands = np.stack(rows["bands"].to_numpy())
     node, label, seeker = (rows[c].to_numpy() for c in ("node", "label", "seeker"))
     own = np.flatnonzero(~seeker)
-    place = int(np.flatnonzero((bands == rows["band"].iloc[0]).all(axis=0))[0])
     if not len(own):
         return pd.DataFrame([], columns=["a", "b"])
-    texts = rows["text"].to_list()
+    texts, bands = rows["text"].to_list(), [np.asarray(b, np.int64) for b in rows["bands"]]
+    # the earlier bands of the own nodes in order, with the nodes that hold them
+    band_at = np.concatenate([bands[j] for j in own])
+    holder = np.repeat(np.arange(len(own)), [len(bands[j]) for j in own])[np.argsort(band_at, kind="stable")]
+    band_at = np.sort(band_at)
     own_shingles = [shingles(texts[j], cache) for j in own]
     parts = SharedParts(own_shingles)
     outside = np.isin(node[own], node[seeker])
@@ -320,7 +322,10 @@ def block_links(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
 
     links = []
     for i in np.flatnonzero(seeker):
-        earlier = (bands[own, :place] == bands[i, :place]).any(axis=1) if place else np.zeros(len(own), bool)
+        earlier = np.zeros(len(own), bool)
+        first, last = (np.searchsorted(band_at, bands[i], side) for side in ("left", "right"))
+        for j in np.flatnonzero(first < last):
+            earlier[holder[first[j]:last[j]]] = True
         open_ones = ~earlier & (label[own] != label[i]) & ~(outside & (node[own] < node[i]))
         if not open_ones.any():
             continue
@@ -388,10 +393,12 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, counts
     if rest.take(1):
         sizes = rest.groupBy("band", "label").agg(F.count(F.lit(1)).alias("_m")).groupBy("band").agg(
             F.max(F.struct("_m", "label")).alias("_top"), F.sum("_m").alias("_n"))
-        known = with_texts(rest.select("node").distinct(), "node", nodes, docs, "text") \
-            .join(nodes.select("node", "bands"), "node")
+        # Of a node's bands only these still matter: in the others its pairs are linked or compared.  A row carries
+        # those before its own band, in the order of the hashes, and not all bands of the node.
+        known = with_texts(rest.groupBy("node").agg(F.collect_list("band").alias("bands")), "node", nodes, docs, "text")
         blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
-        dealt = rest.join(sizes, "band").join(known, "node")
+        dealt = rest.join(sizes, "band").join(known, "node") \
+            .withColumn("bands", F.filter("bands", lambda band: band < F.col("band")))
         columns = ["band", "block", "node", "label", "seeker", "bands", "text"]
         own = dealt.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("seeker", F.lit(False))
         seekers = dealt.where(F.col("label") != F.col("_top.label")) \

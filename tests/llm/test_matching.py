@@ -2,6 +2,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,6 +97,32 @@ def test_shared_parts_of_many_texts_at_once():
             assert dedup.SharedParts(known).within(other).tolist() == [dedup.shared_part(t, other) for t in known]
 
 
+def test_block_links_of_nodes_with_any_number_of_earlier_bands():
+    """Pairs that an earlier band holds are left to it; rows carry the earlier mixed bands alone."""
+    words = sentence(random.Random(8), "en", 60)
+    rows = pd.DataFrame([(9, 0, 1, 1, False, [2, 5], words), (9, 0, 2, 2, False, [], words), (9, 0, 3, 3, False, [7], words + " one more"),
+                         (9, 0, 4, 4, False, [], sentence(random.Random(9), "fr", 60)), (9, 0, 8, 8, True, [5, 7], words)],
+                        columns=["band", "block", "node", "label", "seeker", "bands", "text"])
+    assert dedup.block_links(rows, 0.8).to_numpy().tolist() == [[8, 2]]
+    rows.at[4, "bands"] = []
+    assert dedup.block_links(rows, 0.8).to_numpy().tolist() == [[8, 1], [8, 2], [8, 3]]
+
+
+def test_texts_that_share_a_passage_are_compared_whole(spark, monkeypatch):
+    """Bands of many components: pairs that no leader joins are still linked, in whatever band they meet first."""
+    rng = random.Random(10)
+    passage, rows = sentence(rng, "en", 60).split(), []
+    for i in range(24):
+        own = sentence(rng, "fr", 25).split()
+        near = [f"n{i}" if j == 3 * (i % 8) else w for j, w in enumerate(own)]
+        rows += [(2 * i, " ".join(passage + own)), (2 * i + 1, " ".join(passage + near))]
+    monkeypatch.setattr(dedup, "LEADERS", 1)
+    monkeypatch.setattr(dedup, "BLOCK", 8)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["class_id"] for r in dedup.near_duplicate_classes(docs, threshold=0.9).collect()}
+    assert got == brute_classes(rows, 0.9) and len(set(got.values())) == 24
+
+
 def test_recall_of_copies_with_changed_words(spark):
     """Copies with 2, 5 and 8 % of their words changed are found, texts that share a third of their words are not."""
     rng = random.Random(4)
